@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import col, cols
-from cytospark.operators.sizing import compact, small_or_none
+from cytospark.operators.sizing import settle, small_or_none
 
 PREDICTION = "CellTypePrediction"
 MAX_CLASSES = 10_000
@@ -17,7 +17,7 @@ MAX_CLASSES = 10_000
 
 def class_counts(df: DataFrame, groups: Sequence[str], label: str = PREDICTION) -> DataFrame:
     """Rows per group and class: the one pass that all figures here share."""
-    return compact(df.groupBy(*cols(groups), col(label).alias("class")).agg(F.count(F.lit(1)).alias("n")))
+    return settle(df.groupBy(*cols(groups), col(label).alias("class")).agg(F.count(F.lit(1)).alias("n")), "class_counts")
 
 
 def class_shares(counts: DataFrame, groups: Sequence[str] = ()) -> DataFrame:

@@ -14,16 +14,19 @@ from pyspark.sql import functions as F
 
 from cytospark.functions.names import col
 from cytospark.functions.scalars import balance_band, holdout_band, report_band
-from cytospark.operators.sizing import compact
+from cytospark.operators.sizing import settle
 
-EVERYTHING = W.partitionBy(F.lit(1))  # only used on per-class rows
+def _all_rows():
+    """One window over all rows; only used on tables with a row per class."""
+    return W.partitionBy(F.lit(1))
 
 
 def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """actual, predicted, n; kept as a local table when small."""
-    return compact(
+    return settle(
         df.groupBy(col(actual).cast("string").alias("actual"), col(predicted).cast("string").alias("predicted"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "confusion",
     )
 
 
@@ -87,7 +90,7 @@ def imbalance(counts: DataFrame, count: str = "support", threshold: float = 0.1)
 
 def auc_ranking(scores: DataFrame) -> DataFrame:
     """Classes by area, with the level of each."""
-    rank = F.row_number().over(EVERYTHING.orderBy(F.desc("auc"), "class"))
+    rank = F.row_number().over(_all_rows().orderBy(F.desc("auc"), "class"))
     return scores.select(
         rank.alias("rank"), "class", F.round("auc", 3).alias("auc_score"), holdout_band(F.col("auc")).alias("performance")
     )
@@ -131,14 +134,14 @@ def class_report(counts: DataFrame, aucs: DataFrame) -> DataFrame:
     class without area sorts last.
     """
     joined = counts.select("class", "support").join(aucs.select("class", "auc"), "class", "left")
-    percent = F.col("support") / F.sum("support").over(EVERYTHING) * 100
+    percent = F.col("support") / F.sum("support").over(_all_rows()) * 100
     sort_value = F.coalesce("auc", F.lit(-1.0))
     return joined.select(
         "class", "support",
         percent.alias("percentage"),
         "auc",
         sort_value.alias("sort_value"),
-        F.row_number().over(EVERYTHING.orderBy(sort_value.desc(), "class")).alias("position"),
+        F.row_number().over(_all_rows().orderBy(sort_value.desc(), "class")).alias("position"),
     ).select(
         "*", balance_band(F.col("percentage")).alias("class_balance"), report_band(F.col("auc")).alias("performance_level"))
 

@@ -271,10 +271,10 @@ def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
             if 0 < top < search.points - 1:
                 bend = llf[top - 1] - 2 * llf[top] + llf[top + 1]
                 lean = step * 0.5 * (llf[top - 1] - llf[top + 1]) / bend if bend < 0 else 0.0
-                state[k][:2] = [lams[top] + lean, step / search.shrink]
-                best[k] = lams[top] + lean
+                state[k][:2] = [float(lams[top] + lean), step / search.shrink]
+                best[k] = float(lams[top] + lean)
             else:
-                state[k][0] = lams[top]
+                state[k][0] = float(lams[top])
     fitted = df.sparkSession.createDataFrame(
         [(*k, int(r["n"]), best.get(k)) for r in rows for k in [tuple(r[c] for c in keys)]],
         f"{key_types}, n bigint, lambda double")

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import cols, melt
-from cytospark.operators.sizing import join_summary, small_or_none
+from cytospark.operators.sizing import join_summary, settle
 
 EXACT_ROWS = 2_000_000
 BUCKET_BITS = 10
@@ -59,11 +59,11 @@ def _select_ranks(long: DataFrame, keys: list[str], probs: Sequence[float], bits
         F.count("value").alias("n"),
         F.percentile_approx("value", marks, F.lit(20 * buckets)).alias("_edges"),
     )
-    edges = small_or_none(edges) or edges
+    edges = settle(edges, "bucket_edges")
     placed = bucketed(join_summary(long, edges.select(*cols(keys), "_edges"), keys), bits)
 
     counts = placed.groupBy(*cols(keys), "_bucket").agg(F.count(F.lit(1)).alias("_c"))
-    counts = small_or_none(counts) or counts
+    counts = settle(counts, "bucket_counts")
     running = W.partitionBy(*cols(keys)).orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
     spans = counts.select(*cols(keys), "_bucket", F.sum("_c").over(running).alias("_upto"), "_c")
 
@@ -79,7 +79,7 @@ def _select_ranks(long: DataFrame, keys: list[str], probs: Sequence[float], bits
     targets = ranks.join(spans, keys).filter(
         (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c"))
     ).select(*cols(keys), "_bucket", "_rank", (F.col("_upto") - F.col("_c")).alias("_before"))
-    targets = small_or_none(targets) or targets
+    targets = settle(targets, "rank_targets")
 
     hit = targets.select(*cols(keys), "_bucket", "_before").distinct()
     kept = join_summary(placed, hit, [*keys, "_bucket"])

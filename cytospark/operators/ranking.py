@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import col, cols
-from cytospark.operators.sizing import join_summary, small_or_none
+from cytospark.operators.sizing import join_summary, settle, small_or_none
 
 PREFIX_DIGITS = 3  # 16**3 buckets per group
 
@@ -51,7 +51,7 @@ def cutoffs(
     base = base.withColumn("_prefix", F.substring("_hash", 1, prefix_digits))
 
     counts = base.groupBy(*g, "_prefix").agg(F.count(F.lit(1)).alias("_c"))
-    counts = small_or_none(counts) or counts
+    counts = settle(counts, "prefix_counts")
     in_group = W.partitionBy(*g)
     running = in_group.orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = counts.select(
@@ -68,7 +68,7 @@ def cutoffs(
     targets = ranked.filter(
         (F.col("k") > F.col("_upto") - F.col("_c")) & (F.col("k") <= F.col("_upto"))
     ).select(*cols(g), "_prefix", "n", "q", (F.col("k") - F.col("_upto") + F.col("_c")).alias("_r"))
-    targets = small_or_none(targets) or targets
+    targets = settle(targets, "cutoff_targets")
 
     edges = join_summary(base, targets.select(*cols(g), "_prefix").distinct(), [*g, "_prefix"])
     edges = edges.withColumn(

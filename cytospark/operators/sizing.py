@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cytospark.session import durable
+
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -43,7 +45,7 @@ def join_summary(
     return df.join(summary, list(on), how)
 
 
-def compact(summary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The summary as a local table where it is small, else unchanged."""
+def settle(summary: DataFrame, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Compute a summary once: a local table where it is small, else a stored one."""
     small = small_or_none(summary, max_rows)
-    return summary if small is None else small
+    return durable(summary, name) if small is None else small
