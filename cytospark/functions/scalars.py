@@ -52,8 +52,8 @@ def clean_label(c: Column) -> Column:
 
 
 def percent_text(c: Column, digits: int = 2) -> Column:
-    """Fraction as text, e.g. 0.5 -> ``50.00%``."""
-    return F.format_string(f"%.{digits}f%%", c * 100.0)
+    """Fraction as text, e.g. 0.5 -> ``50.00%``; ties go to the even digit."""
+    return F.format_string(f"%.{digits}f%%", F.bround(c * 100.0, digits))
 
 
 def percent_value(c: Column) -> Column:

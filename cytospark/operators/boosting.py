@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -68,7 +68,7 @@ def label_encoder(df: DataFrame, label: str) -> StringIndexerModel:
 
 
 def classifier(depth: int, rate: float, rounds: int = ROUNDS, kind: str = "boosted", seed: int = 42,
-               parallelism: int = 4):
+               parallelism: int = 8):
     """One boosted binary model per class, or one random forest."""
     if kind == "rf":
         return RandomForestClassifier(
@@ -83,38 +83,75 @@ def classifier(depth: int, rate: float, rounds: int = ROUNDS, kind: str = "boost
 
 @dataclass
 class CellModel:
-    """A fitted model with its feature list, in order."""
+    """A fitted model: its stages, features and class names, both in order.
+
+    A boosted model has one binary stage per class, in class order.
+    """
 
     stages: PipelineModel
     features: list[str]
+    labels: list[str]
+
+    def predict(self, prepared: DataFrame, prediction: str = PREDICTION) -> DataFrame:
+        """Adds the class to rows that carry the feature vector.
+
+        Every stage runs in the JVM and the best class is picked by array
+        functions; a shipped one-vs-rest model would cache its input and call
+        Python once per row and class.
+        """
+        kept = [c for c in prepared.columns if c != FEATURES]
+        out = self.stages.transform(prepared)
+        if len(self.stages.stages) == 1 and PREDICTED_INDEX in out.columns:
+            index = F.col(PREDICTED_INDEX).cast("int")
+        else:
+            out = out.withColumn("_scores", F.array(*[
+                vector_to_array(_raw(i))[1] for i in range(len(self.labels))]))
+            index = (F.array_position("_scores", F.array_max("_scores")) - 1).cast("int")
+        names = F.array(*[F.lit(x) for x in self.labels])
+        return out.select(*cols(kept), F.element_at(names, index + 1).alias(prediction))
 
     def score(self, df: DataFrame, prediction: str = PREDICTION) -> DataFrame:
-        """Adds the predicted class; map-only."""
-        packed = F.array(*[
-            F.coalesce(nan_to_null(col(c).cast("double")), F.lit(0.0)) for c in self.features])
-        scored = self.stages.transform(df.withColumn(FEATURES, array_to_vector(packed)))
-        return scored.select(*cols(df.columns), col("_class").alias(prediction))
+        """Adds the predicted class to a table with the feature columns; map-only."""
+        return self.predict(assemble(df, self.features, df.columns), prediction)
 
     def save(self, path: str) -> None:
         self.stages.write().overwrite().save(f"{path}/stages")
-        spark = SparkSession.active()
-        spark.createDataFrame([(json.dumps(self.features),)], "features string").coalesce(1).write.mode(
-            "overwrite").text(f"{path}/features")
+        note = json.dumps({"features": self.features, "labels": self.labels})
+        SparkSession.active().createDataFrame([(note,)], "note string").coalesce(1).write.mode(
+            "overwrite").text(f"{path}/note")
 
     @classmethod
     def load(cls, path: str) -> CellModel:
-        names = SparkSession.active().read.text(f"{path}/features").first()[0]
-        return cls(PipelineModel.load(f"{path}/stages"), json.loads(names))
+        note = json.loads(SparkSession.active().read.text(f"{path}/note").first()[0])
+        return cls(PipelineModel.load(f"{path}/stages"), note["features"], note["labels"])
+
+
+def _raw(i: int) -> str:
+    return f"_raw{i}"
+
+
+def fit_prepared(prepared: DataFrame, features: Sequence[str], labels: Sequence[str], depth: int, rate: float,
+                 rounds: int = ROUNDS, kind: str = "boosted") -> CellModel:
+    """Fit on rows with the coded label and the feature vector."""
+    fitted = classifier(depth, rate, rounds, kind).fit(prepared.select(LABEL_INDEX, FEATURES))
+    if kind == "rf":
+        return CellModel(PipelineModel([fitted]), list(features), list(labels))
+    stages = [
+        m.setFeaturesCol(FEATURES).setRawPredictionCol(_raw(i)).setPredictionCol("").setProbabilityCol("")
+        for i, m in enumerate(fitted.models)
+    ]
+    return CellModel(PipelineModel(stages), list(features), list(labels))
 
 
 def fit_model(df: DataFrame, label: str, features: Sequence[str], depth: int, rate: float,
               rounds: int = ROUNDS, kind: str = "boosted", encoder: StringIndexerModel | None = None) -> CellModel:
     """Fit on all rows given; the codes follow the encoder or the rows."""
     encoder = encoder or label_encoder(df, label)
-    prepared = encoder.transform(assemble(df, features, [label]))
-    fitted = classifier(depth, rate, rounds, kind).fit(prepared.select(LABEL_INDEX, FEATURES))
-    decode = IndexToString(inputCol=PREDICTED_INDEX, outputCol="_class", labels=encoder.labels)
-    return CellModel(PipelineModel([fitted, decode]), list(features))
+    prepared = encoder.transform(assemble(df, features, [label])).persist()
+    try:
+        return fit_prepared(prepared, features, encoder.labels, depth, rate, rounds, kind)
+    finally:
+        prepared.unpersist()
 
 
 def grid_search(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str], grid: DataFrame,
@@ -134,10 +171,10 @@ def grid_search(df: DataFrame, label: str, features: Sequence[str], keys: Sequen
             col(label), LABEL_INDEX, FEATURES, "is_test").persist()
 
         def one(row):
-            model = classifier(row["max_depth"], row["eta"], rounds, kind).fit(
-                prepared.filter("not is_test").select(LABEL_INDEX, FEATURES))
-            hits = model.transform(prepared).groupBy("is_test").agg(
-                F.avg((F.col(LABEL_INDEX) == F.col(PREDICTED_INDEX)).cast("double")).alias("acc"))
+            model = fit_prepared(
+                prepared.filter("not is_test"), features, encoder.labels, row["max_depth"], row["eta"], rounds, kind)
+            hits = model.predict(prepared).groupBy("is_test").agg(
+                F.avg((col(label) == F.col(PREDICTION)).cast("double")).alias("acc"))
             acc = {r["is_test"]: r["acc"] for r in hits.collect()}
             return (row["cv"], row["max_depth"], row["eta"], acc.get(False), acc.get(True))
 
@@ -215,11 +252,3 @@ def decode_labels(df: DataFrame, code: str, encoder: StringIndexerModel, name: s
     """Class names from codes."""
     labels = F.array(*[F.lit(x) for x in encoder.labels])
     return df.withColumn(name, F.try_element_at(labels, col(code).cast("int") + 1))
-
-
-def unfitted_pipeline(label: str, depth: int, rate: float, rounds: int = ROUNDS) -> Pipeline:
-    """The same steps as one Spark ML pipeline over a prepared feature vector."""
-    return Pipeline(stages=[
-        StringIndexer(inputCol=label, outputCol=LABEL_INDEX, stringOrderType="alphabetAsc", handleInvalid="skip"),
-        classifier(depth, rate, rounds),
-    ])

@@ -153,7 +153,7 @@ def cluster_cells(df: DataFrame, key: str, n_clusters: int, vector: str = "compo
         (1.0 / (1.0 + F.col("distance"))).alias("weight"),
     ).dropDuplicates(["src", "dst"])
     model = PowerIterationClustering(
-        k=n_clusters, maxIter=iterations, srcCol="src", dstCol="dst", weightCol="weight", initMode="degree")
+        k=n_clusters, maxIter=iterations, srcCol="src", dstCol="dst", weightCol="weight", initMode="random")
     return model.assignClusters(durable(edges, "neighbour_edges")).select(col("id").alias(key), "cluster")
 
 

@@ -99,7 +99,9 @@ def logscale(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """ln(x + 1) on every numeric column except centroids; map-only."""
     columns = [c for c in numeric_columns(df) if "Centroid" not in c] if columns is None else list(columns)
     chosen = set(columns)
-    return df.select(*[log_plus_one(col(c)).alias(c) if c in chosen else col(c) for c in df.columns])
+    return df.select(*[
+        log_plus_one(nan_to_null(col(c).cast("double"))).alias(c) if c in chosen else col(c) for c in df.columns
+    ])
 
 
 # -- quantile -----------------------------------------------------------------

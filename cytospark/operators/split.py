@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from cytospark.functions.names import col, cols
 from cytospark.functions.scalars import NEGATIVE_LABELS, clean_label
-from cytospark.operators.ranking import fraction_quota, with_cutoffs
-from cytospark.operators.sizing import join_summary
+from cytospark.operators.ranking import cutoffs, fraction_quota, order_hash
+from cytospark.operators.sizing import join_summary, settle
 
 
 def annotated(df: DataFrame, label: str, negatives: Sequence[str] = NEGATIVE_LABELS) -> DataFrame:
@@ -41,17 +41,15 @@ def holdout_split(df: DataFrame, label: str, batch: str, keys: Sequence[str], fr
     split follow from comparing a row's hash with its group's cutoff, so there
     is no anti join and the rows are not shuffled.
     """
-    cut = with_cutoffs(df, [batch, label], keys, [fraction_quota(frac, min_count)], seed)
-    held = F.col("_hash") <= F.col("cutoffs")[0]
-    kept = (
-        df.groupBy(col(batch), col(label)).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_k", fraction_quota(frac, min_count)(F.col("n")))
-        .groupBy(col(label)).agg((F.max("_k") > 0).alias("_kept"))
-    )
-    tagged = join_summary(cut, kept, [label])
+    quota = fraction_quota(frac, min_count)
+    cut = settle(cutoffs(df, [batch, label], keys, [quota], seed), "holdout_cutoffs")
+    kept = cut.groupBy(col(label)).agg((F.max(quota(F.col("n"))) > 0).alias("_kept"))
+    plan = cut.select(col(batch), col(label), F.col("cutoffs")[0].alias("_cut")).join(kept, label)
+    tagged = join_summary(df.withColumn("_hash", order_hash(keys, seed)), plan, [batch, label])
     return tagged.select(
         *cols(df.columns),
-        F.when(held, "holdout").when(F.col("_kept"), "training").otherwise("unused").alias("split"),
+        F.when(F.col("_hash") <= F.col("_cut"), "holdout")
+        .when(F.col("_kept"), "training").otherwise("unused").alias("split"),
     )
 
 

@@ -78,28 +78,28 @@ STATS = f"""WITH {CELLS}, {LONG}, s AS (
          quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.9) AS p90, max(v) AS max
   FROM long GROUP BY batch, col)"""
 STAT_NAMES = ["mean", "std", "min", "p1", "p2", "p5", "p50", "p90", "max"]
-ROUNDED_STATS = ", ".join(f'round({c} + 0.0, 4) AS "{c}"' for c in STAT_NAMES)
+ROUNDED_STATS = ", ".join(f'round({c} + 0.0, 6) AS "{c}"' for c in STAT_NAMES)
 
 
 @query("column_summary", f"""{STATS} SELECT batch AS "Batch", col AS "column", "count", {ROUNDED_STATS} FROM s""")
 def column_summary(spark, sf_dir):
-    return round_columns(panel.column_summary(narrow(spark, sf_dir), MEANS, ["Batch"]), 4)
+    return round_columns(panel.column_summary(narrow(spark, sf_dir), MEANS, ["Batch"]))
 
 
 @query("average_column_summary", f"""{STATS}
-SELECT batch AS "Batch", avg("count") AS "count", {", ".join(f'round(avg({c}) + 0.0, 4) AS "{c}"' for c in STAT_NAMES)}
+SELECT batch AS "Batch", avg("count") AS "count", {", ".join(f'round(avg({c}) + 0.0, 6) AS "{c}"' for c in STAT_NAMES)}
 FROM s GROUP BY batch""")
 def average_column_summary(spark, sf_dir):
     summary = panel.column_summary(narrow(spark, sf_dir), MEANS, ["Batch"])
-    return round_columns(panel.average_summary(summary, ["Batch"]), 4)
+    return round_columns(panel.average_summary(summary, ["Batch"]))
 
 
 @query("fill_bounds", f"""WITH {CELLS}, {LONG}, s AS (
   SELECT batch, col, min(v) AS mn, quantile_cont(v, 0.05) AS q FROM long GROUP BY batch, col)
-SELECT batch AS "Batch", ': Mean' AS suffix, round(avg(mn) + 0.0, 4) AS low, round(avg(q) + 0.0, 4) AS high,
+SELECT batch AS "Batch", ': Mean' AS suffix, round(avg(mn) + 0.0, 6) AS low, round(avg(q) + 0.0, 6) AS high,
        ceil((avg(q) - avg(mn)) / 6) + 0.0 AS spread FROM s GROUP BY batch""")
 def fill_bounds(spark, sf_dir):
-    return round_columns(panel.fill_bounds(narrow(spark, sf_dir), [": Mean"], ["Batch"]), 4)
+    return round_columns(panel.fill_bounds(narrow(spark, sf_dir), [": Mean"], ["Batch"]))
 
 
 @query("filled_markers", f"""WITH {CELLS}
