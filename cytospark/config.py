@@ -31,6 +31,7 @@ class RunConfig:
     # Normalisation; a name outside the four methods compares all of them.
     normalization: str = "boxcox"
     quantile_references: int = 1024
+    exact_quantiles: bool = True
     gate: bool = True
     gate_prefix_match: str = "exact"
     cluster: bool = False

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cytospark.functions.names import col, cols, melt, nuclear_only, short_marker, without_nuclear
+from cytospark.functions.names import col, cols, melt, nuclear_only, per_column, short_marker, without_nuclear
 from cytospark.functions.scalars import guarded_ratio
 from cytospark.operators.quantiles import EXACT_ROWS, long_quantiles
 from cytospark.operators.sizing import join_summary
@@ -20,9 +20,8 @@ def _short(columns: Sequence[str]) -> Column:
 
 def cv_by_slide(df: DataFrame, slide: str, columns: Sequence[str], name: str) -> DataFrame:
     """Coefficient of variation per (marker, slide); null unless the mean is positive."""
-    return melt(df, columns, [slide]).groupBy(col(slide).alias("slide"), "column").agg(
-        guarded_ratio(F.stddev_samp("value"), F.avg("value")).alias(name)
-    )
+    cv = per_column(df, columns, [slide], guarded_ratio(F.stddev_samp("value"), F.avg("value")).alias(name))
+    return cv.select(col(slide).alias("slide"), "column", name)
 
 
 def cv_metrics(before: DataFrame, after: DataFrame, slide: str, columns: Sequence[str]) -> DataFrame:
@@ -121,7 +120,7 @@ def slide_boxes(df: DataFrame, slide: str, columns: Sequence[str], exact_rows: i
 
 def marker_extremes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Darkest and brightest column by mean."""
-    means = melt(df, columns).groupBy("column").agg(F.avg("value").alias("mean"))
+    means = per_column(df, columns, [], F.avg("value").alias("mean"))
     return means.agg(
         F.min_by("column", F.struct("mean", "column")).alias("darkest"),
         F.min("mean").alias("darkest_mean"),
@@ -153,8 +152,8 @@ def method_comparison(df: DataFrame, nuclear: str, columns: Sequence[str], bins:
 
 def scatter_reference(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Largest value before and after per example column."""
-    a = melt(before, columns).groupBy("column").agg(F.max("value").alias("max_original"))
-    b = melt(after, columns).groupBy("column").agg(F.max("value").alias("max_transformed"))
+    a = per_column(before, columns, [], F.max("value").alias("max_original"))
+    b = per_column(after, columns, [], F.max("value").alias("max_transformed"))
     return a.join(b, "column").select(_short(columns).alias("marker"), "max_original", "max_transformed")
 
 

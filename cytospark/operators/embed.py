@@ -142,7 +142,7 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str = "components", k: i
 
 
 def cluster_cells(df: DataFrame, key: str, n_clusters: int, vector: str = "components",
-                  k: int = NEIGHBOURS, dims: int = GRAPH_COMPONENTS, iterations: int = 20) -> DataFrame:
+                  k: int = NEIGHBOURS, dims: int = GRAPH_COMPONENTS, iterations: int = 40) -> DataFrame:
     """Clusters of the neighbour graph by power iteration: key, cluster.
 
     ``key`` must be a long. Edges are undirected, weight 1 / (1 + distance).

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytospark.functions.names import col, cols, compartment_prefix, marker_of, melt, numeric_columns
+from cytospark.functions.names import col, cols, compartment_prefix, marker_of, melt_indexed, named, numeric_columns
 from cytospark.operators.sizing import join_summary, small_or_none
 
 # Fixed values of the fit: deviations above the background mean, density grid,
@@ -33,12 +33,12 @@ def fine_histogram(df: DataFrame, columns: Sequence[str], groups: Sequence[str]
 
     Two map-side combined passes; at most ``bins`` rows per (group, column).
     """
-    keys = [*groups, "column"]
-    long = melt(df, columns, groups)
+    keys = [*groups, "_pos"]
+    long = melt_indexed(df, columns, groups)
     spans = long.groupBy(*cols(keys)).agg(F.min("value").alias("low"), F.max("value").alias("high"))
     width = (F.col("high") - F.col("low")) / bins
     spot = F.when(width > 0, F.floor((F.col("value") - F.col("low")) / F.when(width > 0, width))).otherwise(0)
-    return (
+    binned = (
         join_summary(long, spans, keys)
         .groupBy(*cols(keys), F.least(spot, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(
@@ -47,6 +47,7 @@ def fine_histogram(df: DataFrame, columns: Sequence[str], groups: Sequence[str]
             F.first("low").alias("low"), F.first("high").alias("high"),
         )
     )
+    return named(binned, columns)
 
 
 def _mixture(x: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:

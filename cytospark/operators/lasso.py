@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cytospark.functions.names import col, cols, melt, nan_to_null
+from cytospark.functions.names import col, cols, nan_to_null, per_column
 from cytospark.functions.scalars import alpha_grid
 from cytospark.operators.lasso_math import Moments, alpha_path, eliminate, lasso, rfe_score
 from cytospark.operators.ranking import class_caps, fold_ids, repeated_folds, train_test
@@ -225,8 +225,7 @@ def importance_levels(ranked: DataFrame, shown: int = TOP_SHOWN) -> DataFrame:
 
 
 def column_variances(df: DataFrame, features: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    return melt(df, features, groups, keep_null=True).groupBy(*cols(groups), "column").agg(
-        F.var_pop(F.coalesce("value", F.lit(0.0))).alias("variance"))
+    return per_column(df, features, groups, F.var_pop("value").alias("variance"), fill=0.0)
 
 
 def variance_summary(variances: DataFrame, groups: Sequence[str] = (),
@@ -286,7 +285,7 @@ def all_moments(df: DataFrame, label: str, features: Sequence[str], keys: Sequen
     named = df.filter(col(label).isNotNull())
     folded = fold_ids(named, [label], keys, folds, seed)
     packed = feature_array(folded.withColumn("label", col(label)), features, ["fold", "label"])
-    means = melt(named, features).groupBy("column").agg(F.avg("value").alias("m")).collect()
+    means = per_column(named, features, [], F.avg("value").alias("m")).collect()
     shift = np.array([{r["column"]: r["m"] for r in means}.get(c, 0.0) for c in features])
     parts = packed.coalesce(df.sparkSession.sparkContext.defaultParallelism).mapInPandas(
         _partition_moments(width, shift), PART_SCHEMA)

@@ -18,8 +18,11 @@ from cytospark.functions.names import (
     cols,
     matching,
     melt,
+    melt_indexed,
+    named,
     nan_to_null,
     numeric_columns,
+    per_column,
 )
 from cytospark.functions.scalars import log_plus_one, power_transform
 from cytospark.operators import dispersion
@@ -75,9 +78,7 @@ def _apply(df: DataFrame, params: DataFrame, groups: Sequence[str], columns: Seq
 # -- min-max ------------------------------------------------------------------
 
 def minmax_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    return melt(df, columns, groups).groupBy(*cols(groups), "column").agg(
-        F.min("value").alias("low"), F.max("value").alias("high")
-    )
+    return per_column(df, columns, groups, F.min("value").alias("low"), F.max("value").alias("high"))
 
 
 def minmax(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = (),
@@ -107,10 +108,11 @@ def logscale(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 # -- quantile -----------------------------------------------------------------
 
 def quantile_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (),
-                 n_quantiles: int = QUANTILE_REFERENCES, exact_rows: int = EXACT_ROWS) -> DataFrame:
+                 n_quantiles: int = QUANTILE_REFERENCES, exact_rows: int = EXACT_ROWS,
+                 exact: bool = True) -> DataFrame:
     """Reference values at evenly spaced probabilities, on all rows."""
     probs = np.linspace(0.0, 1.0, n_quantiles).tolist()
-    return quantiles(df, columns, probs, groups, exact_rows).drop("n")
+    return quantiles(df, columns, probs, groups, exact_rows, exact=exact).drop("n")
 
 
 def _uniform_scores(x: np.ndarray, refs: np.ndarray, probs: np.ndarray) -> np.ndarray:
@@ -128,7 +130,8 @@ def _uniform_scores(x: np.ndarray, refs: np.ndarray, probs: np.ndarray) -> np.nd
 
 
 def quantile(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = (),
-             n_quantiles: int = QUANTILE_REFERENCES, exact_rows: int = EXACT_ROWS) -> DataFrame:
+             n_quantiles: int = QUANTILE_REFERENCES, exact_rows: int = EXACT_ROWS,
+             exact: bool = True) -> DataFrame:
     """Map every column to uniform [0, 1] by its own quantiles; null gives 0.
 
     The references are a few values per (group, column). They travel with the
@@ -137,7 +140,7 @@ def quantile(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequen
     """
     columns = matching(df, SCALER_PATTERN) if columns is None else list(columns)
     groups = list(groups)
-    fitted = quantile_fit(df, columns, groups, n_quantiles, exact_rows)
+    fitted = quantile_fit(df, columns, groups, n_quantiles, exact_rows, exact)
     local = small_or_none(fitted)
     if local is None:
         raise ValueError("too many (group, column) pairs for one quantile fit; fit groups in parts")
@@ -192,19 +195,19 @@ class BoxCoxSearch:
 
 
 def _shifted(df: DataFrame, columns: Sequence[str], groups: Sequence[str]) -> DataFrame:
-    """Long form of x + 1, missing values counted as 0."""
-    narrow = df.select(*cols(groups), *[
-        (F.coalesce(nan_to_null(col(c).cast("double")), F.lit(0.0)) + 1.0).alias(c) for c in columns
-    ])
-    return narrow.unpivot(cols(groups), cols(columns), "column", "x")
+    """Long form (groups, _pos, x) of x + 1, missing values counted as 0."""
+    long = melt_indexed(df, columns, groups, fill=0.0)
+    return long.select(*cols(groups), "_pos", (F.col("value") + 1.0).alias("x"))
 
 
-def log_likelihood(shifted: DataFrame, groups: Sequence[str], lambdas: Sequence[float]) -> DataFrame:
-    """Box-Cox log-likelihood of x at fixed lambdas: groups, column, lambda, llf.
+def log_likelihood(df: DataFrame, columns: Sequence[str], groups: Sequence[str],
+                   lambdas: Sequence[float]) -> DataFrame:
+    """Box-Cox log-likelihood of x + 1 at fixed lambdas: groups, column, lambda, llf.
 
     (l - 1) * sum(ln x) - n/2 * ln(var_pop(y_l)), one aggregation for all.
     """
-    keys = [*groups, "column"]
+    keys = [*groups, "_pos"]
+    shifted = _shifted(df, columns, groups)
     spreads = [
         F.var_pop(power_transform(F.col("x"), lam)).alias(f"_v{i}") for i, lam in enumerate(lambdas)
     ]
@@ -215,11 +218,12 @@ def log_likelihood(shifted: DataFrame, groups: Sequence[str], lambdas: Sequence[
         F.struct(F.lit(float(lam)).alias("lambda"), F.col(f"_v{i}").alias("v"))
         for i, lam in enumerate(lambdas)
     ]))
-    return stats.select(*cols(keys), "_n", "_s", rows.alias("_r")).select(
+    out = stats.select(*cols(keys), "_n", "_s", rows.alias("_r")).select(
         *cols(keys),
         F.col("_r.lambda").alias("lambda"),
         ((F.col("_r.lambda") - 1) * F.col("_s") - F.col("_n") / 2 * F.log("_r.v")).alias("llf"),
     )
+    return named(out, columns)
 
 
 def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (),
@@ -231,7 +235,7 @@ def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
     the parabola through its neighbours) with a smaller step; one on the border
     moves the grid. Only one row per group and column travels between passes.
     """
-    keys = [*groups, "column"]
+    keys = [*groups, "_pos"]
     long = _shifted(df, columns, groups)
     base = small_or_none(long.groupBy(*cols(keys)).agg(
         F.count("x").alias("n"), F.min("x").alias("_min"), F.max("x").alias("_max"),
@@ -280,7 +284,7 @@ def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
     fitted = df.sparkSession.createDataFrame(
         [(*k, int(r["n"]), best.get(k)) for r in rows for k in [tuple(r[c] for c in keys)]],
         f"{key_types}, n bigint, lambda double")
-    return fitted
+    return named(fitted, columns)
 
 
 def boxcox(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = (),
@@ -301,9 +305,9 @@ def boxcox_record(before: DataFrame, after: DataFrame, fitted: DataFrame, column
                   groups: Sequence[str] = ()) -> DataFrame:
     """Per feature: mean before, lambda (3 decimals, or Failed), mean/min/max after."""
     keys = [*groups, "column"]
-    filled = melt(before, columns, groups, keep_null=True).groupBy(*cols(keys)).agg(
-        F.avg(F.coalesce("value", F.lit(0.0))).alias("pre_mean"))
-    post = melt(after, columns, groups).groupBy(*cols(keys)).agg(
+    filled = per_column(before, columns, groups, F.avg("value").alias("pre_mean"), fill=0.0)
+    post = per_column(
+        after, columns, groups,
         F.avg("value").alias("post_mean"), F.min("value").alias("post_min"), F.max("value").alias("post_max"))
     text = F.coalesce(F.format_string("%.3f", F.col("lambda")), F.lit("Failed"))
     return filled.join(fitted, keys).join(post, keys).select(
@@ -327,8 +331,7 @@ def lambda_summary(record: DataFrame) -> DataFrame:
 
 def scaling_summary(after: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Number of columns, mean of the ranges, overall minimum and maximum."""
-    ranges = melt(after, columns).groupBy("column").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"))
+    ranges = minmax_fit(after, columns)
     return ranges.agg(
         F.count(F.lit(1)).alias("total_features_transformed"),
         F.avg(F.col("high") - F.col("low")).alias("mean_scale_factor"),
@@ -346,12 +349,13 @@ def finite_max(df: DataFrame, columns: Sequence[str], default: float = 65535.0)
 # -- choice of the method -----------------------------------------------------
 
 def normalize(df: DataFrame, method: str, columns: Sequence[str] | None = None,
-              groups: Sequence[str] = (), n_quantiles: int = QUANTILE_REFERENCES) -> DataFrame:
+              groups: Sequence[str] = (), n_quantiles: int = QUANTILE_REFERENCES,
+              exact: bool = True) -> DataFrame:
     method = METHOD_ALIASES.get(method, method)
     if method == "boxcox":
         return boxcox(df, columns, groups)
     if method == "quantile":
-        return quantile(df, columns, groups, n_quantiles)
+        return quantile(df, columns, groups, n_quantiles, exact=exact)
     if method == "minmax":
         return minmax(df, columns, groups)
     if method == "logscale":
@@ -360,9 +364,9 @@ def normalize(df: DataFrame, method: str, columns: Sequence[str] | None = None,
 
 
 def normalize_all(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = (),
-                  n_quantiles: int = QUANTILE_REFERENCES) -> dict[str, DataFrame]:
+                  n_quantiles: int = QUANTILE_REFERENCES, exact: bool = True) -> dict[str, DataFrame]:
     """The table under every method, by method name."""
-    return {m: normalize(df, m, columns, groups, n_quantiles) for m in METHODS}
+    return {m: normalize(df, m, columns, groups, n_quantiles, exact) for m in METHODS}
 
 
 def compare_methods(df: DataFrame, tables: dict[str, DataFrame], slide: str,

@@ -13,7 +13,7 @@ from cytospark.functions.names import (
     cols,
     marker_of,
     matching,
-    melt,
+    per_column,
     stat_suffixes,
 )
 from cytospark.functions.scalars import at_least
@@ -75,8 +75,8 @@ def missing_markers(markers: DataFrame) -> DataFrame:
 
 def column_summary(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
     """count, mean, std, min, percentiles and max per column, long form."""
-    long = melt(df, columns, groups)
-    base = long.groupBy(*cols(groups), "column").agg(
+    base = per_column(
+        df, columns, groups,
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
@@ -172,6 +172,45 @@ def fill_missing(
     return df.withColumn("_centre", centre).select(*cols(df.columns), *added)
 
 
+def fill_batches(
+    df: DataFrame,
+    absent: DataFrame,
+    batch: str,
+    keys: Sequence[str],
+    per_compartment: bool = False,
+    suffixes: Sequence[str] | None = None,
+    seed: int = 42,
+) -> DataFrame:
+    """Fill what each batch lacks, for all batches in one projection.
+
+    ``absent`` holds (marker, batch). Bounds come from each batch's own columns;
+    centres are drawn by hash from (batch, column). The per-batch parameters,
+    one row each, are joined to the rows.
+    """
+    lacking = absent.groupBy(F.col("batch").alias(batch)).agg(F.collect_set("marker").alias("_lacking"))
+    markers = sorted(r["marker"] for r in absent.select("marker").distinct().collect())  # the panel
+    if not markers:
+        return df
+    suffixes = list(suffixes or stat_suffixes(per_compartment))
+    known = [s for s in suffixes if matching(df, s)]
+    bounds = fill_bounds(df, known, [batch]).groupBy(col(batch)).agg(F.map_from_entries(F.collect_list(
+        F.struct("suffix", F.struct("low", "high", "spread")))).alias("_bounds"))
+    plan = lacking.join(bounds, batch)
+    centre = F.pmod(F.xxhash64(F.lit(f"{seed}/centre"), *cols(keys)), F.lit(NOISE_CENTRES))
+    rows = join_summary(df, plan, [batch], "left").withColumn("_centre", centre)
+    filled = {}
+    for marker in markers:
+        for suffix in known:
+            name = marker + suffix
+            b = F.col("_bounds")[suffix]
+            spot = _uniform([batch, "_centre"], f"{seed}/{name}")
+            value = at_least(b["low"] + spot * (b["high"] - b["low"]) + normal_noise(keys, f"{seed}/{name}") * b["spread"], 0.0)
+            own = col(name) if name in df.columns else F.lit(None).cast("double")
+            filled[name] = F.when(F.array_contains("_lacking", marker), value).otherwise(own).alias(name)
+    return rows.select(
+        *[filled.pop(c) if c in filled else col(c) for c in df.columns], *filled.values())
+
+
 def fill_report(spark: SparkSession, batch: str, before: Sequence[str], after: Sequence[str],
                 missing: Sequence[str]) -> DataFrame:
     """Column counts of the fill, one row."""

@@ -70,7 +70,8 @@ def cutoffs(
     ).select(*cols(g), "_prefix", "n", "q", (F.col("k") - F.col("_upto") + F.col("_c")).alias("_r"))
     targets = settle(targets, "cutoff_targets")
 
-    edges = join_summary(base, targets.select(*cols(g), "_prefix").distinct(), [*g, "_prefix"])
+    # Settled already: a local table is broadcast by its known size, a stored one is not.
+    edges = base.join(targets.select(*cols(g), "_prefix").distinct(), [*g, "_prefix"])
     edges = edges.withColumn(
         "_r", F.row_number().over(W.partitionBy(*g, "_prefix").orderBy("_hash")).cast("long")
     )

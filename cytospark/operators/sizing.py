@@ -45,6 +45,18 @@ def join_summary(
     return df.join(summary, list(on), how)
 
 
+def join_stored(df: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "left",
+                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Like ``join_summary`` for a summary that grows with the rows.
+
+    It is computed once into the shared folder and its size read from there, so
+    a large one costs no second pass and no rows on the driver.
+    """
+    stored = durable(summary, "summary")
+    small = stored.count() <= max_rows
+    return df.join(F.broadcast(stored) if small else stored, list(on), how)
+
+
 def settle(summary: DataFrame, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Compute a summary once: a local table where it is small, else a stored one."""
     small = small_or_none(summary, max_rows)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cytospark.functions.names import X_COLUMN, Y_COLUMN, col, cols
 from cytospark.functions.scalars import bin_index
-from cytospark.operators.sizing import join_summary
+from cytospark.operators.sizing import join_stored, join_summary
 
 # Bin edge and the count up to which a bin is sparse.
 BIN_SIZE = 120.0
@@ -30,10 +30,12 @@ def bin_density(df: DataFrame, image: str = "Image", x: str = X_COLUMN, y: str =
     """Adds binX, binY, bin_density and low_bin_density.
 
     Counting first and joining back combines a crowded bin on the map side; a
-    window over the bins would bring all its rows into one task.
+    window over the bins would bring all its rows into one task. The bins grow
+    with the slides, so their counts are stored, and beyond the broadcast bound
+    the join is a shuffle in which adaptive execution splits crowded bins.
     """
     binned = with_bins(df, x, y, size)
-    joined = join_summary(binned, bin_counts(binned, image), [image, "binX", "binY"], "left")
+    joined = join_stored(binned, bin_counts(binned, image), [image, "binX", "binY"])
     return joined.select(
         *cols(df.columns), "binX", "binY", "bin_density",
         (F.col("bin_density") <= cutoff).alias("low_bin_density"),

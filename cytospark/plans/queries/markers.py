@@ -230,8 +230,7 @@ def llf_sql(lam):
 @query("boxcox_likelihood", f"WITH {CELLS}, {LONG} " + " UNION ALL ".join(llf_sql(x) for x in LAMBDAS))
 def boxcox_likelihood(spark, sf_dir):
     c = narrow(spark, sf_dir)
-    shifted = normalize._shifted(c, MEANS, ["Batch"])
-    llf = normalize.log_likelihood(shifted, ["Batch"], LAMBDAS)
+    llf = normalize.log_likelihood(c, MEANS, ["Batch"], LAMBDAS)
     sizes = c.groupBy("Batch").agg(F.count(F.lit(1)).alias("n"))
     return llf.join(sizes, "Batch").select("Batch", "column", "lambda", rounded(F.col("llf") / F.col("n")).alias("llf"))
 

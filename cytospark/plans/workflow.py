@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytospark.config import RunConfig
-from cytospark.functions.names import BOXCOX_PATTERN, col, cols, feature_columns, marker_of, matching
+from cytospark.functions.names import BOXCOX_PATTERN, col, cols, feature_columns, matching
 from cytospark.operators import (
     abundance,
     boosting,
@@ -72,20 +72,8 @@ class Workflow:
         means = [m for m in df.columns if "Mean" in m]
         seen = panel.present_columns(df, c.batch, means)
         absent = panel.missing_markers(panel.observed_markers(seen, "batch"))
-        lacking: dict[str, list[str]] = {}
-        for r in absent.collect():  # markers x batches
-            lacking.setdefault(r["batch"], []).append(r["marker"])
-        if not lacking:
-            return df
-        parts = [df.filter(~col(c.batch).isin(list(lacking)))]
-        for batch, markers in sorted(lacking.items()):
-            rows = df.filter(col(c.batch) == batch)
-            kept = rows.select(cols(n for n in df.columns if not (marker_of(n) in markers and ":" in n)))
-            parts.append(panel.fill_missing(kept, markers, [CELL_ID], c.per_compartment))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return durable(out.select(cols(df.columns)), "filled", [c.batch])
+        filled = panel.fill_batches(df, absent, c.batch, [CELL_ID], c.per_compartment)
+        return durable(filled, "filled", [c.batch])
 
     def normalized(self, df: DataFrame) -> tuple[DataFrame, str]:
         """Normalise per batch, then gate the background per batch."""
@@ -94,10 +82,10 @@ class Workflow:
         method = normalize.METHOD_ALIASES.get(c.normalization, c.normalization)
         if method not in normalize.METHODS:
             means = [m for m in measures if "Mean" in m]
-            tables = normalize.normalize_all(df, measures, [c.batch], c.quantile_references)
+            tables = normalize.normalize_all(df, measures, [c.batch], c.quantile_references, c.exact_quantiles)
             method = normalize.pick_best(normalize.compare_methods(df, tables, c.slide, means))
         columns = None if method == "logscale" else measures
-        out = durable(normalize.normalize(df, method, columns, [c.batch], c.quantile_references), "normalized", [c.batch])
+        out = durable(normalize.normalize(df, method, columns, [c.batch], c.quantile_references, c.exact_quantiles), "normalized", [c.batch])
         if c.gate:
             gated = gating.gate_background(out, groups=[c.batch], prefix_match=c.gate_prefix_match)
             out = durable(gated, "gated", [c.batch])

@@ -98,7 +98,7 @@ def test_density_is_the_same_without_broadcast(spark, monkeypatch):
     rows = [("i1", float(i % 700), float(i % 31)) for i in range(2000)]
     df = spark.createDataFrame(rows, f"Image string, `{names.X_COLUMN}` double, `{names.Y_COLUMN}` double")
     want = sorted(map(tuple, spatial.bin_density(df).collect()))
-    monkeypatch.setattr(sizing.join_summary, "__defaults__", ("inner", 1))
+    monkeypatch.setattr(sizing.join_stored, "__defaults__", ("left", 1))
     assert sorted(map(tuple, spatial.bin_density(df).collect())) == want
 
 
