@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import col, cols, compartment_prefix, marker_of, melt_indexed, named, numeric_columns
-from cytospark.operators.sizing import join_summary, small_or_none
+from cytospark.operators.sizing import join_summary, small_or_none, spread
 
 # Fixed values of the fit: deviations above the background mean, density grid,
 # stop rule and variance floor of the mixture.
@@ -134,7 +134,7 @@ def thresholds(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, **fit_background(pdf)}])
 
-    return hist.groupBy(*cols(keys)).applyInPandas(fit, schema)
+    return spread(hist, *keys).groupBy(*cols(keys)).applyInPandas(fit, schema)
 
 
 def _touches(source: str, other: str, prefix_match: str) -> tuple[bool, bool]:

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from cytospark.functions.names import col, cols, nan_to_null, per_column
 from cytospark.functions.scalars import alpha_grid
 from cytospark.operators.lasso_math import Moments, alpha_path, eliminate, lasso, rfe_score
-from cytospark.operators.ranking import class_caps, fold_ids, repeated_folds, train_test
-from cytospark.operators.sizing import join_summary
+from cytospark.operators.ranking import bounded_folds, bounded_repeats, bounded_train_test, class_caps, fold_ids
+from cytospark.operators.sizing import join_summary, spread
 
 # Folds of the penalty search, folds and repeats of the
 # elimination, selector penalty, variance threshold, share of a deviation that
@@ -72,15 +72,15 @@ def search_alphas(sets: DataFrame, keys: Sequence[str], alphas: Sequence[float]
     Folds are contiguous blocks of the hash order within a class's rows.
     """
     grid = np.asarray(alphas if alphas is not None else alpha_grid())
-    split = train_test(sets, ["celltype", "target"], keys, test_size)
-    folded = fold_ids(split.filter(~F.col("is_test")), ["celltype"], keys, folds)
+    split = bounded_train_test(sets, ["celltype", "target"], keys, test_size)
+    folded = bounded_folds(split.filter(~F.col("is_test")), ["celltype"], keys, folds)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = _fold_moments(pdf, ["fold"])
         return alpha_scores(pdf["celltype"].iloc[0], list(parts.values()), grid)
 
-    return folded.select("celltype", "target", "fold", "features").groupBy("celltype").applyInPandas(
-        solve, ALPHA_SCHEMA)
+    rows = folded.select("celltype", "target", "fold", "features")
+    return spread(rows, "celltype").groupBy("celltype").applyInPandas(solve, ALPHA_SCHEMA)
 
 
 def alpha_scores(celltype: str, parts: list[Moments], grid: np.ndarray) -> pd.DataFrame:
@@ -126,7 +126,7 @@ def rfe_scores(sets: DataFrame, best: DataFrame, keys: Sequence[str], counts: Se
                max_iter: int = 1000) -> DataFrame:
     """Score of recursive elimination per class, number of features, repeat and fold."""
     counts = sorted(counts)
-    folded = repeated_folds(sets, ["celltype", "target"], keys, splits, repeats)
+    folded = bounded_repeats(sets, ["celltype", "target"], keys, splits, repeats)
     tasks = join_summary(
         folded.select("celltype", "target", "repeat", "fold", "features"), best.select("celltype", "best_alpha"), ["celltype"])
 
@@ -135,7 +135,7 @@ def rfe_scores(sets: DataFrame, best: DataFrame, keys: Sequence[str], counts: Se
         return elimination_scores(pdf["celltype"].iloc[0], int(pdf["repeat"].iloc[0]),
                                   _fold_moments(pdf, ["fold"]), alpha, counts, selector_alpha, max_iter)
 
-    return tasks.groupBy("celltype", "repeat").applyInPandas(solve, RFE_SCHEMA)
+    return spread(tasks, "celltype", "repeat").groupBy("celltype", "repeat").applyInPandas(solve, RFE_SCHEMA)
 
 
 def elimination_scores(celltype: str, repeat: int, parts: dict, alpha: float, counts: Sequence[int],
@@ -183,7 +183,7 @@ def importances(sets: DataFrame, best: DataFrame, features: Sequence[str]) -> Da
         m = Moments.of(x - x.mean(axis=0), y)
         return coefficient_rows(pdf["celltype"].iloc[0], m, float(pdf["best_alpha"].iloc[0]), names)
 
-    return tasks.groupBy("celltype").applyInPandas(solve, IMPORTANCE_SCHEMA)
+    return spread(tasks, "celltype").groupBy("celltype").applyInPandas(solve, IMPORTANCE_SCHEMA)
 
 
 def coefficient_rows(celltype: str, moments: Moments, alpha: float, names: Sequence[str]) -> pd.DataFrame:
@@ -314,9 +314,7 @@ def all_moments(df: DataFrame, label: str, features: Sequence[str], keys: Sequen
 
 
 def _by_class(df: DataFrame, classes: Sequence[str]) -> DataFrame:
-    spark = df.sparkSession
-    return spark.createDataFrame([(c,) for c in classes], "celltype string").repartition(
-        max(1, len(classes)), "celltype")
+    return spread(df.sparkSession.createDataFrame([(c,) for c in classes], "celltype string"), "celltype")
 
 
 def search_alphas_full(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str],
@@ -354,7 +352,8 @@ def rfe_scores_full(df: DataFrame, label: str, features: Sequence[str], keys: Se
             for r, moments in enumerate(shared.value)
         ])
 
-    return best.select("celltype", "best_alpha").groupBy("celltype").applyInPandas(solve, RFE_SCHEMA)
+    classes = spread(best.select("celltype", "best_alpha"), "celltype")
+    return classes.groupBy("celltype").applyInPandas(solve, RFE_SCHEMA)
 
 
 def importances_full(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str],

@@ -27,9 +27,10 @@ PREFIX_DIGITS = 3  # 16**3 buckets per group
 Quota = Callable[[Column], Column]
 
 
-def order_hash(keys: Sequence[str], seed: int | str = 42) -> Column:
+def order_hash(keys: Sequence[str], seed: Column | int | str = 42) -> Column:
     """Hash text that orders rows; the same text in any SQL engine."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[col(k).cast("string") for k in keys]))
+    first = seed if isinstance(seed, Column) else F.lit(str(seed))
+    return F.md5(F.concat_ws("|", first, *[col(k).cast("string") for k in keys]))
 
 
 def cutoffs(
@@ -171,6 +172,40 @@ def repeated_folds(df: DataFrame, groups: Sequence[str], keys: Sequence[str], fo
     return out.withColumn("_rf", packed).select(*cols(df.columns), "_rf.repeat", "_rf.fold")
 
 
+def bounded_train_test(df: DataFrame, groups: Sequence[str], keys: Sequence[str],
+                       test_size: float = 0.33, seed: int | str = 101) -> DataFrame:
+    """``train_test`` by window ranks, in one shuffle.
+
+    Only for groups of bounded size, such as capped training sets.
+    """
+    part = W.partitionBy(*cols(groups))
+    rank = F.row_number().over(part.orderBy(order_hash(keys, seed)))
+    size = F.count(F.lit(1)).over(part)
+    return df.withColumn("is_test", rank <= fraction_quota(test_size)(size))
+
+
+def bounded_folds(df: DataFrame, groups: Sequence[str], keys: Sequence[str], folds: int,
+                  seed: Column | int | str = 7, name: str = "fold") -> DataFrame:
+    """``fold_ids`` by window ranks, in one shuffle; only for groups of bounded size."""
+    part = W.partitionBy(*cols(groups))
+    order = order_hash(keys, seed)
+    ranked = df.select("*", F.row_number().over(part.orderBy(order)).alias("_rn"),
+                       F.count(F.lit(1)).over(part).alias("_n"))
+    size, longer = F.floor(F.col("_n") / folds), F.col("_n") % folds
+    fold = F.when(
+        F.col("_rn") <= (size + 1) * longer, F.floor((F.col("_rn") - 1) / (size + 1))
+    ).otherwise(F.floor((F.col("_rn") - 1 - longer) / F.greatest(size, F.lit(1))))
+    return ranked.withColumn(name, fold.cast("int")).drop("_rn", "_n")
+
+
+def bounded_repeats(df: DataFrame, groups: Sequence[str], keys: Sequence[str], folds: int = 2,
+                    repeats: int = 3, seed: int = 1) -> DataFrame:
+    """``repeated_folds`` by window ranks; only for groups of bounded size."""
+    copies = df.withColumn("repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)])))
+    text = F.concat(F.lit(f"{seed}."), F.col("repeat").cast("string"))
+    return bounded_folds(copies, [*groups, "repeat"], keys, folds, text)
+
+
 def class_caps(df: DataFrame, label: str, keys: Sequence[str], limit: int = 3000,
                min_labels: int = 20, seed: int | str = 42) -> DataFrame:
     """One-vs-rest training sets for every class with enough labels.

@@ -57,6 +57,16 @@ def join_stored(df: DataFrame, summary: DataFrame, on: Sequence[str], how: str =
     return df.join(F.broadcast(stored) if small else stored, list(on), how)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition small inputs of heavy per-group work by their keys.
+
+    Adaptive execution would merge such small partitions into one task; an
+    explicit number of partitions is left alone.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(count, *[F.col(f"`{k}`") for k in keys])
+
+
 def settle(summary: DataFrame, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Compute a summary once: a local table where it is small, else a stored one."""
     small = small_or_none(summary, max_rows)

@@ -134,3 +134,13 @@ def test_class_table_keeps_classes_without_holdout(skewed):
     assert rows["single"]["holdout"] is None and rows["single"]["counts"] == 1
     assert "single" not in {r["cls"] for r in split.kept_classes(table, "cls").collect()}
     assert abs(sum(r["percent"] for r in rows.values()) - 100) < 0.1
+
+
+def test_bounded_variants_give_the_same_split(skewed):
+    def same(a, b, *names):
+        key = ["id", *names]
+        assert sorted(map(tuple, a.select(key).collect())) == sorted(map(tuple, b.select(key).collect()))
+
+    same(ranking.train_test(skewed, ["cls"], ["id"]), ranking.bounded_train_test(skewed, ["cls"], ["id"]), "is_test")
+    same(ranking.fold_ids(skewed, ["cls"], ["id"], 10), ranking.bounded_folds(skewed, ["cls"], ["id"], 10), "fold")
+    same(ranking.repeated_folds(skewed, ["cls"], ["id"]), ranking.bounded_repeats(skewed, ["cls"], ["id"]), "repeat", "fold")
