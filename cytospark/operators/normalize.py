@@ -226,6 +226,13 @@ def log_likelihood(df: DataFrame, columns: Sequence[str], groups: Sequence[str],
     return named(out, columns)
 
 
+def _times(base: Column, factor: Column, count: int) -> Column:
+    """base * factor^count for a small whole number."""
+    for _ in range(abs(count)):
+        base = base * factor if count > 0 else base / factor
+    return base
+
+
 def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (),
                search: BoxCoxSearch = BoxCoxSearch()) -> DataFrame:
     """Maximum-likelihood lambda per (group, column); null where it cannot be fitted.
@@ -260,10 +267,13 @@ def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
             f"{key_types}, _c double, _h double, _mu double")
         # Relative to the geometric mean the likelihood is -n/2 ln var(x^l / l).
         centred = F.log("x") - F.col("_mu")
-        scan = long.join(F.broadcast(grid), keys).groupBy(*cols(keys)).agg(
-            F.var_pop(centred).alias("_v"),
-            *[F.var_pop(F.exp((F.col("_c") + F.col("_h") * (i - half)) * centred)).alias(f"_v{i}")
-              for i in range(search.points)],
+        # x^(c + k h) = x^c * (x^h)^k, so a value needs two exponentials for all lambdas.
+        powers = long.join(F.broadcast(grid), keys).select(
+            *cols(keys), centred.alias("_z"), F.exp(F.col("_c") * centred).alias("_e"),
+            F.exp(F.col("_h") * centred).alias("_s"))
+        scan = powers.groupBy(*cols(keys)).agg(
+            F.var_pop("_z").alias("_v"),
+            *[F.var_pop(_times(F.col("_e"), F.col("_s"), i - half)).alias(f"_v{i}") for i in range(search.points)],
         )
         for r in scan.collect():
             k = tuple(r[c] for c in keys)
