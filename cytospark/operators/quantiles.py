@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import cols, melt, melt_indexed, named, per_column
-from cytospark.operators.sizing import join_summary, settle
+from cytospark.operators.sizing import join_summary, null_safe_join, settle
 
 EXACT_ROWS = 2_000_000
 BUCKET_BITS = 10
@@ -97,13 +97,13 @@ def _select_ranks(long: DataFrame, keys: list[str], probs: Sequence[float], bits
         *cols(keys),
         F.explode(F.array(F.floor("_h").cast("long"), F.ceil("_h").cast("long"))).alias("_rank"),
     ).distinct()
-    targets = ranks.join(spans, keys).filter(
+    targets = null_safe_join(ranks, spans, keys).filter(
         (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c"))
     ).select(*cols(keys), "_bucket", "_rank", (F.col("_upto") - F.col("_c")).alias("_before"))
     targets = settle(targets, "rank_targets")
 
     hit = targets.select(*cols(keys), "_bucket", "_before").distinct()
-    kept = placed.join(hit, [*keys, "_bucket"])  # settled already
+    kept = null_safe_join(placed, hit, [*keys, "_bucket"])  # settled already
     distinct = kept.groupBy(*cols(keys), "_bucket", "_before", "value").agg(
         F.count(F.lit(1)).alias("_c")
     )
@@ -112,7 +112,7 @@ def _select_ranks(long: DataFrame, keys: list[str], probs: Sequence[float], bits
     )
     ends = distinct.withColumn("_end", F.col("_before") + F.sum("_c").over(in_bucket))
     picked = (
-        ends.drop("_before").join(targets, [*keys, "_bucket"])
+        null_safe_join(ends.drop("_before"), targets, [*keys, "_bucket"])
         .filter((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_c")))
         .select(*cols(keys), "_rank", "value")
     )
@@ -123,7 +123,7 @@ def _select_ranks(long: DataFrame, keys: list[str], probs: Sequence[float], bits
     low, high = at(F.floor("_h")), at(F.ceil("_h"))
     value = low + (F.col("_h") - F.floor("_h")) * (high - low)
     return (
-        points.join(table, keys)
+        null_safe_join(points, table, keys)
         .withColumn("_v", F.struct("_i", value.alias("v")))
         .groupBy(*cols(keys), "n")
         .agg(F.sort_array(F.collect_list("_v")).alias("_vs"))

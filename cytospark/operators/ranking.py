@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import col, cols
-from cytospark.operators.sizing import join_summary, settle, small_or_none
+from cytospark.operators.sizing import join_summary, null_safe_join, settle, small_or_none
 
 PREFIX_DIGITS = 3  # 16**3 buckets per group
 
@@ -72,18 +72,18 @@ def cutoffs(
     targets = settle(targets, "cutoff_targets")
 
     # Settled already: a local table is broadcast by its known size, a stored one is not.
-    edges = base.join(targets.select(*cols(g), "_prefix").distinct(), [*g, "_prefix"])
+    edges = null_safe_join(base, targets.select(*cols(g), "_prefix").distinct(), [*g, "_prefix"])
     edges = edges.withColumn(
         "_r", F.row_number().over(W.partitionBy(*g, "_prefix").orderBy("_hash")).cast("long")
     )
-    hits = edges.join(targets, [*g, "_prefix", "_r"]).select(*cols(g), "q", "_hash")
+    hits = null_safe_join(edges, targets.drop("n"), [*g, "_prefix", "_r"]).select(*cols(g), "q", "_hash")
 
     sizes = counts.groupBy(*g).agg(F.sum("_c").alias("n"))
     found = hits.groupBy(*g).agg(
         F.map_from_entries(F.collect_list(F.struct("q", "_hash"))).alias("_m")
     )
     # A quota of 0 has no cutoff row.
-    out = sizes.join(found, g, "left").select(
+    out = null_safe_join(sizes, found, g, "left").select(
         *cols(g),
         "n",
         F.array(*[

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,16 @@ def small_or_none(
     return summary.sparkSession.createDataFrame(table, schema=summary.schema)
 
 
+def null_safe_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
+                   small: bool = False) -> DataFrame:
+    """Equi-join that also matches null keys, so rows of a null group are kept."""
+    keys = {k: f"_on{i}" for i, k in enumerate(on)}
+    renamed = other.withColumnsRenamed(keys)
+    renamed = F.broadcast(renamed) if small else renamed
+    same = reduce(and_, [F.col("`" + k.replace("`", "``") + "`").eqNullSafe(F.col(v)) for k, v in keys.items()])
+    return df.join(renamed, same, how).drop(*keys.values())
+
+
 def join_summary(
     df: DataFrame,
     summary: DataFrame,
@@ -34,15 +46,15 @@ def join_summary(
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join rows to a per-group summary.
+    """Join rows to a per-group summary; null is a group like any other.
 
     A summary within the bounds is broadcast, so the rows are not shuffled. A
     larger one is joined by shuffle, where adaptive execution splits hot keys.
     """
     small = small_or_none(summary, max_rows)
-    if small is not None:
-        return df.join(F.broadcast(small), list(on), how)
-    return df.join(summary, list(on), how)
+    if small is None:
+        return null_safe_join(df, summary, on, how)
+    return null_safe_join(df, small, on, how, small=True)
 
 
 def join_stored(df: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "left",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cytospark.functions.names import col, cols
 from cytospark.functions.scalars import NEGATIVE_LABELS, clean_label
 from cytospark.operators.ranking import cutoffs, fraction_quota, order_hash
-from cytospark.operators.sizing import join_summary, settle
+from cytospark.operators.sizing import join_summary, null_safe_join, settle
 
 
 def annotated(df: DataFrame, label: str, negatives: Sequence[str] = NEGATIVE_LABELS) -> DataFrame:
@@ -44,7 +44,8 @@ def holdout_split(df: DataFrame, label: str, batch: str, keys: Sequence[str], fr
     quota = fraction_quota(frac, min_count)
     cut = settle(cutoffs(df, [batch, label], keys, [quota], seed), "holdout_cutoffs")
     kept = cut.groupBy(col(label)).agg((F.max(quota(F.col("n"))) > 0).alias("_kept"))
-    plan = cut.select(col(batch), col(label), F.col("cutoffs")[0].alias("_cut")).join(kept, label)
+    plan = cut.select(col(batch), col(label), F.col("cutoffs")[0].alias("_cut"))
+    plan = null_safe_join(plan, kept, [label])
     tagged = join_summary(df.withColumn("_hash", order_hash(keys, seed)), plan, [batch, label])
     return tagged.select(
         *cols(df.columns),

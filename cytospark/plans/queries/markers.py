@@ -103,19 +103,31 @@ def fill_bounds(spark, sf_dir):
 
 
 @query("filled_markers", f"""WITH {CELLS}
-SELECT batch AS "Batch", count(*) AS cells, count(*) AS filled, 0 AS negative, 0 AS out_of_reach
-FROM cells WHERE batch = 'F' GROUP BY batch""")
+SELECT batch AS "Batch", count(*) AS cells, count(*) AS filled, CAST(0 AS BIGINT) AS negative, CAST(0 AS BIGINT) AS out_of_reach,
+  CAST(0 AS BIGINT) AS changed FROM cells GROUP BY batch""")
 def filled_markers(spark, sf_dir):
-    """Fill the markers that batch F lacks; all rows must get a value within reach."""
+    """Fill what a batch lacks: values within reach there, nothing changed elsewhere."""
+    c = partial_panel(spark, sf_dir)
+    high = {r["Batch"]: r["high"] + 9 * r["spread"] for r in panel.fill_bounds(c, [": Mean"], ["Batch"]).collect()}
+    filled = panel.fill_batches(
+        c.withColumn("own", col("Tax: Mean")), panel.missing_markers(present(spark, sf_dir)), "Batch", KEYS, suffixes=[": Mean"])
+    v = col("Tax: Mean")
+    return filled.groupBy("Batch").agg(
+        F.count(F.lit(1)).alias("cells"), F.count(v).alias("filled"), F.count_if(v < 0).alias("negative"),
+        F.count_if((F.col("Batch") == "F") & (v > high["F"])).alias("out_of_reach"),
+        F.count_if((F.col("Batch") != "F") & (v != F.col("own"))).alias("changed"))
+
+
+@query("filled_single_batch", f"""WITH {CELLS}
+SELECT batch AS "Batch", count(*) AS cells, count(*) AS filled, CAST(0 AS BIGINT) AS negative FROM cells WHERE batch = 'F' GROUP BY batch""")
+def filled_single_batch(spark, sf_dir):
+    """One batch on its own, without the column it lacks."""
     f = partial_panel(spark, sf_dir).filter("Batch = 'F'").drop("Tax: Mean")
     lacks = [r["marker"] for r in panel.missing_markers(present(spark, sf_dir)).filter("batch = 'F'").collect()]
-    bounds = panel.fill_bounds(f, [": Mean"]).first()
     filled = panel.fill_missing(f, lacks, KEYS, suffixes=[": Mean"])
     v = col("Tax: Mean")
-    far = (v > bounds["high"] + 9 * bounds["spread"])
     return filled.groupBy("Batch").agg(
-        F.count(F.lit(1)).alias("cells"), F.count(v).alias("filled"),
-        F.count_if(v < 0).cast("int").alias("negative"), F.count_if(far).cast("int").alias("out_of_reach"))
+        F.count(F.lit(1)).alias("cells"), F.count(v).alias("filled"), F.count_if(v < 0).alias("negative"))
 
 
 @query("fill_report", f"""WITH {MARKERS}, f AS (SELECT count(*) AS have FROM m WHERE batch = 'F'),

@@ -106,11 +106,7 @@ class Workflow:
     # -- run ------------------------------------------------------------------
 
     def run(self) -> RunResult:
-        c = self.config
-        return self.run_on(self.merge()) if c.folders else self._no_input()
-
-    def _no_input(self):
-        raise ValueError("no input folder given")
+        return self.run_on(self.merge())
 
     def run_on(self, merged: DataFrame) -> RunResult:
         """All steps after the merge, on a table with a row id."""

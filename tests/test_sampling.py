@@ -144,3 +144,10 @@ def test_bounded_variants_give_the_same_split(skewed):
     same(ranking.train_test(skewed, ["cls"], ["id"]), ranking.bounded_train_test(skewed, ["cls"], ["id"]), "is_test")
     same(ranking.fold_ids(skewed, ["cls"], ["id"], 10), ranking.bounded_folds(skewed, ["cls"], ["id"], 10), "fold")
     same(ranking.repeated_folds(skewed, ["cls"], ["id"]), ranking.bounded_repeats(skewed, ["cls"], ["id"]), "repeat", "fold")
+
+
+def test_a_null_group_is_a_group(spark):
+    df = spark.range(200).select("id", F.when(F.col("id") % 2 == 0, "a").alias("g"))
+    assert ranking.fold_ids(df, ["g"], ["id"], 4).groupBy("g", "fold").count().filter("count <> 25").count() == 0
+    got = ranking.stratified_sample(df, ["g"], ["id"], 0.1).groupBy("g").count().collect()
+    assert sorted(r["count"] for r in got) == [10, 10]
