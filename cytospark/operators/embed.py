@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import PowerIterationClustering
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -141,20 +141,33 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str = "components", k: i
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def smoothed(df: DataFrame, near: DataFrame, key: str, vector: str, dims: int) -> DataFrame:
+    """Each row's vector averaged half and half with the mean of its neighbours: key, vector.
+
+    A row is the neighbour of at most 2 * curves * window others, so no join key
+    is hot.
+    """
+    own = df.select(col(key).alias("id"), F.slice(col(vector), 1, dims).alias("_own"))
+    around = near.select("id", "neighbour").join(
+        own.select(F.col("id").alias("neighbour"), F.col("_own").alias("_v")), "neighbour")
+    means = around.groupBy("id").agg(F.array(*[F.avg(F.col("_v")[d]) for d in range(dims)]).alias("_mean"))
+    both = F.zip_with("_own", F.coalesce("_mean", F.col("_own")), lambda a, b: (a + b) / 2)
+    return own.join(means, "id", "left").select(col("id").alias(key), both.alias(vector))
+
+
 def cluster_cells(df: DataFrame, key: str, n_clusters: int, vector: str = "components",
-                  k: int = NEIGHBOURS, dims: int = GRAPH_COMPONENTS, iterations: int = 40) -> DataFrame:
-    """Clusters of the neighbour graph by power iteration: key, cluster.
+                  k: int = NEIGHBOURS, dims: int = GRAPH_COMPONENTS, seed: int = 42) -> DataFrame:
+    """Clusters of cells on the neighbour graph: key, cluster.
 
-    ``key`` must be a long. Edges are undirected, weight 1 / (1 + distance).
+    Vectors are smoothed over the graph, then grouped by k-means. Both steps
+    are plain distributed passes; power iteration on the same graph converged
+    differently from one partitioning to the next and its lineage only grows.
     """
-    near = nearest_neighbours(df, key, vector, k, dims)
-    edges = near.select(
-        F.least("id", "neighbour").alias("src"), F.greatest("id", "neighbour").alias("dst"),
-        (1.0 / (1.0 + F.col("distance"))).alias("weight"),
-    ).dropDuplicates(["src", "dst"])
-    model = PowerIterationClustering(
-        k=n_clusters, maxIter=iterations, srcCol="src", dstCol="dst", weightCol="weight", initMode="random")
-    return model.assignClusters(durable(edges, "neighbour_edges")).select(col("id").alias(key), "cluster")
+    near = durable(nearest_neighbours(df, key, vector, k, dims), "neighbours")
+    rows = durable(smoothed(df, near, key, vector, dims), "smoothed")
+    prepared = rows.select(col(key), array_to_vector(vector).alias("_vector"))
+    model = KMeans(k=n_clusters, seed=seed, featuresCol="_vector", predictionCol="cluster").fit(prepared)
+    return model.transform(prepared).select(col(key), "cluster")
 
 
 def without_artifacts(df: DataFrame, qc: str = "qc") -> DataFrame:
