@@ -422,11 +422,12 @@ def method_histograms(spark, sf_dir):
 # -- gating -------------------------------------------------------------------
 
 @query("gating_histogram", f"""WITH {CELLS}, {LONG}, b AS (SELECT batch AS bb, col AS bc, min(v) AS lo, max(v) AS hi FROM long GROUP BY batch, col)
-SELECT batch AS "Batch", col AS "column", {hist_sql("v", "lo", "hi", 64)} AS bin, CAST(count(*) AS DOUBLE) AS weight, round(avg(v) + 0.0, 4) AS centre,
+SELECT batch AS "Batch", col AS "column", {hist_sql("v", "lo", "hi", 64)} AS bin, CAST(count(*) AS DOUBLE) AS weight, round(sum(v) + 0.0, 2) AS total,
        round(any_value(lo) + 0.0, 4) AS low, round(any_value(hi) + 0.0, 4) AS high
 FROM long JOIN b ON bb = batch AND bc = col GROUP BY batch, col, {hist_sql("v", "lo", "hi", 64)}""")
 def gating_histogram(spark, sf_dir):
-    return round_columns(gating.fine_histogram(narrow(spark, sf_dir), MEANS, ["Batch"], 64), 4)
+    hist = gating.fine_histogram(narrow(spark, sf_dir), MEANS, ["Batch"], 64)
+    return round_columns(hist.withColumn("total", rounded(F.col("centre") * F.col("weight"), 2)).drop("centre"), 4)
 
 
 @query("background_thresholds")
