@@ -280,14 +280,14 @@ def boxcox_record(spark, sf_dir):
 
 @query("lambda_summary", f"""{BOXCOX}
 SELECT CAST(count(*) + 2 AS BIGINT) AS total_features, count(*) AS successful_transforms, CAST(2 AS BIGINT) AS failed_transforms,
-       round(avg(best), 2) AS mean_lambda, round(median(best), 2) AS median_lambda FROM s4""")
+       round(avg(best), 1) AS mean_lambda, round(median(best), 1) AS median_lambda FROM s4""")
 def lambda_summary(spark, sf_dir):
     """Per batch the four measures and a constant one, which cannot be fitted."""
     c = narrow(spark, sf_dir).withColumn("Flat: Mean", F.lit(5.0))
     names = [*MEANS, "Flat: Mean"]
     fitted = normalize.boxcox_fit(c, names, ["Batch"])
     record = normalize.boxcox_record(c, c, fitted, names, ["Batch"])
-    return round_columns(normalize.lambda_summary(record), 2)
+    return round_columns(normalize.lambda_summary(record), 1)
 
 
 # -- variation ----------------------------------------------------------------
