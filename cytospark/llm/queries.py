@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cytospark.llm import decontaminate, substrings
+from cytospark.llm import decontaminate, language, packing, quality, substrings
 from cytospark.llm.tables import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -63,3 +63,18 @@ from docs d left join left_over using (doc_id)
 def op6(spark, sf_dir):
     out = substrings.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
     return out.withColumnRenamed("kept", "kept_sha256")
+
+
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    return language.report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality")
+def op9(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_packing")
+def op10(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
