@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from cytospark.llm import decontaminate, language, packing, quality, substrings
+import re
+
+from cytospark.llm import decontaminate, language, line_templates, packing, pseudonyms, quality, secret_scan, substrings
 from cytospark.llm.tables import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -78,3 +80,58 @@ def op9(spark, sf_dir):
 @query("op10_packing")
 def op10(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+with docs as (select doc_id, coalesce(text, '') as t from documents),
+rules(ord, kind, pattern, grp, least) as (values
+    (0, 'assign', '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+    (1, 'access', 'AKIA[A-Z0-9]+', 0, 20),
+    (2, 'hex', '[0-9a-f]+', 0, 24),
+    (3, 'private_key', '-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----', 0, 1),
+    (4, 'web_token', 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+', 0, 1),
+    (5, 'access_token', '(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36}', 0, 1),
+    (6, 'chat_token', 'xox[abprs]-[A-Za-z0-9-]{10,}', 0, 1)),
+parts as (
+    {parts}),
+rows as (select doc_id, ord, kind, least, unnest(range(1, len(m) + 1)) as i, unnest(m) as m, unnest(v) as v,
+                unnest(s[1:len(m)]) as s from parts where len(m) > 0),
+places as (
+    select doc_id, ord, kind, least, length(v) as size, length(m) as width,
+           sum(length(s) + length(m)) over (partition by doc_id, ord order by i) as stop
+    from rows),
+spans as (
+    select doc_id, ord, kind, stop - width as start, kind || ':' || cast(stop - width as bigint) || ':' || cast(stop as bigint) as span
+    from places where size >= least),
+lists as (
+    select doc_id, count(*) filter (where ord = 0) as n_assign, count(*) filter (where ord = 1) as n_access,
+           count(*) filter (where ord = 2) as n_hex, string_agg(span, ',' order by start, ord) filter (where ord < 3) as base,
+           string_agg(span, ',' order by start, ord) as spans
+    from spans group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs d left join lists using (doc_id)
+"""
+_PART = """select doc_id, ord, kind, least, regexp_extract_all(t, {p}) as m, regexp_extract_all(t, {p}, {g}) as v,
+           regexp_split_to_array(t, {p}) as s from docs, rules where ord = {i}"""
+
+
+def _op1_sql() -> str:
+    patterns = re.findall(r"^    \((\d), '\w+', ('(?:[^']|'')+'), (\d), \d+\)", OP1_SQL, re.M)
+    parts = "\n    union all ".join(_PART.format(p=p, g=g, i=i) for i, p, g in patterns)
+    return OP1_SQL.replace("{parts}", parts)
+
+
+@query("op1_secret_scan", _op1_sql())
+def op1(spark, sf_dir):
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_pii")
+def op7(spark, sf_dir):
+    return pseudonyms.report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_line_dedup")
+def op8(spark, sf_dir):
+    return line_templates.report(table(spark, sf_dir, "documents"))
