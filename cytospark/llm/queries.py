@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from cytospark.llm import decontaminate, language, line_templates, packing, pseudonyms, quality, secret_scan, substrings
+from cytospark.llm import decontaminate, language, line_templates, neighbours, packing, pseudonyms, quality, secret_scan, substrings
 from cytospark.llm.tables import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -135,3 +135,8 @@ def op7(spark, sf_dir):
 @query("op8_line_dedup")
 def op8(spark, sf_dir):
     return line_templates.report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_nearest_neighbours")
+def op3(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
