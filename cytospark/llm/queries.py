@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from cytospark.llm import decontaminate, language, line_templates, neighbours, packing, pseudonyms, quality, secret_scan, substrings
+from cytospark.llm import decontaminate, jaccard, language, line_templates, neighbours, packing, pseudonyms, quality, secret_scan, substrings
 from cytospark.llm.tables import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -140,3 +140,8 @@ def op8(spark, sf_dir):
 @query("op3_nearest_neighbours")
 def op3(spark, sf_dir):
     return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_jaccard_join")
+def op5(spark, sf_dir):
+    return jaccard.report(table(spark, sf_dir, "documents"))
