@@ -361,11 +361,39 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = classes.join(labels, "key", "left").withColumn("group", F.coalesce("label", "key"))
     classes = kept(classes.where("copies > 1 or label is not null"), "classes")
     groups = classes.groupBy("group").agg(F.min("least").alias("component"))
-    members = kept(classes.join(groups, "group").select("key", "component"), "groups")
+    members = kept(classes.join(groups, "group").select("key", "group", "component"), "groups")
     joined = small_join(rows, members, "key", width=32)
     return joined.select("doc_id", "tie", F.col("n").alias("n_shingles"),
                          F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                         F.when(F.col("n") > 0, F.col("key")).alias("key"))
+                         F.when(F.col("n") > 0, F.col("key")).alias("key"),
+                         F.when(F.col("n") > 0, F.coalesce("group", "key")).alias("group"))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One document of each component: the smallest id (null last), then the smallest text hash.
+
+    Columns are unchanged. Documents without shingles all stay. Of equal rows in a component one stays.
+    """
+    found = kept(near_duplicates(docs, doc_id, text, **options), "near_duplicates")
+    # Classes of a component: its least class stays, all others go.
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("tie").alias("tie"))
+    rows = found.where("key is not null").select("group", place.alias("place"))
+    grouped = rows.groupBy("group").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    chosen = kept(grouped.select("group", "first"), "first_documents")
+    gone = small_join(rows, chosen, "group", width=48).where("first is not null and first != place")
+    gone = kept(gone.select("place").distinct().withColumn("gone", F.lit(True)), "later_documents")
+    twice = rows.groupBy("place").count().where("count > 1")
+    mark, again = fresh(docs.columns, "place"), fresh(docs.columns, "gone")
+    tie = F.coalesce(F.xxhash64(col(text)), F.lit(0))
+    own = F.struct(col(doc_id).isNull().alias("none"), F.coalesce(col(doc_id).cast("bigint"), F.lit(0)).alias("id"), tie.alias("tie"))
+    side = gone.select(F.col("place").alias(mark), F.col("gone").alias(again))
+    left = small_join(docs.withColumn(mark, own), side, mark, width=48).where(F.col(again).isNull()).drop(again)
+    if not twice.isEmpty():  # the same row more than once: one of them stays
+        shingled = F.size(F.filter(F.split(F.coalesce(col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")) > 0
+        only = F.when(shingled, F.lit(0)).otherwise(F.monotonically_increasing_id())
+        number = fresh([*docs.columns, mark], "number")
+        left = left.withColumn(number, only).dropDuplicates([mark, number]).drop(number)
+    return left.drop(mark)
 
 
 def report(docs: DataFrame) -> DataFrame:
