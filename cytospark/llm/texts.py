@@ -13,12 +13,12 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; bounds the memory of a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
-_WHITE = np.zeros(256, dtype=bool)
-_WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD6E8FEB86659FD93 | 1
@@ -94,8 +94,8 @@ class WordHasher:
         if not len(buffer):
             return Block(first, rows, np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64))
         if self.lower:
-            buffer = _LOWER[buffer]
-        inside = ~_WHITE[buffer]
+            buffer = LOWER[buffer]
+        inside = ~WHITE[buffer]
         edge = np.zeros(len(buffer) + 1, dtype=bool)
         edge[bounds] = True
         begins = inside.copy()
