@@ -16,7 +16,7 @@ Query = frozenset | None
 #: Alternatives of a piece of text beyond which it counts as unknown.
 MOST_TEXTS = 64
 #: Characters of a class that are still spelled out.
-MOST_CHARACTERS = 4
+MOST_CHARACTERS = 8
 
 
 def _clause(texts: set[str]) -> Query:
