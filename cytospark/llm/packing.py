@@ -10,8 +10,11 @@ longest first, and pieces are dealt to patterns by their rank in their length.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytospark.llm.tables import col, kept, small_join
-from cytospark.llm.texts import utf8
+from cytospark.llm.texts import LOWER, SLICE_BYTES, WHITE, utf8
 
 LENGTH = 4096
 #: Tokens that a length is rounded up to in the program.
@@ -39,43 +42,102 @@ def tokenizer_path() -> str:
 class WordTokens:
     """Token ids (as little-endian bytes) of texts, encoded word by word.
 
-    This tokenizer drops white space and merges nothing across it, so a text's
-    ids are those of its words. Words are kept until ``most`` of them are held.
+    This tokenizer lowers case, drops white space and merges nothing across it, nor between a letter
+    and a mark, so a text's ids are those of its words. Words are kept in two generations of
+    at most ``most`` each; words of plain small letters need no normaliser.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    #: Small letters that normalisation leaves alone.
+    _PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.letters = _byte_letters()
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
 
     def encode(self, words: list[bytes]) -> list[bytes]:
-        known = self.known
-        new = list(set(words) - known.keys())
-        if len(known) + len(new) > self.most:
-            known.clear()
-            new = list(set(words))
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for word, found in zip(part, encode([w.decode() for w in part], add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        return list(map(known.__getitem__, words))
-
-
-def _texts(column: pa.Array, words_at_once: int = 200_000) -> Iterator[list[list[bytes]]]:
-    """Words of consecutive texts, some at a time."""
+        found: list = list(map(self.young.get, words))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        if gaps:
+            self._learn({words[i] for i in gaps})
+            for i in gaps:
+                found[i] = self.young[words[i]]
+        return found
+
+    def _learn(self, missing: set[bytes]) -> None:
+        if len(self.young) + len(missing) > self.most:
+            self.old, self.young = self.young, {}
+        rest = []
+        young, old, plain, tokenize, letters = self.young, self.old.get, self._PLAIN.fullmatch, self.model.tokenize, self.letters
+        for word in missing:
+            ids = old(word)
+            if ids is None:
+                text = word.decode()
+                if not plain(text):
+                    rest.append((word, text))
+                    continue
+                pieces = tokenize(text if word.isascii() else word.decode("latin-1").translate(letters))
+                ids = b"".join([self.packed[t.id] for t in pieces])
+            young[word] = ids
+        for i in range(0, len(rest), 10_000):
+            part = rest[i:i + 10_000]
+            for (word, _), one in zip(part, self.tokenizer.encode_batch([t for _, t in part], add_special_tokens=False)):
+                young[word] = b"".join([self.packed[i] for i in one.ids])
+
+    def whole(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
+@lru_cache(2)
+def _tokens(path: str) -> WordTokens:
+    """One for each worker process, so tasks share the known words."""
+    return WordTokens(path)
+
+
+#: Texts with this may hold the literal of a special token, which is found before words are.
+_LITERAL = b"<|"
+
+
+def _texts(column: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[list[list[bytes] | bytes]]:
+    """Words of consecutive texts, some at a time; a text with a token's literal comes whole.
+
+    A full stop or comma between a small letter and white space is a word of its own.
+    """
     offsets, data = utf8(column)
-    held, size = [], 0
-    for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
-        words = data[a:b].tobytes().split()
-        held.append(words)
-        size += len(words)
-        if size >= words_at_once:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+    n, low = len(offsets) - 1, 0
+    while low < n:
+        high = int(np.searchsorted(offsets, offsets[low] + slice_bytes, "right")) - 1
+        high = min(max(high, low + 1), n)
+        bounds = offsets[low:high + 1] - offsets[low]
+        raw = data[offsets[low]:offsets[high]]
+        buffer = LOWER[raw]
+        mark = (buffer == 44) | (buffer == 46)
+        letter = (buffer >= 97) & (buffer <= 122)
+        mark[1:] &= letter[:-1]
+        mark[:1] = False
+        mark[:-1] &= WHITE[buffer[1:]]
+        mark[-1:] = False
+        at = np.flatnonzero(mark)
+        spaced = np.insert(buffer, at, 32).tobytes()
+        cuts = (bounds + np.searchsorted(at, bounds)).tolist()
+        out = []
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            text = spaced[a:b]
+            out.append(raw[bounds[i]:bounds[i + 1]].tobytes() if _LITERAL in text else text.split())
+        yield out
+        low = high
 
 
 def cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, length: int = LENGTH,
@@ -90,17 +152,20 @@ def cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
     end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path)
+        tokens = _tokens(path)
         part = TaskContext.get().partitionId()
         seen = [0] * (length // step + 2)
         for batch in batches:
             row, out = 0, []
             for texts in _texts(batch.column(1)):
-                encoded = tokens.encode([w for words in texts for w in words])
+                encoded = tokens.encode([w for words in texts if not isinstance(words, bytes) for w in words])
                 at = 0
                 for words in texts:
-                    ids = b"".join(encoded[at:at + len(words)]) + end
-                    at += len(words)
+                    if isinstance(words, bytes):
+                        ids = tokens.whole(words) + end
+                    else:
+                        ids = b"".join(encoded[at:at + len(words)]) + end
+                        at += len(words)
                     total = len(ids) // 4
                     for start in range(0, total, length):
                         piece = ids[4 * start:4 * (start + length)]
@@ -142,7 +207,7 @@ def _knapsack(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return float(best[capacity]), pattern
 
 
-def plan_patterns(demand: np.ndarray, gap: float = 5e-4, most_columns: int = 6000) -> list[tuple[int, np.ndarray]]:
+def plan_patterns(demand: np.ndarray, gap: float = 2e-3, most_columns: int = 6000) -> list[tuple[int, np.ndarray]]:
     """Patterns with their counts that use up ``demand`` (pieces of size 1..capacity) exactly.
 
     Column generation ends at a proven relative gap, or after ``most_columns`` patterns; the
