@@ -10,7 +10,7 @@ A small ball is joined exactly. In a dense one, pivots are drawn and the distanc
 of every document to them is worked out; each document falls into the
 Voronoi region of its nearest pivot, links to pivots join up components, and
 a document is compared further only with documents of other components whose region the
-triangle inequality leaves open. Pivots grow fourfold with each turn of this recursion
+triangle inequality leaves open. Pivots grow eightfold with each turn of this recursion
 until no pair in doubt is left, so the result is exact.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from cytospark.llm import components
 from cytospark.llm.tables import col, kept, shuffle_partitions, small_join
-from cytospark.llm.texts import WordHasher, fresh, gram_hashes, mix, planes, ragged, unplanes, word_powers
+from cytospark.llm.texts import WordHasher, fresh, gram_hashes, mix, planes, ragged, sliced, unplanes, word_powers
 
 #: Shingles in more documents than this count as frequent and come late in the order.
 FREQUENT = 32
@@ -91,7 +91,7 @@ def _measure(docs: DataFrame, size: int, buckets: int) -> tuple[DataFrame, DataF
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, powers = WordHasher(lower=True), word_powers()
-        for batch in batches:
+        for batch in sliced(batches, 2):
             sets = Shingles(batch.column(2), size, hasher, powers)
             n = batch.num_rows
             spread = pa.array((np.arange(n) % buckets).astype(np.int32))
@@ -151,7 +151,7 @@ def _prefixes(docs: DataFrame, size: int, share: tuple[int, int], frequent: tupl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, powers = WordHasher(lower=True), word_powers()
         known, level = shared.value
-        for batch in batches:
+        for batch in sliced(batches, 0):
             sets = Shingles(batch.column(0), size, hasher, powers)
             keys = sets.keys()
             _, first = np.unique(keys, return_index=True)  # copies in the batch count once
@@ -262,6 +262,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(1 - inter / np.maximum(union, 1)),
                                               pa.array(inter * high >= union * low)], names=["a", "b", "distance", "linked"])
 
+    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    ends = kept(ends.withColumn("asked", F.lit(True)), "pair_ends")
+    sets = small_join(sets, ends, "key", width=24).where("asked").select("key", "codes")
     # A pivot meets many documents: the join splits such keys while it runs.
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("codes").alias("x")), "a")
     both = left.join(sets.select(F.col("key").alias("b"), F.col("codes").alias("y")), "b")
@@ -276,7 +279,7 @@ def _sets(docs: DataFrame, rows: DataFrame, keys: DataFrame, size: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, powers = WordHasher(lower=True), word_powers()
-        for batch in batches:
+        for batch in sliced(batches, 0):
             sets = Shingles(batch.column(0), size, hasher, powers)
             codes = [sets.values[a:b].tobytes() for a, b in zip(sets.offsets[:-1].tolist(), sets.offsets[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(sets.keys()), pa.array(codes, pa.binary())], names=["key", "codes"])
@@ -291,16 +294,16 @@ def _row(doc_id: str, tie: str) -> Column:
 
 
 def _dense(members: DataFrame, found: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Links inside dense balls, pivot turn by pivot turn. ``found``: pairs measured so far."""
+    """Components (key, label) after the dense balls, pivot turn by pivot turn. ``found``: pairs measured so far."""
     low, high = share
     radius = 1 - low / high
     spot = (F.shiftrightunsigned(F.xxhash64("a"), 11).cast("double") / float(1 << 53))  # of a key, in every ball the same
     members = members.withColumn("spot", spot)
     sizes = kept(members.groupBy("ball").agg(F.count(F.lit(1)).alias("size")), "balls")
-    pivots, most = 2, sizes.agg(F.max("size")).first()[0] or 0
+    pivots, most = 8, sizes.agg(F.max("size")).first()[0] or 0
     done = 0
+    labels = kept(components.label(found.where("linked")), "labels")
     while done < most:
-        labels = kept(components.label(found.where("linked").select("a", "b")), "labels")
         state = members.join(labels.select(F.col("key").alias("a"), "label"), "a", "left").withColumn("label", F.coalesce("label", "a"))
         open_balls = state.groupBy("ball").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
         state = kept(state.join(open_balls.where("lo != hi").select("ball", "size"), "ball"), "open_balls")
@@ -320,10 +323,12 @@ def _dense(members: DataFrame, found: DataFrame, sets: DataFrame, share: tuple[i
         reach = ends.select(F.col("a").alias("centre"), "b", F.col("distance").alias("far"))
         window = pair.join(region, "a", "left").join(reach, ["centre", "b"], "left")
         # d(a, b) >= d(centre, b) - d(a, centre)
-        pair = window.where(F.coalesce(F.col("far") - F.col("near"), F.lit(0.0)) <= radius + 1e-9).select("a", "b")
-        found = kept(found.unionByName(_verify(pair, sets, share)), "measured_pairs")
-        done, pivots = pivots, pivots * 4
-    return found
+        pair = kept(window.where(F.coalesce(F.col("far") - F.col("near"), F.lit(0.0)) <= radius + 1e-9).select("a", "b"), "pairs")
+        more = kept(_verify(pair, sets, share), "measured_pairs")
+        labels = kept(components.relabel(labels, more.where("linked")), "labels")
+        found = found.unionByName(more)
+        done, pivots = pivots, pivots * 8
+    return labels
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
@@ -350,13 +355,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     packed = _prefixes(source, size, similarity, frequent, buckets, buckets)
     balls = kept(packed.repartition(buckets, "bucket").mapInArrow(
         _balls(similarity), "ball bigint, a bigint, b bigint, n bigint, left bigint"), "balls")
-    pairs = balls.where("b is not null").select("a", "b").distinct()
+    pairs = kept(balls.where("b is not null").select("a", "b").distinct(), "pairs")
     members = balls.where("b is null").select("ball", "a", "n", "left")
     keys = balls.select(F.col("a").alias("key")).unionByName(balls.where("b is not null").select(F.col("b").alias("key"))).distinct()
     sets = _sets(source, rows, keys, size)
     found = kept(_verify(pairs, sets, similarity), "measured_pairs")
-    found = _dense(members, found, sets, similarity)
-    labels = components.label(found.where("linked").select("a", "b"))
+    labels = _dense(members, found, sets, similarity)
     classes = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     classes = classes.join(labels, "key", "left").withColumn("group", F.coalesce("label", "key"))
     classes = kept(classes.where("copies > 1 or label is not null"), "classes")

@@ -62,6 +62,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, data
 
 
+def sliced(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``most`` bytes of text, a row at least."""
+    for batch in batches:
+        offsets, low = utf8(batch.column(text))[0], 0
+        while low < batch.num_rows:
+            high = int(np.searchsorted(offsets, offsets[low] + most, "right")) - 1
+            high = min(max(high, low + 1), batch.num_rows)
+            yield batch.slice(low, high - low)
+            low = high
+
+
 @dataclass
 class Block:
     """Word hashes of some consecutive rows of a batch."""
