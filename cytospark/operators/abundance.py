@@ -9,10 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import col, cols
-from cytospark.operators.sizing import settle, small_or_none
+from cytospark.operators.sizing import settle
 
 PREDICTION = "CellTypePrediction"
-MAX_CLASSES = 10_000
 
 
 def class_counts(df: DataFrame, groups: Sequence[str], label: str = PREDICTION) -> DataFrame:
@@ -29,10 +28,7 @@ def class_shares(counts: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
 def class_order(counts: DataFrame) -> list[str]:
     """Classes by overall frequency, most frequent first."""
     totals = counts.filter(F.col("class").isNotNull()).groupBy("class").agg(F.sum("n").alias("n"))
-    names = small_or_none(totals, MAX_CLASSES)
-    if names is None:
-        raise ValueError(f"more than {MAX_CLASSES} classes: not a class column")
-    return [r["class"] for r in names.orderBy(F.desc("n"), "class").collect()]
+    return [r["class"] for r in totals.orderBy(F.desc("n"), "class").collect()]
 
 
 def abundance_matrix(counts: DataFrame, sample: str, classes: Sequence[str] | None = None) -> DataFrame:

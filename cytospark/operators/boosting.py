@@ -243,11 +243,6 @@ def evaluate_models(models: dict[str, CellModel], holdout: DataFrame, label: str
     return out
 
 
-def known_labels(df: DataFrame, label: str, encoder: StringIndexerModel) -> DataFrame:
-    """Rows whose class the encoder knows."""
-    return df.filter(col(label).isin(list(encoder.labels)))
-
-
 def decode_labels(df: DataFrame, code: str, encoder: StringIndexerModel, name: str = "class") -> DataFrame:
     """Class names from codes."""
     labels = F.array(*[F.lit(x) for x in encoder.labels])

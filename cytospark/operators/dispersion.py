@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cytospark.functions.names import col, cols, melt, nuclear_only, per_column, short_marker, without_nuclear
-from cytospark.functions.scalars import guarded_ratio
-from cytospark.operators.quantiles import EXACT_ROWS, long_quantiles
-from cytospark.operators.sizing import join_summary
+from cytospark.functions.names import col, cols, matching, melt, nuclear_only, per_column, display_name, without_nuclear
+from cytospark.functions.scalars import every_nth, guarded_ratio
+from cytospark.operators.quantiles import EXACT_ROWS, boxes
 
 
 def _short(columns: Sequence[str]) -> Column:
-    return F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(short_marker(c)))])[F.col("column")]
+    return F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(display_name(c)))])[F.col("column")]
 
 
 def cv_by_slide(df: DataFrame, slide: str, columns: Sequence[str], name: str) -> DataFrame:
@@ -26,9 +25,10 @@ def cv_by_slide(df: DataFrame, slide: str, columns: Sequence[str], name: str) ->
 
 def cv_metrics(before: DataFrame, after: DataFrame, slide: str, columns: Sequence[str]) -> DataFrame:
     """marker, slide, cv_original, cv_transformed, cv_improvement."""
-    both = cv_by_slide(before, slide, columns, "cv_original").join(
-        cv_by_slide(after, slide, columns, "cv_transformed"), ["slide", "column"], "full_outer"
-    )
+    both = cv_by_slide(before, slide, columns, "cv_original").unionByName(
+        cv_by_slide(after, slide, columns, "cv_transformed"), allowMissingColumns=True)
+    # Grouped, not joined: a null slide is a slide.
+    both = both.groupBy("slide", "column").agg(F.max("cv_original").alias("cv_original"), F.max("cv_transformed").alias("cv_transformed"))
     return both.select(
         _short(columns).alias("marker"), "slide", "cv_original", "cv_transformed",
         (F.col("cv_original") - F.col("cv_transformed")).alias("cv_improvement"),
@@ -103,19 +103,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 16, groups: Seq
 def slide_boxes(df: DataFrame, slide: str, columns: Sequence[str], exact_rows: int = EXACT_ROWS) -> DataFrame:
     """Box statistics per slide over the pooled columns (whiskers at 1.5 IQR)."""
     long = melt(df, columns, [slide]).drop("column")
-    quarts = long_quantiles(long, [slide], [0.25, 0.5, 0.75], df.count() * len(columns) <= exact_rows * 4)
-    box = quarts.select(
-        col(slide), "n",
-        F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"), F.col("quantiles")[2].alias("q3"),
-    )
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return join_summary(long, box, [slide]).groupBy(col(slide)).agg(
-        F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
-        F.first("q3").alias("q3"),
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-    )
+    return boxes(long, [slide], df.count() * len(columns) <= exact_rows)
 
 
 def marker_extremes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -150,13 +138,26 @@ def method_comparison(df: DataFrame, nuclear: str, columns: Sequence[str], bins:
     return out
 
 
-def scatter_reference(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+def example_markers(df: DataFrame, nuclear: str, n_examples: int = 5) -> DataFrame:
+    """(place, column) of mean columns spread evenly over the panel, the nuclear stain among them.
+
+    The stain takes the first place where the spread misses it; without a stain
+    the first mean column counts as one.
+    """
+    panel = [F.lit(c) for c in matching(df, "Mean")]
+    one = df.sparkSession.range(1).select(F.array(*panel).cast("array<string>").alias("means"))
+    stain = F.coalesce(F.try_element_at(F.filter("means", lambda c: c.contains(nuclear)), F.lit(1)), F.try_element_at("means", F.lit(1)))
+    spread = every_nth(F.col("means"), F.greatest(F.lit(1), F.floor(F.size("means") / n_examples).cast("int")), F.lit(n_examples))
+    chosen = one.select(spread.alias("spread"), stain.alias("stain")).select(
+        F.when(F.array_contains("spread", F.col("stain")), F.col("spread"))
+        .otherwise(F.concat(F.array("stain"), F.slice("spread", 2, n_examples))).alias("chosen"))
+    return chosen.select(F.posexplode("chosen").alias("place", "column")).filter(F.col("column").isNotNull())
+
+
+def scatter_reference(before: DataFrame, after: DataFrame, nuclear: str, n_examples: int = 5) -> DataFrame:
     """Largest value before and after per example column."""
+    columns = matching(before, "Mean")
     a = per_column(before, columns, [], F.max("value").alias("max_original"))
     b = per_column(after, columns, [], F.max("value").alias("max_transformed"))
-    return a.join(b, "column").select(_short(columns).alias("marker"), "max_original", "max_transformed")
-
-
-def share_of(df: DataFrame, count: str, within: Sequence[str] = ()) -> Column:
-    """Count divided by the total of its group; for pre-aggregated rows."""
-    return F.col(count) / F.sum(count).over(W.partitionBy(*cols(within)) if within else W.partitionBy(F.lit(1)))
+    shown = F.broadcast(example_markers(before, nuclear, n_examples).select("column"))  # n_examples rows
+    return a.join(b, "column").join(shown, "column").select(_short(columns).alias("marker"), "max_original", "max_transformed")

@@ -6,14 +6,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cytospark.functions.names import col, cols, melt, nan_to_null
+from cytospark.operators.sizing import join_summary
 from cytospark.session import durable
 
 # Share of variance to keep, most components, neighbours and
@@ -25,6 +28,7 @@ GRAPH_COMPONENTS = 10
 
 ORDER_BITS = 6  # bits per dimension of the space-filling order
 BATCH_WINDOW = 60  # rows on each side that are compared
+BLOCK_ROWS = 4096  # rows of the order that a task compares at once
 
 
 def components_for(explained: Sequence[float], share: float = VARIANCE_KEPT) -> int:
@@ -67,7 +71,8 @@ def _ordered(df: DataFrame, vector: str, dims: int, curves: int, seed: int) -> D
     ])
     rng = np.random.default_rng(seed)
     shifts = [[0.0] * dims, *rng.uniform(0, 1, size=(curves - 1, dims)).tolist()]
-    cells = 2**ORDER_BITS - 1
+    bits = min(ORDER_BITS, 62 // dims)  # a place has 64 bits
+    cells = 2**bits - 1
     rows = df.crossJoin(F.broadcast(spans))  # one row of bounds
     curve = F.explode(F.array(*[
         F.struct(F.lit(i).alias("curve"), F.array(*[F.lit(v) for v in s]).alias("shift"))
@@ -81,23 +86,51 @@ def _ordered(df: DataFrame, vector: str, dims: int, curves: int, seed: int) -> D
         unit = F.when(width > 0, (F.col(vector)[d] - F.col(f"lo{d}")) / F.when(width > 0, width)).otherwise(0.0)
         spots.append(F.floor((unit + F.col("_c.shift")[d]) / 2 * cells).cast("long").alias(f"_s{d}"))
     rows = rows.select(*cols(df.columns), F.col("_c.curve").alias("_curve"), *spots)
-    for bit in reversed(range(ORDER_BITS)):
+    for bit in reversed(range(bits)):
         for d in range(dims):
             place = place * 2 + F.shiftright(F.col(f"_s{d}"), bit).bitwiseAND(F.lit(1).cast("long"))
     return rows.select(*cols(df.columns), "_curve", place.alias("_place"))
 
 
+def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Running number of each row in its partition."""
+    part, at = TaskContext.get().partitionId(), 0
+    for pdf in batches:
+        yield pdf.assign(_part=part, _at=np.arange(at, at + len(pdf)))
+        at += len(pdf)
+
+
+def _in_order(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Adds ``_row``, the place of each row in the whole order, from sorted partitions and their sizes."""
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = T.StructType([*ranged.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_at", T.LongType())])
+    numbered = durable(ranged.mapInPandas(_numbered, schema), "ordered")  # one partitioning, kept
+    sizes = numbered.groupBy("_part").count()  # a row for each partition
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    return join_summary(numbered, starts, ["_part"]).withColumn("_row", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+
+
 def _window_neighbours(k: int, window: int):
-    """Nearest rows within a window of the order; batches overlap by the window."""
-    def block(ids: np.ndarray, x: np.ndarray, curve: np.ndarray) -> pd.DataFrame:
+    """Nearest rows within a window of the order, for one block with the border rows behind it.
+
+    A pair belongs to the block of its first row, so no pair is lost or seen twice.
+    """
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_row", ignore_index=True)
+        ids, x, curve = pdf["id"].to_numpy(), np.stack(pdf["v"].to_numpy()), pdf["_curve"].to_numpy()
+        own = int((~pdf["_border"].to_numpy()).sum())
         n = len(ids)
         reach = min(window, n - 1)
+        if reach < 1:
+            return pd.DataFrame({"id": ids[:0], "neighbour": ids[:0], "distance": np.zeros(0)})
         dist = np.full((n, 2 * reach), np.inf)
         for off in range(1, reach + 1):
-            d = np.sqrt(((x[off:] - x[:-off]) ** 2).sum(axis=1))
-            d[curve[off:] != curve[:-off]] = np.inf
-            dist[:-off, 2 * off - 2] = d
-            dist[off:, 2 * off - 1] = d
+            first = min(own, n - off)
+            d = np.sqrt(((x[off:off + first] - x[:first]) ** 2).sum(axis=1))
+            d[curve[off:off + first] != curve[:first]] = np.inf
+            dist[:first, 2 * off - 2] = d
+            dist[off:off + first, 2 * off - 1] = d
         take = min(k, 2 * reach)
         best = np.argpartition(dist, take - 1, axis=1)[:, :take]
         rows = np.repeat(np.arange(n), take)
@@ -107,14 +140,6 @@ def _window_neighbours(k: int, window: int):
         other = rows + np.where(pick % 2 == 0, step, -step)
         ok = np.isfinite(d)
         return pd.DataFrame({"id": ids[rows[ok]], "neighbour": ids[other[ok]], "distance": d[ok]})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tail = None
-        for pdf in batches:
-            pdf = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
-            if len(pdf) > 1:
-                yield block(pdf["id"].to_numpy(), np.stack(pdf["v"].to_numpy()), pdf["_curve"].to_numpy())
-            tail = pdf.tail(window)
     return run
 
 
@@ -123,19 +148,25 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str = "components", k: i
                        seed: int = 42) -> DataFrame:
     """Approximate k nearest rows: key, neighbour, distance, rank.
 
-    Rows are sorted along several shifted Z-order curves; candidates are the
-    rows within a window of each order, compared by exact distance. A range
-    partitioning by (curve, place, hash) splits any crowd of equal rows, and the
-    work per row is curves x window whatever the distribution. More curves or a
-    wider window raise the recall.
+    Rows are numbered along several shifted Z-order curves; candidates are the
+    rows within a window of each order, compared by exact distance. The order is
+    cut in blocks, each with the next block's first rows as a border, so the
+    result does not depend on how the table is partitioned. Ties of place are
+    broken by a hash, and the work per row is curves x window whatever the
+    distribution. More curves or a wider window raise the recall.
     """
     used = df.select(col(key).alias("id"), F.slice(col(vector), 1, dims).alias("v"))
-    ordered = _ordered(used, "v", dims, curves, seed)
-    sorted_rows = ordered.repartitionByRange("_curve", "_place", F.xxhash64("id")).sortWithinPartitions(
-        "_curve", "_place", F.xxhash64("id"))
+    ordered = _ordered(used, "v", dims, curves, seed).withColumn("_tie", F.xxhash64("id"))
+    placed = _in_order(ordered, ["_curve", "_place", "_tie"])
+    block = F.floor(F.col("_row") / BLOCK_ROWS)
+    border = (F.col("_row") % BLOCK_ROWS < window) & (block > 0)
+    copies = F.array_compact(F.array(
+        F.struct(block.alias("b"), F.lit(False).alias("border")),
+        F.when(border, F.struct((block - 1).alias("b"), F.lit(True).alias("border")))))
+    blocks = placed.select("id", "v", "_curve", "_row", F.explode(copies).alias("_c")).select(
+        "id", "v", "_curve", "_row", F.col("_c.b").alias("_block"), F.col("_c.border").alias("_border"))
     kind = dict(used.dtypes)["id"]
-    pairs = sorted_rows.select("id", "v", "_curve").mapInPandas(
-        _window_neighbours(k, window), f"id {kind}, neighbour {kind}, distance double")
+    pairs = blocks.groupBy("_block").applyInPandas(_window_neighbours(k, window), f"id {kind}, neighbour {kind}, distance double")
     best = pairs.groupBy("id", "neighbour").agg(F.min("distance").alias("distance"))
     order = W.partitionBy("id").orderBy("distance", "neighbour")  # at most 2 * curves * k rows
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytospark.functions.names import col, cols, compartment_prefix, marker_of, melt_indexed, named, numeric_columns
-from cytospark.operators.sizing import join_summary, small_or_none, spread
+from cytospark.functions.names import col, cols, site_of, marker_of, melt_indexed, named, numeric_columns
+from cytospark.operators.sizing import join_summary, null_safe_join, settle, small_or_none, spread
 
 # Fixed values of the fit: deviations above the background mean, density grid,
 # stop rule and variance floor of the mixture.
@@ -140,10 +140,10 @@ def thresholds(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
 def _touches(source: str, other: str, prefix_match: str) -> tuple[bool, bool]:
     """Whether the delta and the floor of a column reach another column."""
     if prefix_match == "startswith":
-        return other.startswith(marker_of(source)), other.startswith(compartment_prefix(source))
+        return other.startswith(marker_of(source)), other.startswith(site_of(source))
     return (
         marker_of(other) == marker_of(source),
-        compartment_prefix(other) == compartment_prefix(source),
+        site_of(other) == site_of(source),
     )
 
 
@@ -224,6 +224,7 @@ def gate_background(df: DataFrame, columns: Sequence[str] | None = None, groups:
 def gating_summary(df: DataFrame, columns: Sequence[str], fitted: DataFrame, groups: Sequence[str] = (),
                    prefix_match: str = "exact") -> DataFrame:
     """Per (group, column): threshold, mixture, means before, after and of the rise."""
+    fitted = settle(fitted, "gating_fit")  # the mixtures are read twice
     traced = gate(df, columns, fitted, groups, prefix_match, trace=True)
     wide = traced.groupBy(*cols(groups)).agg(F.array(*[
         F.struct(
@@ -235,8 +236,7 @@ def gating_summary(df: DataFrame, columns: Sequence[str], fitted: DataFrame, gro
         for c in columns
     ]).alias("_a"))
     figures = wide.select(*cols(groups), F.inline("_a"))
-    return fitted.select(*cols(groups), "column", "threshold", "means", "stds").join(
-        figures, [*groups, "column"])
+    return null_safe_join(fitted.select(*cols(groups), "column", "threshold", "means", "stds"), figures, [*groups, "column"])
 
 
 def density_curve(fitted: DataFrame, groups: Sequence[str] = (), points: int = DENSITY_POINTS) -> DataFrame:

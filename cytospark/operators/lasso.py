@@ -11,7 +11,7 @@ Two ways lead to the moment matrices that all solves need:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,6 @@ SELECTOR_ALPHA = 1.0
 VARIANCE_THRESHOLD = 0.01
 TOLERATED_DEVIATION = 1 / 8
 TOP_SHOWN = 35
-MAX_FULL_FEATURES = 2000
 
 ALPHA_SCHEMA = "celltype string, alpha double, mean_test_score double, std_test_score double"
 RFE_SCHEMA = "celltype string, n_features int, repeat int, fold int, rfe_score double"
@@ -117,10 +116,6 @@ def alpha_curve(scores: DataFrame, folds: int = ALPHA_FOLDS) -> DataFrame:
     )
 
 
-def feature_counts(low: int = 2, high: int = 3) -> list[int]:
-    return list(range(low, high + 1))
-
-
 def rfe_scores(sets: DataFrame, best: DataFrame, keys: Sequence[str], counts: Sequence[int] = (2, 3),
                splits: int = RFE_SPLITS, repeats: int = RFE_REPEATS, selector_alpha: float = SELECTOR_ALPHA,
                max_iter: int = 1000) -> DataFrame:
@@ -153,6 +148,12 @@ def elimination_scores(celltype: str, repeat: int, parts: dict, alpha: float, co
     return pd.DataFrame(rows, columns=["celltype", "n_features", "repeat", "fold", "rfe_score"])
 
 
+def ranked_rfe(scores: DataFrame) -> DataFrame:
+    """Elimination scores by class, best first; equal scores by fewer features."""
+    order = W.partitionBy("celltype").orderBy(F.desc("rfe_score"), "n_features")  # one row per repeat, fold and count
+    return scores.withColumn("rank", F.row_number().over(order))
+
+
 def rfe_summary(scores: DataFrame, groups: Sequence[str] = ("celltype",)) -> DataFrame:
     """Mean, sample deviation and median of the score per number of features."""
     return scores.groupBy(*cols(groups), "n_features").agg(
@@ -270,25 +271,42 @@ def _partition_moments(width: int, shift: np.ndarray) -> Callable[[Iterator[pd.D
     return run
 
 
+class ClassMoments(Mapping):
+    """Moments per class and fold. The cross products are held once, not once for each class."""
+
+    def __init__(self, gram: dict[int, np.ndarray], classes: dict[str, dict[int, np.ndarray]]):
+        self.gram, self.classes = gram, classes
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.classes)
+
+    def __len__(self) -> int:
+        return len(self.classes)
+
+    def __getitem__(self, label: str) -> dict[int, Moments]:
+        own = self.classes[label]
+        out = {}
+        for fold, g in self.gram.items():
+            s = own.get(fold, np.zeros(len(g)))
+            out[fold] = Moments(g[0, 0], g[0, 1:], g[1:, 1:], s[0], s[0], s[1:])
+        return out
+
+
 def all_moments(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str],
-                folds: int = ALPHA_FOLDS, seed: int | str = 7) -> dict[str, dict[int, Moments]]:
+                folds: int = ALPHA_FOLDS, seed: int | str = 7) -> ClassMoments:
     """Moments of every class and fold over all rows.
 
-    The cross products are shared by the classes. Partitions are merged to one
-    per core first, so a core sends one matrix per fold, and each matrix row is
-    added up in its own group. The driver gets folds x features^2 numbers; the
-    number of features is checked.
+    A task sends one matrix per fold, less than the rows it has read as soon as those
+    outnumber the features, and each matrix row is added up in its own group. The
+    driver gets folds x features^2 numbers, and folds x features for each class.
     """
-    if len(features) > MAX_FULL_FEATURES:
-        raise ValueError(f"{len(features)} features; moments of all rows are limited to {MAX_FULL_FEATURES}")
     width = len(features)
     named = df.filter(col(label).isNotNull())
     folded = fold_ids(named, [label], keys, folds, seed)
     packed = feature_array(folded.withColumn("label", col(label)), features, ["fold", "label"])
     means = per_column(named, features, [], F.avg("value").alias("m")).collect()
     shift = np.array([{r["column"]: r["m"] for r in means}.get(c, 0.0) for c in features])
-    parts = packed.coalesce(df.sparkSession.sparkContext.defaultParallelism).mapInPandas(
-        _partition_moments(width, shift), PART_SCHEMA)
+    parts = packed.mapInPandas(_partition_moments(width, shift), PART_SCHEMA)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
@@ -303,14 +321,7 @@ def all_moments(df: DataFrame, label: str, features: Sequence[str], keys: Sequen
             gram.setdefault(r["fold"], np.zeros((width + 1, width + 1)))[r["row"]] = r["sums"]
         else:
             classes.setdefault(r["label"], {})[r["fold"]] = np.asarray(r["sums"])
-    empty = np.zeros(width + 1)
-    return {
-        c: {
-            f: Moments(g[0, 0], g[0, 1:], g[1:, 1:], s[0], s[0], s[1:])
-            for f, g in gram.items() for s in [per.get(f, empty)]
-        }
-        for c, per in classes.items()
-    }
+    return ClassMoments(gram, classes)
 
 
 def _by_class(df: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -322,7 +333,7 @@ def search_alphas_full(df: DataFrame, label: str, features: Sequence[str], keys:
                        min_labels: int = 20) -> DataFrame:
     """The penalty search on all rows instead of capped sets."""
     moments = all_moments(df, label, features, keys, folds)
-    moments = {c: m for c, m in moments.items() if sum(p.sy for p in m.values()) >= min_labels}
+    chosen = sorted(c for c, own in moments.classes.items() if sum(s[0] for s in own.values()) >= min_labels)
     grid = np.asarray(alphas if alphas is not None else alpha_grid())
     shared = df.sparkSession.sparkContext.broadcast(moments)
 
@@ -330,7 +341,7 @@ def search_alphas_full(df: DataFrame, label: str, features: Sequence[str], keys:
         celltype = pdf["celltype"].iloc[0]
         return alpha_scores(celltype, list(shared.value[celltype].values()), grid)
 
-    return _by_class(df, sorted(moments)).groupBy("celltype").applyInPandas(solve, ALPHA_SCHEMA)
+    return _by_class(df, chosen).groupBy("celltype").applyInPandas(solve, ALPHA_SCHEMA)
 
 
 def rfe_scores_full(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str],
@@ -360,12 +371,11 @@ def importances_full(df: DataFrame, label: str, features: Sequence[str], keys: S
                      best: DataFrame) -> DataFrame:
     """Absolute coefficients at the best penalty on all rows."""
     names = list(features)
-    moments = {c: m[0] for c, m in all_moments(df, label, names, keys, folds=1).items()}
-    shared = df.sparkSession.sparkContext.broadcast(moments)
+    shared = df.sparkSession.sparkContext.broadcast(all_moments(df, label, names, keys, folds=1))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         celltype = pdf["celltype"].iloc[0]
-        return coefficient_rows(celltype, shared.value[celltype], float(pdf["best_alpha"].iloc[0]), names)
+        return coefficient_rows(celltype, shared.value[celltype][0], float(pdf["best_alpha"].iloc[0]), names)
 
     return best.select("celltype", "best_alpha").groupBy("celltype").applyInPandas(solve, IMPORTANCE_SCHEMA)
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 import numpy as np
 import pandas as pd
@@ -27,7 +30,7 @@ from cytospark.functions.names import (
 from cytospark.functions.scalars import log_plus_one, power_transform
 from cytospark.operators import dispersion
 from cytospark.operators.quantiles import EXACT_ROWS, quantiles
-from cytospark.operators.sizing import join_summary, small_or_none
+from cytospark.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, join_summary, null_safe_join, settle
 
 # Output range of the min-max scaling, number of quantile references.
 MINMAX_RANGE = (-2.0, 2.0)
@@ -131,21 +134,46 @@ def _uniform_scores(x: np.ndarray, refs: np.ndarray, probs: np.ndarray) -> np.nd
 
 def quantile(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = (),
              n_quantiles: int = QUANTILE_REFERENCES, exact_rows: int = EXACT_ROWS,
-             exact: bool = True) -> DataFrame:
+             exact: bool = True, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Map every column to uniform [0, 1] by its own quantiles; null gives 0.
 
-    The references are a few values per (group, column). They travel with the
-    function; the interpolation runs on Arrow batches of the measure columns
-    only, the other columns stay in the JVM.
+    References travel with the function, those of as many groups at once as
+    ``max_bytes`` holds (one at least). More groups are done part by part, each
+    part reading its own groups only: of a table partitioned by batch, its own files. The
+    interpolation runs on Arrow batches of the measure columns; the
+    other columns stay in the JVM.
     """
     columns = matching(df, SCALER_PATTERN) if columns is None else list(columns)
     groups = list(groups)
-    fitted = quantile_fit(df, columns, groups, n_quantiles, exact_rows, exact)
-    local = small_or_none(fitted)
-    if local is None:
-        raise ValueError("too many (group, column) pairs for one quantile fit; fit groups in parts")
+    fitted = settle(quantile_fit(df, columns, groups, n_quantiles, exact_rows, exact), "quantile_references")
+    per_part = max(1, max_bytes // (8 * n_quantiles * max(1, len(columns))))
+    # A group's id per batch of input, not per cell.
+    keys = [tuple(r) for r in df.select(*cols(groups)).distinct().collect()] if groups else [()]
+    if len(keys) <= per_part:
+        return _interpolated(df, columns, groups, fitted, n_quantiles)
+    keys.sort(key=lambda k: [(v is not None, v) for v in k])
+    out = None
+    for low in range(0, len(keys), per_part):
+        chosen = _is_one_of(groups, keys[low:low + per_part])
+        part = _interpolated(df.filter(chosen), columns, groups, fitted.filter(chosen), n_quantiles)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _is_one_of(groups: Sequence[str], keys: Sequence[tuple]) -> Column:
+    """Rows whose group is among the keys; null is a value like any other."""
+    if len(groups) == 1:
+        known = [k[0] for k in keys if k[0] is not None]
+        inside = col(groups[0]).isin(known) if known else F.lit(False)
+        return F.coalesce(inside, F.lit(False)) | col(groups[0]).isNull() if len(known) < len(keys) else F.coalesce(inside, F.lit(False))
+    each = [reduce(and_, [col(g).eqNullSafe(F.lit(v)) for g, v in zip(groups, k)]) for k in keys]
+    return reduce(or_, each)
+
+
+def _interpolated(df: DataFrame, columns: Sequence[str], groups: Sequence[str], fitted: DataFrame,
+                  n_quantiles: int) -> DataFrame:
     refs = {}
-    for r in local.collect():
+    for r in fitted.toLocalIterator():
         refs[(tuple(r[g] for g in groups), r["column"])] = np.maximum.accumulate(np.asarray(r["quantiles"]))
     probs = np.linspace(0.0, 1.0, n_quantiles)
     shared = df.sparkSession.sparkContext.broadcast(refs)
@@ -158,12 +186,14 @@ def quantile(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequen
         values = batch.iloc[:, n_groups:].to_numpy(dtype=float)
         result = np.zeros_like(values)
         if n_groups:
+            # pandas writes a missing key in several ways; the references have None.
             keys = batch.iloc[:, :n_groups]
             parts = keys.groupby(list(keys.columns), sort=False, dropna=False).indices.items()
         else:
             parts = [((), np.arange(len(batch)))]
         for key, rows in parts:
             key = key if isinstance(key, tuple) else (key,)
+            key = tuple(None if pd.isna(k) else k for k in key)
             for i, c in enumerate(columns):
                 ref = table.get((key, c))
                 if ref is not None:
@@ -244,13 +274,11 @@ def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
     """
     keys = [*groups, "_pos"]
     long = _shifted(df, columns, groups)
-    base = small_or_none(long.groupBy(*cols(keys)).agg(
+    base = long.groupBy(*cols(keys)).agg(
         F.count("x").alias("n"), F.min("x").alias("_min"), F.max("x").alias("_max"),
         F.avg(F.log(F.when(F.col("x") > 0, F.col("x")))).alias("_mu"),
-    ))
-    if base is None:
-        raise ValueError("too many (group, column) pairs for one fit; fit groups in parts")
-    rows = base.collect()
+    )
+    rows = base.collect()  # a few numbers for each (group, column), whatever the number of cells
     state = {
         tuple(r[k] for k in keys): [search.start, search.step, r["_mu"], r["n"]]
         for r in rows if r["_min"] > 0 and r["_max"] > r["_min"]
@@ -268,7 +296,7 @@ def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
         # Relative to the geometric mean the likelihood is -n/2 ln var(x^l / l).
         centred = F.log("x") - F.col("_mu")
         # x^(c + k h) = x^c * (x^h)^k, so a value needs two exponentials for all lambdas.
-        powers = long.join(F.broadcast(grid), keys).select(
+        powers = null_safe_join(long, grid, keys, small=len(active) <= MAX_BROADCAST_ROWS).select(
             *cols(keys), centred.alias("_z"), F.exp(F.col("_c") * centred).alias("_e"),
             F.exp(F.col("_h") * centred).alias("_s"))
         scan = powers.groupBy(*cols(keys)).agg(
@@ -291,6 +319,10 @@ def boxcox_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
                 best[k] = float(lams[top] + lean)
             else:
                 state[k][0] = float(lams[top])
+    open_ended = [k for k in state if k not in best]
+    if open_ended:
+        warnings.warn(f"no Box-Cox optimum within {search.max_passes} passes, counted as failed: "
+                      f"{[(*k[:-1], columns[k[-1]]) for k in open_ended]}", stacklevel=2)
     fitted = df.sparkSession.createDataFrame(
         [(*k, int(r["n"]), best.get(k)) for r in rows for k in [tuple(r[c] for c in keys)]],
         f"{key_types}, n bigint, lambda double")
@@ -320,7 +352,7 @@ def boxcox_record(before: DataFrame, after: DataFrame, fitted: DataFrame, column
         after, columns, groups,
         F.avg("value").alias("post_mean"), F.min("value").alias("post_min"), F.max("value").alias("post_max"))
     text = F.coalesce(F.format_string("%.3f", F.col("lambda")), F.lit("Failed"))
-    return filled.join(fitted, keys).join(post, keys).select(
+    return null_safe_join(null_safe_join(filled, fitted, keys), post, keys).select(
         *cols(groups), F.col("column").alias("feature"), "pre_mean",
         F.when(F.col("lambda").isNull(), "Failed").otherwise(text).alias("lambda"),
         "post_mean", "post_min", "post_max",

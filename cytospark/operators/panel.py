@@ -18,7 +18,7 @@ from cytospark.functions.names import (
 )
 from cytospark.functions.scalars import at_least
 from cytospark.operators.quantiles import quantiles
-from cytospark.operators.sizing import join_summary
+from cytospark.operators.sizing import join_summary, null_safe_join
 
 # Number of noise centres and the quantile that bounds them.
 NOISE_CENTRES = 3
@@ -195,7 +195,7 @@ def fill_batches(
     known = [s for s in suffixes if matching(df, s)]
     bounds = fill_bounds(df, known, [batch]).groupBy(col(batch)).agg(F.map_from_entries(F.collect_list(
         F.struct("suffix", F.struct("low", "high", "spread")))).alias("_bounds"))
-    plan = lacking.join(bounds, batch)
+    plan = null_safe_join(lacking, bounds, [batch])
     centre = F.pmod(F.xxhash64(F.lit(f"{seed}/centre"), *cols(keys)), F.lit(NOISE_CENTRES))
     rows = join_summary(df, plan, [batch], "left").withColumn("_centre", centre)
     filled = {}

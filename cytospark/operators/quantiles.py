@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,16 +40,16 @@ def quantiles(
 ) -> DataFrame:
     """groups, column, n, quantiles (array aligned to probs), linear interpolation.
 
-    With ``exact=False`` tables beyond ``exact_rows`` take one sketch pass with a
-    rank error of at most 1 / 100,000 instead of the selection passes, which
-    move the rows of every bucket that holds a wanted rank.
+    With ``exact=False`` a table of any size takes one sketch pass with a rank
+    error of at most 1 / 100,000 instead of the selection passes, which move the
+    rows of every bucket that holds a wanted rank. ``exact_rows`` only chooses
+    between two exact ways.
     """
-    rows = df.count()
-    fits = rows <= exact_rows
-    if exact or fits:
+    if exact:
+        rows = df.count()
         long = melt_indexed(df, columns, groups)
         bits = bits or bucket_bits(rows)
-        return named(long_quantiles(long, [*groups, "_pos"], probs, fits, bits), columns)
+        return named(long_quantiles(long, [*groups, "_pos"], probs, rows <= exact_rows, bits), columns)
     marks = F.array(*[F.lit(float(p)) for p in probs])
     return per_column(
         df, columns, groups, F.count("value").alias("n"),
@@ -144,11 +144,6 @@ def bucketed(df: DataFrame, bits: int) -> DataFrame:
     return out.drop("_edges")
 
 
-def quantile_columns(c: Column, probs: Sequence[float], prefix: str = "q") -> list[Column]:
-    """Elements of a quantile array as named columns."""
-    return [c[i].alias(f"{prefix}{round(p * 100, 4):g}") for i, p in enumerate(probs)]
-
-
 def box_statistics(
     df: DataFrame,
     value: str,
@@ -157,7 +152,11 @@ def box_statistics(
 ) -> DataFrame:
     """Box-plot numbers: n, quartiles, whiskers at 1.5 IQR (last values inside)."""
     long = melt(df, [value], groups).drop("column")
-    fits = df.count() <= exact_rows
+    return boxes(long, groups, df.count() <= exact_rows)
+
+
+def boxes(long: DataFrame, groups: Sequence[str], fits: bool) -> DataFrame:
+    """Box-plot numbers of ``value`` per group of a long table."""
     quarts = long_quantiles(long, list(groups), [0.25, 0.5, 0.75], fits)
     box = quarts.select(
         *cols(groups), "n",

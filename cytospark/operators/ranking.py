@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import col, cols
-from cytospark.operators.sizing import join_summary, null_safe_join, settle, small_or_none
+from cytospark.operators.sizing import join_summary, null_safe_join, settle
 
 PREFIX_DIGITS = 3  # 16**3 buckets per group
 
@@ -211,30 +211,21 @@ def class_caps(df: DataFrame, label: str, keys: Sequence[str], limit: int = 3000
     """One-vs-rest training sets for every class with enough labels.
 
     Per class at most ``limit`` rows of the class and ``limit`` of the rest, as
-    columns ``celltype`` and ``target`` beside the row. The smallest hashes of
-    "all rows but class k" lie among the smallest of each other class, so the
-    candidates are ``limit`` rows per class: no pass over cells x classes.
+    columns ``celltype`` and ``target`` beside the row. No class has more than
+    ``limit`` of the candidates, so the ``limit`` smallest hashes of "all
+    rows but class k" lie among the 2 * ``limit`` smallest of all candidates: as
+    many rows as the result has are made, whatever the number of classes.
     """
     top = sample_groups(df, [label], keys, capped_quota(limit), seed).withColumn(
         "_hash", order_hash(keys, seed)
     )
     sizes = df.groupBy(col(label).alias("celltype")).agg(F.count(F.lit(1)).alias("_labels"))
     classes = sizes.filter(F.col("_labels") >= min_labels).select("celltype")
-    pairs = join_on_class_list(top, classes).withColumn(
-        "target", (col(label) == F.col("celltype")).cast("int")
-    )
+    own = top.join(classes.withColumn("_own", F.col("celltype")), col(label) == F.col("_own")).drop("_own").withColumn("target", F.lit(1))
+    smallest = F.broadcast(top.filter(col(label).isNotNull()).orderBy("_hash", *cols(keys)).limit(2 * limit))  # bounded by the limit
+    rest = classes.crossJoin(smallest).filter(~col(label).eqNullSafe(F.col("celltype"))).withColumn("target", F.lit(0))
+    pairs = own.unionByName(rest)
     order = W.partitionBy("celltype", "target").orderBy("_hash", *cols(keys))
     return pairs.withColumn("_rn", F.row_number().over(order)).filter(
         F.col("_rn") <= limit
     ).drop("_rn", "_hash")
-
-
-def join_on_class_list(candidates: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pair every candidate row with every class of the (short) class list."""
-    names = small_or_none(classes, max_rows=10_000)
-    if names is None:
-        raise ValueError("more than 10,000 classes: not a class column")
-    labels = [r[0] for r in names.collect()]
-    if not labels:
-        return candidates.withColumn("celltype", F.lit(None).cast("string")).filter(F.lit(False))
-    return candidates.withColumn("celltype", F.explode(F.array(*[F.lit(x) for x in labels])))

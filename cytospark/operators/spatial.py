@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.functions.names import X_COLUMN, Y_COLUMN, col, cols
@@ -46,14 +47,15 @@ def sparse_bin_cells(df: DataFrame, groups: Sequence[str], image: str = "Image",
                      y: str = Y_COLUMN, size: float = BIN_SIZE, cutoff: int = DENSITY_CUTOFF) -> DataFrame:
     """Cells in all and in sparse bins, per group, without joining back.
 
-    Counts by (groups, image, bin) are summed per bin and rolled up, so cell
-    rows are shuffled only as partial counts.
+    Counts by (groups, image, bin) are summed per bin over a window and rolled
+    up, so cells are shuffled only as partial counts, a bin has as many
+    rows as groups, and a missing image or position is a bin like any other.
     """
     fine = with_bins(df, x, y, size).groupBy(
         *cols(dict.fromkeys([*groups, image])), "binX", "binY"
     ).agg(F.count(F.lit(1)).alias("_n"))
-    totals = fine.groupBy(col(image), "binX", "binY").agg(F.sum("_n").alias("bin_density"))
-    return fine.join(totals, [image, "binX", "binY"]).groupBy(*cols(groups)).agg(
+    bins = W.partitionBy(col(image), "binX", "binY")
+    return fine.withColumn("bin_density", F.sum("_n").over(bins)).groupBy(*cols(groups)).agg(
         F.sum("_n").alias("cells"),
         F.sum(F.when(F.col("bin_density") <= cutoff, F.col("_n")).otherwise(0)).alias("low_density_cells"),
     ).withColumn("low_density_share", F.col("low_density_cells") / F.col("cells"))

@@ -28,10 +28,6 @@ def label_counts(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("percent", F.round(F.col("counts") / total * 100, 2))
 
 
-def percent_column(c: str = "percent"):
-    return F.concat(F.col(c).cast("string"), F.lit("%"))
-
-
 def holdout_split(df: DataFrame, label: str, batch: str, keys: Sequence[str], frac: float = 0.1,
                   min_count: int = 20, seed: int = 42) -> DataFrame:
     """Tag annotated rows with ``split``: holdout, training or unused.
@@ -56,9 +52,10 @@ def holdout_split(df: DataFrame, label: str, batch: str, keys: Sequence[str], fr
 
 def class_table(tagged: DataFrame, label: str) -> DataFrame:
     """Class counts with percent and holdout count (null where there is none)."""
-    counts = label_counts(tagged, label)
-    held = tagged.filter("split = 'holdout'").groupBy(col(label)).agg(F.count(F.lit(1)).alias("holdout"))
-    return counts.join(held, [label], "full_outer")
+    held = F.count_if(F.col("split") == "holdout")
+    counts = tagged.groupBy(col(label)).agg(F.count(F.lit(1)).alias("counts"), F.when(held > 0, held).alias("holdout"))
+    total = F.sum("counts").over(W.partitionBy(F.lit(1)))  # one row per class
+    return counts.select(col(label), "counts", F.round(F.col("counts") / total * 100, 2).alias("percent"), "holdout")
 
 
 def kept_classes(table: DataFrame, label: str) -> DataFrame:

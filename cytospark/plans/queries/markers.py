@@ -6,7 +6,6 @@ from cytospark.functions.names import (
     col,
     cols,
     drop_matching,
-    example_markers,
     feature_columns,
     melt,
     not_matching,
@@ -156,21 +155,19 @@ def feature_projection(spark, sf_dir):
 
 # -- normalisation ------------------------------------------------------------
 
-def sums(df, digits=4):
-    long = melt(df, MEANS, ["Batch"])
-    return long.groupBy("Batch", "column").agg(
-        F.count("value").alias("n"), rounded(F.avg("value"), digits).alias("mean"),
-        rounded(F.min("value"), digits).alias("low"), rounded(F.max("value"), digits).alias("high"))
+def by_cell(df, digits=6):
+    """Every cell's four measures, with its keys."""
+    return df.select(*KEYS, *[rounded(col(m), digits).alias(f"m{i}") for i, m in enumerate(MEANS, 1)])
 
 
-def sums_sql(v, source="long", extra="", digits=4):
-    return f"""SELECT batch AS "Batch", col AS "column", count(*) AS n, round(avg({v}) + 0.0, {digits}) AS mean,
-    round(min({v}) + 0.0, {digits}) AS low, round(max({v}) + 0.0, {digits}) AS high FROM {source} {extra} GROUP BY batch, col"""
+def by_cell_sql(expressions, source="cells", digits=6):
+    measures = ", ".join(f"round({e} + 0.0, {digits}) AS m{i}" for i, e in enumerate(expressions, 1))
+    return f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {measures} FROM {source}"
 
 
-@query("log_normalized", f"WITH {CELLS}, {LONG} " + sums_sql("ln(v + 1)"))
+@query("log_normalized", f"WITH {CELLS} " + by_cell_sql([f"ln(m{i} + 1)" for i in range(1, 5)]))
 def log_normalized(spark, sf_dir):
-    return sums(normalize.normalize(narrow(spark, sf_dir), "log", MEANS))
+    return by_cell(normalize.normalize(narrow(spark, sf_dir), "log", MEANS))
 
 
 MINMAX = """b AS (SELECT batch AS bb, col AS bc, min(v) AS lo, max(v) AS hi FROM long GROUP BY batch, col),
@@ -178,9 +175,14 @@ sc AS (SELECT long.*, CASE WHEN hi > lo THEN (v - lo) / (hi - lo) * 4 - 2 ELSE -
        FROM long JOIN b ON bb = batch AND bc = col)"""
 
 
-@query("minmax_normalized", f"WITH {CELLS}, {LONG}, {MINMAX} " + sums_sql("s", "sc"))
+def scaled_sql(m):
+    low, high = (f"{f}({m}) OVER (PARTITION BY batch)" for f in ("min", "max"))
+    return f"CASE WHEN {high} > {low} THEN ({m} - {low}) / ({high} - {low}) * 4 - 2 ELSE -2 END"
+
+
+@query("minmax_normalized", f"WITH {CELLS} " + by_cell_sql([scaled_sql(f"m{i}") for i in range(1, 5)]))
 def minmax_normalized(spark, sf_dir):
-    return sums(normalize.minmax(narrow(spark, sf_dir), groups=["Batch"]))
+    return by_cell(normalize.minmax(narrow(spark, sf_dir), groups=["Batch"]))
 
 
 @query("scaling_summary", f"""WITH {CELLS}, {LONG}, {MINMAX},
@@ -191,7 +193,7 @@ def scaling_summary(spark, sf_dir):
     return round_columns(normalize.scaling_summary(normalize.minmax(narrow(spark, sf_dir), groups=["Batch"]), MEANS))
 
 
-N_REFERENCES = 21
+N_REFERENCES = normalize.QUANTILE_REFERENCES
 QUANTS = f"""q AS (SELECT batch AS qb, col AS qc,
   quantile_cont(v, [{", ".join(f"{i}/{N_REFERENCES - 1}.0" for i in range(N_REFERENCES))}]) AS refs
   FROM long GROUP BY batch, col)"""
@@ -221,10 +223,12 @@ p AS (SELECT batch, col, v, refs, len(list_filter(refs, lambda r: r <= v)) AS a,
 s AS (SELECT batch AS sb, col AS sc, v AS sv, CASE WHEN v = refs[1] THEN 0.0 WHEN v = refs[{N_REFERENCES}] THEN 1.0
   WHEN refs[a] = v THEN (a - 1 + b - 1) / 2.0 / {N_REFERENCES - 1}
   ELSE ((a - 1) + (v - refs[a]) / (refs[a + 1] - refs[a])) / {N_REFERENCES - 1} END AS t FROM p),
-j AS (SELECT batch, col, t FROM long JOIN s ON sb = batch AND sc = col AND sv = v)
-""" + sums_sql("t", "j"))
+j AS (SELECT cells.*, s1.t AS t1, s2.t AS t2, s3.t AS t3, s4.t AS t4 FROM cells
+  JOIN s s1 ON s1.sb = batch AND s1.sc = 'Quantity: Mean' AND s1.sv = m1 JOIN s s2 ON s2.sb = batch AND s2.sc = 'Price: Mean' AND s2.sv = m2
+  JOIN s s3 ON s3.sb = batch AND s3.sc = 'Discount: Mean' AND s3.sv = m3 JOIN s s4 ON s4.sb = batch AND s4.sc = 'Tax: Mean' AND s4.sv = m4)
+""" + by_cell_sql(["t1", "t2", "t3", "t4"], "j"))
 def quantile_normalized(spark, sf_dir):
-    return sums(normalize.quantile(narrow(spark, sf_dir), MEANS, ["Batch"], N_REFERENCES))
+    return by_cell(normalize.quantile(narrow(spark, sf_dir), MEANS, ["Batch"], N_REFERENCES))
 
 
 LAMBDAS = [-1.0, -0.5, 0.0, 0.5, 1.0, 2.0]
@@ -264,10 +268,10 @@ g AS (SELECT DISTINCT batch, col FROM long), {scan_step("s1", "g", "0.0", 3.0, 1
 
 
 @query("boxcox_lambdas", f"""{BOXCOX}
-SELECT batch AS "Batch", col AS "column", count(*) AS n, round(any_value(best) + 0.0, 2) AS "lambda"
+SELECT batch AS "Batch", col AS "column", count(*) AS n, round(any_value(best) + 0.0, 3) AS "lambda"
 FROM s4 JOIN long USING (batch, col) GROUP BY batch, col""")
 def boxcox_lambdas(spark, sf_dir):
-    return round_columns(normalize.boxcox_fit(narrow(spark, sf_dir), MEANS, ["Batch"]), 2)
+    return round_columns(normalize.boxcox_fit(narrow(spark, sf_dir), MEANS, ["Batch"]), 3)
 
 
 @query("boxcox_record")
@@ -280,14 +284,14 @@ def boxcox_record(spark, sf_dir):
 
 @query("lambda_summary", f"""{BOXCOX}
 SELECT CAST(count(*) + 2 AS BIGINT) AS total_features, count(*) AS successful_transforms, CAST(2 AS BIGINT) AS failed_transforms,
-       round(avg(best), 1) AS mean_lambda, round(median(best), 1) AS median_lambda FROM s4""")
+       round(avg(round(best, 3)), 3) AS mean_lambda, round(median(round(best, 3)), 3) AS median_lambda FROM s4""")
 def lambda_summary(spark, sf_dir):
     """Per batch the four measures and a constant one, which cannot be fitted."""
     c = narrow(spark, sf_dir).withColumn("Flat: Mean", F.lit(5.0))
     names = [*MEANS, "Flat: Mean"]
     fitted = normalize.boxcox_fit(c, names, ["Batch"])
     record = normalize.boxcox_record(c, c, fitted, names, ["Batch"])
-    return round_columns(normalize.lambda_summary(record), 1)
+    return round_columns(normalize.lambda_summary(record), 3)
 
 
 # -- variation ----------------------------------------------------------------
@@ -397,13 +401,17 @@ def finite_maximum(spark, sf_dir):
 
 
 @query("scatter_reference", """
-SELECT 'Quantity' AS marker, round(max(l_quantity), 6) AS max_original, round(max(ln(l_quantity + 1)), 6) AS max_transformed FROM lineitem
+SELECT 'Discount' AS marker, round(max(l_discount), 6) AS max_original, round(max(ln(l_discount + 1)), 6) AS max_transformed FROM lineitem
 UNION ALL SELECT 'Tax', round(max(l_tax), 6), round(max(ln(l_tax + 1)), 6) FROM lineitem""")
 def scatter_reference(spark, sf_dir):
     c = narrow(spark, sf_dir)
-    shown = example_markers(c, "Tax", n_examples=2)  # the nuclear stain replaces the first
-    shown = ["Quantity: Mean", *[s for s in shown if s == "Tax: Mean"]]
-    return round_columns(dispersion.scatter_reference(c, normalize.logscale(c, MEANS), shown))
+    # Of four markers the first and third; the stain, the fourth, takes the place of the first.
+    return round_columns(dispersion.scatter_reference(c, normalize.logscale(c, MEANS), "Tax", n_examples=2))
+
+
+@query("example_markers", "SELECT 0 AS place, 'Tax: Mean' AS \"column\" UNION ALL SELECT 1, 'Discount: Mean'")
+def example_markers(spark, sf_dir):
+    return dispersion.example_markers(narrow(spark, sf_dir), "Tax", n_examples=2)
 
 
 @query("method_histograms", f"""WITH {CELLS}, {LONG},
@@ -422,11 +430,11 @@ def method_histograms(spark, sf_dir):
 # -- gating -------------------------------------------------------------------
 
 @query("gating_histogram", f"""WITH {CELLS}, {LONG}, b AS (SELECT batch AS bb, col AS bc, min(v) AS lo, max(v) AS hi FROM long GROUP BY batch, col)
-SELECT batch AS "Batch", col AS "column", {hist_sql("v", "lo", "hi", 64)} AS bin, CAST(count(*) AS DOUBLE) AS weight, round(sum(v) + 0.0, 2) AS total,
+SELECT batch AS "Batch", col AS "column", {hist_sql("v", "lo", "hi", 2048)} AS bin, CAST(count(*) AS DOUBLE) AS weight, round(sum(v) + 0.0, 2) AS total,
        round(any_value(lo) + 0.0, 4) AS low, round(any_value(hi) + 0.0, 4) AS high
-FROM long JOIN b ON bb = batch AND bc = col GROUP BY batch, col, {hist_sql("v", "lo", "hi", 64)}""")
+FROM long JOIN b ON bb = batch AND bc = col GROUP BY batch, col, {hist_sql("v", "lo", "hi", 2048)}""")
 def gating_histogram(spark, sf_dir):
-    hist = gating.fine_histogram(narrow(spark, sf_dir), MEANS, ["Batch"], 64)
+    hist = gating.fine_histogram(narrow(spark, sf_dir), MEANS, ["Batch"], 2048)
     return round_columns(hist.withColumn("total", rounded(F.col("centre") * F.col("weight"), 2)).drop("centre"), 4)
 
 
@@ -480,7 +488,7 @@ def gating_summary(spark, sf_dir):
 
 
 @query("density_curve", f"""WITH {CELLS}, {LONG}, f AS (SELECT col, min(v) AS lo, max(v) AS hi, avg(v) AS m, stddev_samp(v) AS s FROM long GROUP BY col),
-g AS (SELECT col, i, lo + (hi - lo) * i / 99.0 AS x, m, s FROM f, (SELECT unnest(range(100)) AS i))
+g AS (SELECT col, i, lo + (hi - lo) * i / 999.0 AS x, m, s FROM f, (SELECT unnest(range(1000)) AS i))
 SELECT col AS "column", i, round(x + 0.0, 4) AS x,
   round((0.25 / (s * sqrt(2 * pi())) * exp(-0.5 * pow((x - m) / s, 2)) + 0.75 / (2 * s * sqrt(2 * pi())) * exp(-0.5 * pow((x - m) / (2 * s), 2))) * s + 0.0, 6) AS density
 FROM g""")
@@ -490,7 +498,7 @@ def density_curve(spark, sf_dir):
         F.array(F.avg("value"), F.avg("value")).alias("means"),
         F.array(F.stddev_samp("value"), 2 * F.stddev_samp("value")).alias("stds"),
         F.array(F.lit(0.25), F.lit(0.75)).alias("weights"))
-    curve = gating.density_curve(fitted, points=100).join(
+    curve = gating.density_curve(fitted, points=1000).join(
         F.broadcast(fitted.select("column", F.col("stds")[0].alias("s"))), "column")
     return curve.select("column", F.col("i").cast("bigint").alias("i"), rounded("x", 4).alias("x"),
                         rounded(F.col("density") * F.col("s")).alias("density"))

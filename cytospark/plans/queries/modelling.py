@@ -123,14 +123,14 @@ def vector_components(spark, sf_dir):
 @query("nearest_neighbours")
 def nearest_neighbours(spark, sf_dir):
     out, _, _ = vector_components(spark, sf_dir)
-    return round_columns(embed.nearest_neighbours(out, "vec_id", k=5), 4)
+    return round_columns(embed.nearest_neighbours(out, "vec_id", k=30), 4)
 
 
 @query("cell_clusters")
 def cell_clusters(spark, sf_dir):
     """Graph clusters of the vectors and the scaled mean of each dimension."""
     out, wide, names = vector_components(spark, sf_dir)
-    clusters = embed.cluster_cells(out, "vec_id", 5, k=10)
+    clusters = embed.cluster_cells(out, "vec_id", 5, k=30)
     return round_columns(embed.cluster_matrix(wide.join(clusters, "vec_id"), "cluster", names), 4)
 
 
@@ -141,7 +141,8 @@ def cluster_matrix(spark, sf_dir):
     return round_columns(embed.cluster_matrix(cells(spark, sf_dir, classes=False), "Slide", MEANS), 4)
 
 
-@query("vector_means", """SELECT 'M00: Mean' AS "column", round(avg(embedding[1]), 6) AS mean FROM embeddings UNION ALL SELECT 'M63: Mean', round(avg(embedding[64]), 6) FROM embeddings""")
+@query("vector_means", " UNION ALL ".join(
+    f"""SELECT 'M{i:02d}: Mean' AS "column", round(avg(embedding[{i + 1}]), 6) AS mean FROM embeddings""" for i in range(64)))
 def vector_means(spark, sf_dir):
     wide, names = embedded(spark, sf_dir)
-    return melt(wide, [names[0], names[-1]]).groupBy("column").agg(rounded(F.avg("value")).alias("mean"))
+    return melt(wide, names).groupBy("column").agg(rounded(F.avg("value")).alias("mean"))

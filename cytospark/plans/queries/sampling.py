@@ -99,9 +99,9 @@ def binarised_class(spark, sf_dir):
 @query("class_caps", f"""WITH {CELLS}, k AS (SELECT class AS celltype FROM cells GROUP BY class HAVING count(*) >= 20),
 p AS (SELECT celltype, CASE WHEN class = celltype THEN 1 ELSE 0 END AS target, {KEYLIST}, {h(42)} AS hh FROM cells, k),
 r AS (SELECT *, row_number() OVER (PARTITION BY celltype, target ORDER BY hh) AS rn FROM p)
-SELECT celltype, CAST(target AS BIGINT) AS target, {KEYLIST} FROM r WHERE rn <= 300""")
+SELECT celltype, CAST(target AS BIGINT) AS target, {KEYLIST} FROM r WHERE rn <= 3000""")
 def class_caps(spark, sf_dir):
-    caps = ranking.class_caps(cells(spark, sf_dir), "Classification", KEYS, limit=300)
+    caps = ranking.class_caps(cells(spark, sf_dir), "Classification", KEYS, limit=3000)
     return caps.select("celltype", F.col("target").cast("bigint").alias("target"), *KEYS)
 
 

@@ -67,6 +67,13 @@ def penalty_curve(spark, sf_dir):
     return round_columns(lasso.alpha_curve(alpha_rows(spark, sf_dir)))
 
 
+@query("ranked_eliminations", f"""WITH {SCORES} SELECT celltype, CAST(n_features AS BIGINT) AS n_features, round(rfe_score + 0.0, 6) AS rfe_score,
+CAST(row_number() OVER (PARTITION BY celltype ORDER BY rfe_score DESC, n_features) AS BIGINT) AS rank FROM sc""")
+def ranked_eliminations(spark, sf_dir):
+    ranked = lasso.ranked_rfe(scores(spark, sf_dir)).select("celltype", F.col("n_features").cast("bigint").alias("n_features"), "rfe_score", F.col("rank").cast("bigint").alias("rank"))
+    return round_columns(ranked)
+
+
 @query("elimination_summary", f"""WITH {SCORES} SELECT celltype, CAST(n_features AS BIGINT) AS n_features, round(avg(rfe_score), 6) AS mean_score,
 round(stddev_samp(rfe_score), 6) AS std_score, round(median(rfe_score), 6) AS median_score FROM sc GROUP BY celltype, n_features""")
 def elimination_summary(spark, sf_dir):
@@ -80,14 +87,14 @@ def optimal_feature_counts(spark, sf_dir):
     return round_columns(lasso.optimal_counts(scores(spark, sf_dir)))
 
 
-@query("importance_levels", f"""WITH {IMPORTANCE}, t AS (SELECT * FROM rk WHERE rank <= 10),
+@query("importance_levels", f"""WITH {IMPORTANCE}, t AS (SELECT * FROM rk WHERE rank <= 35),
 q AS (SELECT celltype AS qc, quantile_cont(importance, 0.25) AS p25, quantile_cont(importance, 0.5) AS p50, quantile_cont(importance, 0.75) AS p75, avg(importance) AS mi, stddev_samp(importance) AS si FROM t GROUP BY celltype)
 SELECT celltype, feature, round(importance, 6) AS importance, rank, round(p25, 6) AS p25, round(p50, 6) AS p50, round(p75, 6) AS p75,
  round(mi, 6) AS mean_importance, round(si, 6) AS std_importance,
  CASE WHEN importance >= p75 THEN 'High' WHEN importance >= p50 THEN 'Med-High' WHEN importance >= p25 THEN 'Med-Low' ELSE 'Low' END AS level
 FROM t JOIN q ON qc = celltype""")
 def importance_levels(spark, sf_dir):
-    return round_columns(lasso.importance_levels(importance_rows(spark, sf_dir), 10))
+    return round_columns(lasso.importance_levels(importance_rows(spark, sf_dir), 35))
 
 
 TOP = f"""{IMPORTANCE}, o AS (SELECT p_type AS oc, 2 + count(*) % 3 AS k FROM part GROUP BY p_type),
@@ -126,7 +133,7 @@ def tagged_targets():
     return f"""k AS (SELECT class AS celltype FROM cells GROUP BY class HAVING count(*) >= 20),
 p AS (SELECT celltype, CASE WHEN class = celltype THEN 1 ELSE 0 END AS target, m1, m2, m3, m4, {hash_sql(42)} AS h,
       {hash_sql(101)} AS h101, {hash_sql(7)} AS h7 FROM cells, k),
-c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY celltype, target ORDER BY h) AS rn FROM p) WHERE rn <= 300)"""
+c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY celltype, target ORDER BY h) AS rn FROM p) WHERE rn <= 3000)"""
 
 
 # With one feature the solution is closed: w = soft(cov(x, y), alpha * sd) / var.
@@ -134,7 +141,7 @@ c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY celltype, target
 s AS (SELECT celltype, covar_pop(m1, target) AS c, var_pop(m1) AS v FROM c GROUP BY celltype)
 SELECT celltype, 'Quantity: Mean' AS feature, round(abs(sign(c) * greatest(abs(c) - 0.0001, 0) / v) + 0.0, 8) AS importance FROM s""")
 def single_feature_importance(spark, sf_dir):
-    sets = lasso.one_vs_rest(cells(spark, sf_dir), "Classification", MEANS[:1], KEYS, limit=300)
+    sets = lasso.one_vs_rest(cells(spark, sf_dir), "Classification", MEANS[:1], KEYS, limit=3000)
     best = sets.select("celltype").distinct().withColumn("best_alpha", F.lit(0.0001))
     return lasso.importances(sets, best, MEANS[:1]).select(
         "celltype", "feature", rounded("importance", 8).alias("importance"))
@@ -156,7 +163,7 @@ SELECT fc AS celltype, round(alpha, 6) AS alpha, round(-avg(mse) + 0.0, 6) AS me
 
 @query("single_feature_penalty_scores", closed_form([0.001, 0.01, 0.02, 0.5]))
 def single_feature_penalty_scores(spark, sf_dir):
-    sets = lasso.one_vs_rest(cells(spark, sf_dir), "Classification", MEANS[:1], KEYS, limit=300)
+    sets = lasso.one_vs_rest(cells(spark, sf_dir), "Classification", MEANS[:1], KEYS, limit=3000)
     return round_columns(lasso.search_alphas(sets, KEYS, [0.001, 0.01, 0.02, 0.5]))
 
 

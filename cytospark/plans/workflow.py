@@ -27,6 +27,8 @@ from cytospark.operators import (
     spatial,
     split,
 )
+from cytospark.functions.scalars import now_text
+from cytospark.operators.sizing import join_summary
 from cytospark.session import durable
 from cytospark.sources import readers
 
@@ -61,10 +63,17 @@ class Workflow:
         return durable(self.identified(merged), "merged", [c.batch])
 
     def identified(self, df: DataFrame) -> DataFrame:
-        """Row id from batch, image, position and all measures; never a feature."""
+        """Row id, unique and never a feature: 128 bits of a hash of batch, image, position and all measures.
+
+        Equal rows share a hash; those get a running number as well, which a stored table keeps.
+        """
         c = self.config
-        own = [c.batch, c.image, c.x, c.y, *matching(df, BOXCOX_PATTERN)]
-        return df.select("*", F.xxhash64(*cols(own)).cast("string").alias(CELL_ID))
+        own = cols([c.batch, c.image, c.x, c.y, *matching(df, BOXCOX_PATTERN)])
+        hashed = df.select("*", F.concat_ws("-", F.xxhash64(*own), F.xxhash64(F.lit(CELL_ID), *own)).alias(CELL_ID))
+        twins = hashed.groupBy(CELL_ID).count().filter("count > 1").select(CELL_ID, F.lit(True).alias("_twin"))
+        number = F.when(F.col("_twin"), F.monotonically_increasing_id())
+        return join_summary(hashed, twins, [CELL_ID], "left").withColumn(
+            CELL_ID, F.concat_ws("-", CELL_ID, number)).drop("_twin")
 
     def fill(self, df: DataFrame) -> DataFrame:
         """Give every batch all markers; absent ones get low noise."""
@@ -97,7 +106,7 @@ class Workflow:
         """Adds a cluster of the neighbour graph to every cell."""
         c = self.config
         chosen = embed.median_columns(df, c.nuclear_marker) or [m for m in df.columns if "Median" in m and c.nuclear_marker not in m]
-        keyed = df.withColumn("_key", col(CELL_ID).cast("bigint"))
+        keyed = df.withColumn("_key", col(CELL_ID))
         components, _ = embed.standard_components(keyed, chosen, ["_key"], k=embed.GRAPH_COMPONENTS)
         dims = min(embed.GRAPH_COMPONENTS, len(chosen))
         clusters = embed.cluster_cells(components, "_key", c.clusters, dims=dims)
@@ -156,6 +165,7 @@ class Workflow:
             "classes": split.class_table(tagged, c.label),
             "evaluations": report.ordered_models(evaluations),
             "summary": report.run_summary(
-                split_table, report.normalization_rollup(norm), report.model_rollup(evaluations)),
+                split_table, report.normalization_rollup(norm), report.model_rollup(evaluations)).withColumn(
+                    "generated", now_text()),
             **{f"abundance_{k}": v for k, v in abundance.abundance_summary(flagged, c.image).items()},
         }

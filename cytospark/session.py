@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,20 +27,28 @@ def build_session(app: str = "cytospark", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def single_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (a single-machine session) a local temporary folder is used instead.
+    The cluster names it in ``spark.checkpoint.dir``. Only a single-machine
+    session may leave that unset; it gets a local temporary folder. Executors on
+    other machines could not see one, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if root:
         return root.rstrip("/")
+    if not single_machine(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     fallback = getattr(scratch_root, "_local", None)
     if fallback is None:
         fallback = tempfile.mkdtemp(prefix="cytospark-")
+        atexit.register(shutil.rmtree, fallback, ignore_errors=True)
         scratch_root._local = fallback
     return fallback
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -155,18 +156,25 @@ def union_tables(frames: Mapping[str, DataFrame], batch: str = "Batch") -> DataF
 
 
 def scan_predictions(spark: SparkSession, folder: str, pattern: str = "*.tsv",
-                     schema: T.StructType | str | None = None) -> DataFrame:
+                     schema: T.StructType | str | None = None, skip_corrupt: bool = False) -> DataFrame:
     """Prediction files under a folder with ``Sample`` from the image name.
 
-    Unreadable files are skipped; it is an error if nothing matches.
+    An unreadable file is an error. With ``skip_corrupt`` it is left out, and a
+    warning says how many files gave no row. It is an error if nothing matches.
     """
-    reader = spark.read.options(header=True, sep="\t", ignoreCorruptFiles=True, recursiveFileLookup=False)
+    reader = spark.read.options(header=True, sep="\t", ignoreCorruptFiles=skip_corrupt, recursiveFileLookup=False)
     reader = reader.option("pathGlobFilter", pattern)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(folder)
     if not df.columns or df.isEmpty():
         raise ValueError(f"no prediction rows matching {pattern} in {folder}")
+    if skip_corrupt:
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+        read = df.select(F.col("_metadata.file_path").alias("path")).distinct()
+        skipped = listed.join(read, "path", "left_anti").count()
+        if skipped:
+            warnings.warn(f"{skipped} file(s) in {folder} gave no row and were left out", stacklevel=2)
     return df.withColumn("Sample", F.replace(F.col("Image"), F.lit(SAMPLE_SUFFIX), F.lit("")))
 
 

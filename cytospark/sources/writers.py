@@ -81,11 +81,3 @@ def save_encoder(model: StringIndexerModel, path: str) -> None:
 
 def load_encoder(path: str) -> StringIndexerModel:
     return StringIndexerModel.load(path)
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)

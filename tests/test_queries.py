@@ -4,7 +4,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from cytospark.plans import catalog
 
+catalog.load()
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -24,7 +26,7 @@ def rows(columns, data):
     return sorted((tuple(r[i] for i in order) for r in data), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_same_rows_as_sql(spark, sf_dir, engine, name):
     df = queries()[name](spark, sf_dir)
     found = engine.sql(oracle_sql()[name])
@@ -32,7 +34,7 @@ def test_same_rows_as_sql(spark, sf_dir, engine, name):
     assert rows(df.columns, df.collect()) == rows(list(found.columns), found.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL)))
 def test_runs_without_sql(spark, sf_dir, name):
     assert queries()[name](spark, sf_dir).count() > 0
 

@@ -1,5 +1,7 @@
 """Files, spatial figures and the whole run."""
 
+import gzip
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,8 +9,9 @@ from pyspark.sql import functions as F
 
 from cytospark.config import RunConfig
 from cytospark.functions import names
-from cytospark.operators import abundance, spatial
+from cytospark.operators import abundance, dispersion, embed, normalize, spatial
 from cytospark.plans.workflow import Workflow
+from cytospark.session import single_machine
 from cytospark.sources import readers, writers
 
 STATS = ["Min", "Max", "Median", "Mean", "Std.Dev.", "Variance"]
@@ -80,8 +83,9 @@ def test_name_filter_matches_anywhere(spark):
 
 def test_example_markers(spark):
     df = spark.range(1).select(*[F.lit(1).alias(f"m{i}: Mean") for i in range(11)], F.lit(1).alias("DAPI: Mean"))
-    picked = names.example_markers(df, "DAPI")
+    picked = [r["column"] for r in dispersion.example_markers(df, "DAPI").orderBy("place").collect()]
     assert picked == ["DAPI: Mean", "m2: Mean", "m4: Mean", "m6: Mean", "m8: Mean"]
+    assert dispersion.example_markers(df.select(F.lit(1).alias("x")), "DAPI").count() == 0
 
 
 def test_density_per_image_with_a_crowded_bin(spark):
@@ -148,3 +152,63 @@ def test_optional_clusters(spark):
     df = spark.createDataFrame(table).withColumn("cell_id", F.xxhash64(names.col(names.X_COLUMN)).cast("string"))
     out = Workflow(spark, RunConfig(clusters=3)).clustered(df)
     assert out.count() == 300 and out.filter("Cluster IS NULL").count() == 0
+
+
+def test_missing_image_keeps_its_cells(spark):
+    rows = [("i1", 10.0, 10.0)] * 4 + [(None, 10.0, 10.0)] * 3 + [("i1", None, 10.0)]
+    df = spark.createDataFrame(rows, f"Image string, `{names.X_COLUMN}` double, `{names.Y_COLUMN}` double")
+    assert {tuple(r) for r in spatial.sparse_bin_cells(df, ["Image"]).collect()} == {("i1", 5, 1, 0.2), (None, 3, 3, 1.0)}
+    flagged = spatial.bin_density(df).groupBy("Image", "binX", "bin_density").count().collect()
+    assert {tuple(r) for r in flagged} == {("i1", 0, 4, 4), (None, 0, 3, 3), ("i1", None, 1, 1)}
+
+
+def test_null_batch_is_a_batch(spark):
+    rng = np.random.default_rng(4)
+    rows = [(b, float(v)) for b in ("a", None) for v in rng.lognormal(0, 1, 100)]
+    df = spark.createDataFrame(rows, "Batch string, `m: Mean` double")
+    fitted = {r["Batch"]: r["lambda"] for r in normalize.boxcox_fit(df, ["m: Mean"], ["Batch"]).collect()}
+    assert set(fitted) == {"a", None} and all(v is not None for v in fitted.values())
+    whole = normalize.quantile(df, ["m: Mean"], ["Batch"])
+    parts = normalize.quantile(df, ["m: Mean"], ["Batch"], max_bytes=1)
+    key = lambda r: (r["Batch"] is None, r["m: Mean"])
+    assert sorted(whole.collect(), key=key) == sorted(parts.collect(), key=key)
+    assert whole.filter("Batch is null and `m: Mean` > 0").count() == 99
+    after = normalize.boxcox(df, ["m: Mean"], ["Batch"])
+    record = normalize.boxcox_record(df, after, normalize.boxcox_fit(df, ["m: Mean"], ["Batch"]), ["m: Mean"], ["Batch"])
+    assert {r["Batch"] for r in record.collect()} == {"a", None}
+
+
+def test_neighbours_do_not_depend_on_partitions(spark):
+    x = np.random.default_rng(9).normal(size=(400, 12))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, components array<double>")
+    found = []
+    for n in (4, 64):
+        near = embed.nearest_neighbours(df.repartition(n), "id", k=5, dims=12, window=200)
+        found.append({(r["id"], r["neighbour"], r["rank"]) for r in near.collect()})
+    assert found[0] == found[1]
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    true = {(i, int(j)) for i in range(400) for j in np.argsort(d[i])[:5]}
+    assert len(true & {(i, j) for i, j, _ in found[0]}) >= 0.95 * len(true)
+
+
+def test_twin_rows_get_different_ids(spark):
+    rows = [("b", "i", 1.0, 1.0, 2.0)] * 3 + [("b", "i", 2.0, 1.0, 2.0)]
+    schema = f"Batch string, Image string, `{names.X_COLUMN}` double, `{names.Y_COLUMN}` double, `m: Mean` double"
+    got = Workflow(spark, RunConfig()).identified(spark.createDataFrame(rows, schema)).collect()
+    assert len(got) == 4 == len({r["cell_id"] for r in got})
+
+
+def test_scratch_needs_a_shared_folder_beyond_one_machine():
+    assert single_machine("local") and single_machine("local[8]")
+    assert not any(map(single_machine, ["local-cluster[2,1,1024]", "yarn", "spark://host:7077", "k8s://host"]))
+
+
+def test_corrupt_prediction_files_are_reported(spark, tmp_path):
+    with gzip.open(tmp_path / "good.tsv.gz", "wt") as f:
+        f.write("Image\tCellTypePrediction\na.ome.tiff\tT\n")
+    (tmp_path / "bad.tsv.gz").write_bytes(b"not a compressed file")
+    schema = "Image string, CellTypePrediction string"
+    with pytest.warns(UserWarning, match="1 file"):
+        found = readers.scan_predictions(spark, str(tmp_path), "*.gz", schema, skip_corrupt=True)
+    assert found.count() == 1
