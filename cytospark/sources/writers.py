@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
