@@ -53,8 +53,23 @@ def scratch_root(spark: SparkSession) -> str:
     return fallback
 
 
+def session_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables go."""
+    return f"{scratch_root(spark)}/cytospark-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables.
+
+    For the end of a run, once its results are written: frames that operators
+    returned may still read them.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
