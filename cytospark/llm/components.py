@@ -26,9 +26,8 @@ def label(links: DataFrame) -> DataFrame:
         near = _both(edges)
         least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = near.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where(F.col("a") != F.col("b")).distinct()
+        large = large.where(F.col("a") != F.col("b"))
         # Small star: smaller neighbours and the key itself move to the smallest one.
-        large = kept(large, "links")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = kept(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
@@ -39,9 +38,9 @@ def label(links: DataFrame) -> DataFrame:
 
 def _flat(edges: DataFrame) -> bool:
     """Every key hangs on one other, which itself hangs on none."""
-    twice = edges.groupBy("a").count().where("count > 1")
-    deep = edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
-    return twice.isEmpty() and deep.isEmpty()
+    ends = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.lit(None).cast("bigint").alias("b")))
+    seen = ends.groupBy("a").agg(F.min("b").alias("lo"), F.max("b").alias("hi"), F.count_if(F.col("b").isNull()).alias("under"))
+    return seen.where("lo != hi or (lo is not null and under > 0)").isEmpty()
 
 
 def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:

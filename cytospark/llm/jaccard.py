@@ -10,7 +10,7 @@ A small ball is joined exactly. In a dense one, pivots are drawn and the distanc
 of every document to them is worked out; each document falls into the
 Voronoi region of its nearest pivot, links to pivots join up components, and
 a document is compared further only with documents of other components whose region the
-triangle inequality leaves open. Pivots grow eightfold with each turn of this recursion
+triangle inequality leaves open. Pivots grow sixteenfold with each turn of this recursion
 until no pair in doubt is left, so the result is exact.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cytospark.llm import components
-from cytospark.llm.tables import col, kept, shuffle_partitions, small_join
+from cytospark.llm.tables import col, kept, shuffle_partitions, small_batches, small_join
 from cytospark.llm.texts import WordHasher, fresh, gram_hashes, mix, planes, ragged, sliced, unplanes, word_powers
 
 #: Shingles in more documents than this count as frequent and come late in the order.
@@ -112,7 +112,7 @@ def _measure(docs: DataFrame, size: int, buckets: int) -> tuple[DataFrame, DataF
     out = pa.schema([("bucket", pa.int32()), *[(x, pa.int64()) for x in ("doc_id", "tie", "n", "key", "code", "df")]])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             rows = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
             docs_part = batch.filter(pa.array(rows))
@@ -120,25 +120,28 @@ def _measure(docs: DataFrame, size: int, buckets: int) -> tuple[DataFrame, DataF
                 none = pa.nulls(docs_part.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([*docs_part.columns[:5], none, none], schema=out)
             for b, c, m in zip(*(batch.filter(pa.array(~rows)).column(i) for i in (0, 5, 6))):
-                code = np.frombuffer(c.as_py(), np.uint32)
-                held.append((np.uint64(b.as_py()) << np.uint64(32) | code, unplanes(m.as_py(), np.uint32)))
-        if held:
-            values, counts = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            order = np.argsort(values)
-            values, counts = values[order], counts[order]
-            starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-            df = np.add.reduceat(counts.astype(np.int64), starts)
+                # Code and count in one number: sorting brings equal codes together.
+                both = np.frombuffer(c.as_py(), np.uint32).astype(np.uint64) << np.uint64(32)
+                held.setdefault(b.as_py(), []).append(both | unplanes(m.as_py(), np.uint32))
+        while held:
+            bucket, parts = held.popitem()
+            both = np.concatenate(parts)
+            parts.clear()
+            both.sort()
+            codes = (both >> np.uint64(32)).astype(np.uint32)
+            starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+            df = np.add.reduceat(both & np.uint64(0xFFFFFFFF), starts).astype(np.int64)
             often = df > FREQUENT
-            values, df = values[starts][often], df[often]
-            none = pa.nulls(len(df), pa.int64())
+            n = int(often.sum())
+            none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array((values >> np.uint64(32)).astype(np.int32)), none, none, none, none,
-                 pa.array((values & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(df)], schema=out)
+                [pa.array(np.full(n, bucket, np.int32)), none, none, none, none, pa.array(codes[starts][often].astype(np.int64)),
+                 pa.array(df[often])], schema=out)
 
     both = docs.mapInArrow(measure, schema).repartition(buckets, "bucket").mapInArrow(
         total, "bucket int, doc_id bigint, tie bigint, n bigint, key bigint, code bigint, df bigint")
-    both = kept(both, "shingle_counts")
+    with small_batches(docs.sparkSession, 2000):
+        both = kept(both, "shingle_counts")
     return both.where("df is null").select("doc_id", "tie", "n", "key"), both.where("df is not null").select("bucket", "code", "df")
 
 
@@ -268,7 +271,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
     # A pivot meets many documents: the join splits such keys while it runs.
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("codes").alias("x")), "a")
     both = left.join(sets.select(F.col("key").alias("b"), F.col("codes").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, distance double, linked boolean")
+    measured = both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, distance double, linked boolean")
+    with small_batches(pairs.sparkSession):
+        return kept(measured, "measured_pairs")
 
 
 def _sets(docs: DataFrame, rows: DataFrame, keys: DataFrame, size: int) -> DataFrame:
@@ -285,7 +290,8 @@ def _sets(docs: DataFrame, rows: DataFrame, keys: DataFrame, size: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(sets.keys()), pa.array(codes, pa.binary())], names=["key", "codes"])
 
     # Equal rows give a set twice; distances and links of a pair stay the same.
-    return kept(texts.mapInArrow(run, "key bigint, codes binary"), "sets")
+    with small_batches(docs.sparkSession, 2000):
+        return kept(texts.mapInArrow(run, "key bigint, codes binary"), "sets")
 
 
 def _row(doc_id: str, tie: str) -> Column:
@@ -300,7 +306,7 @@ def _dense(members: DataFrame, found: DataFrame, sets: DataFrame, share: tuple[i
     spot = (F.shiftrightunsigned(F.xxhash64("a"), 11).cast("double") / float(1 << 53))  # of a key, in every ball the same
     members = members.withColumn("spot", spot)
     sizes = kept(members.groupBy("ball").agg(F.count(F.lit(1)).alias("size")), "balls")
-    pivots, most = 8, sizes.agg(F.max("size")).first()[0] or 0
+    pivots, most = 16, sizes.agg(F.max("size")).first()[0] or 0
     done = 0
     labels = kept(components.label(found.where("linked")), "labels")
     while done < most:
@@ -309,6 +315,7 @@ def _dense(members: DataFrame, found: DataFrame, sets: DataFrame, share: tuple[i
         state = kept(state.join(open_balls.where("lo != hi").select("ball", "size"), "ball"), "open_balls")
         if state.isEmpty():
             break
+        members = state.drop("label", "size")  # a closed ball stays closed
         chosen = state.where((F.col("spot") < F.lit(float(pivots)) / F.col("size")) & (F.col("spot") >= F.lit(float(done)) / F.col("size")))
         chosen = chosen.select("ball", F.col("a").alias("p"), F.col("n").alias("pn"), F.col("left").alias("pleft"), F.col("label").alias("plabel"))
         pair = state.join(chosen, "ball").where(
@@ -324,10 +331,10 @@ def _dense(members: DataFrame, found: DataFrame, sets: DataFrame, share: tuple[i
         window = pair.join(region, "a", "left").join(reach, ["centre", "b"], "left")
         # d(a, b) >= d(centre, b) - d(a, centre)
         pair = kept(window.where(F.coalesce(F.col("far") - F.col("near"), F.lit(0.0)) <= radius + 1e-9).select("a", "b"), "pairs")
-        more = kept(_verify(pair, sets, share), "measured_pairs")
+        more = _verify(pair, sets, share)
         labels = kept(components.relabel(labels, more.where("linked")), "labels")
         found = found.unionByName(more)
-        done, pivots = pivots, pivots * 8
+        done, pivots = pivots, pivots * 16
     return labels
 
 
@@ -353,13 +360,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     order = np.argsort(value)
     frequent = value[order], np.log2(top["df"].to_numpy()[order]).astype(np.int64) + 1
     packed = _prefixes(source, size, similarity, frequent, buckets, buckets)
-    balls = kept(packed.repartition(buckets, "bucket").mapInArrow(
-        _balls(similarity), "ball bigint, a bigint, b bigint, n bigint, left bigint"), "balls")
+    with small_batches(spark, 2000):
+        balls = kept(packed.repartition(buckets, "bucket").mapInArrow(
+            _balls(similarity), "ball bigint, a bigint, b bigint, n bigint, left bigint"), "balls")
     pairs = kept(balls.where("b is not null").select("a", "b").distinct(), "pairs")
     members = balls.where("b is null").select("ball", "a", "n", "left")
     keys = balls.select(F.col("a").alias("key")).unionByName(balls.where("b is not null").select(F.col("b").alias("key"))).distinct()
     sets = _sets(source, rows, keys, size)
-    found = kept(_verify(pairs, sets, similarity), "measured_pairs")
+    found = _verify(pairs, sets, similarity)
     labels = _dense(members, found, sets, similarity)
     classes = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     classes = classes.join(labels, "key", "left").withColumn("group", F.coalesce("label", "key"))

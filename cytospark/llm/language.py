@@ -25,7 +25,7 @@ ORDERS = (1, 2, 3)
 PROFILE_SIZE = 400
 UNKNOWN = "und"
 
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _EDGE = 32
 _CODE_POINTS = 0x110000
 

@@ -10,8 +10,10 @@ longest first, and pieces are dealt to patterns by their rank in their length.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
+import threading
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -50,13 +52,15 @@ class WordTokens:
     #: Small letters that normalisation leaves alone.
     _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.model = self.tokenizer.model
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.timer: threading.Timer | None = None
+        self.lock = threading.Lock()
         self.letters = _byte_letters()
         self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
 
@@ -100,12 +104,39 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
 
 
+#: Seconds without a task after which a worker process forgets its words.
+_FORGET_AFTER = 3.0
+
+
 @lru_cache(2)
-def _tokens(path: str) -> WordTokens:
-    """One for each worker process, so tasks share the known words."""
+def _loaded(path: str) -> WordTokens:
     return WordTokens(path)
 
 
+def _tokens(path: str) -> WordTokens:
+    """One for each worker process, so the tasks of a stage share the known words."""
+    tokens = _loaded(path)
+    with tokens.lock:
+        if tokens.timer is not None:
+            tokens.timer.cancel()
+        tokens.timer = None
+    return tokens
+
+
+def _rest(tokens: WordTokens) -> None:
+    """At the end of a task: unless another one comes soon, the words go, as other stages need the memory."""
+    def forget() -> None:
+        with tokens.lock:
+            if tokens.timer is timer:  # no task has begun since
+                tokens.young, tokens.old = {}, {}
+        gc.collect()
+
+    timer = threading.Timer(_FORGET_AFTER, forget)
+    timer.daemon = True
+    tokens.timer = timer
+    timer.start()
+
+
 #: Texts with this may hold the literal of a special token, which is found before words are.
 _LITERAL = b"<|"
 
@@ -180,6 +211,7 @@ def cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(rows)), *(pa.array(x, k) for x, k in zip(rest, kinds))],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "size", "part", "place"])
+        _rest(tokens)
 
     return source.mapInArrow(run, _PIECES.format(source.schema["doc_id"].dataType.simpleString()))
 
