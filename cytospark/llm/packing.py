@@ -239,11 +239,11 @@ def _knapsack(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return float(best[capacity]), pattern
 
 
-def plan_patterns(demand: np.ndarray, gap: float = 2e-3, most_columns: int = 6000) -> list[tuple[int, np.ndarray]]:
+def plan_patterns(demand: np.ndarray, gap: float = 2e-3, most_columns: int = 6000, stall: int = 150) -> list[tuple[int, np.ndarray]]:
     """Patterns with their counts that use up ``demand`` (pieces of size 1..capacity) exactly.
 
-    Column generation ends at a proven relative gap, or after ``most_columns`` patterns; the
-    plan is whole either way, and only its padding depends on it.
+    Column generation ends at a proven relative gap, after ``stall`` patterns without a gain, or after
+    ``most_columns``; the plan is whole either way, and only its padding depends on it.
     """
     capacity = len(demand)
     sizes = np.flatnonzero(demand) + 1
@@ -253,7 +253,12 @@ def plan_patterns(demand: np.ndarray, gap: float = 2e-3, most_columns: int = 600
     columns = np.diag((capacity // sizes).astype(float))
     inverse = np.diag(1 / np.diag(columns))
     amount = inverse @ need
+    least, since = np.inf, 0
     for turn in range(1, most_columns + 1):
+        since = since + 1 if amount.sum() > least * (1 - 1e-5) else 0
+        least = min(least, float(amount.sum()))
+        if since >= stall:
+            break
         price = inverse.sum(axis=0)
         full = np.zeros(capacity)
         full[sizes - 1] = np.maximum(price, 0)
