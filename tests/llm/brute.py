@@ -99,3 +99,54 @@ def secrets(text):
 def line_tokens(line):
     # The white space of the engine's expressions is ASCII.
     return ["<*>" if re.search("[0-9]", t) else t for t in re.split(r"[ \t\n\x0b\f\r]+", line) if t]
+
+
+def line_dedup(rows, depth=3, min_tokens=3, similarity=0.7, min_docs=5, min_copies=2):
+    """Of (id, text), ids different: text left and lines dropped. One model a turn in each leaf."""
+    def word(t):
+        return t != "<*>" and any(c.isalpha() for c in t)
+
+    def words(line):
+        return tuple(t for t in re.split(r"[ \t\n\x0b\f\r]+", line) if t)
+
+    def alike(a, b):
+        same = [x for x, y in zip(a, b) if x == y]
+        return len(same) >= similarity * len(a) and 2 * sum(map(word, same)) >= len(a)
+
+    exact, shapes, leaves = defaultdict(set), defaultdict(set), defaultdict(set)
+    lines = {d: (t or "").split("\n") for d, t in rows}
+    keys = {}
+    for d, ls in lines.items():
+        for line in ls:
+            w, t = words(line), tuple(line_tokens(line))
+            if len(w) < min_tokens:
+                continue
+            loose = 2 * sum(map(word, t)) >= len(t)
+            keys[line] = w, t if loose else ("exact", w)
+            exact[w].add(d)
+            shapes[keys[line][1]].add(d)
+            leaves[(len(t), t[:depth]) if loose else w].add(keys[line][1])
+    template = {}
+    for leaf in leaves.values():
+        left = sorted(leaf, key=lambda s: -len(shapes[s]))
+        while left:
+            model = left[0]
+            for s in [s for s in left if s == model or alike(s, model)]:
+                template[s] = model
+                left.remove(s)
+    held = defaultdict(set)
+    for s, m in template.items():
+        held[m] |= shapes[s]
+
+    def goes(d, line):
+        if line not in keys:
+            return False
+        w, s = keys[line]
+        return (len(exact[w]) >= min_copies and d != min(exact[w])) or (
+            len(held[template[s]]) >= min_docs and d != min(held[template[s]]))
+
+    out = {}
+    for d, t in rows:
+        left = [line for line in lines[d] if not goes(d, line)]
+        out[d] = None if t is None else "\n".join(left), len(lines[d]) - len(left)
+    return out
