@@ -1,10 +1,10 @@
 """Line dedup by exact text and by a log-template tree; DataFrame functions only.
 
 A line is parsed at fixed depth: its number of tokens, then its leading tokens;
-a token with a digit is a variable field and stands for any value. In the leaf that it
-reaches, a line that agrees with the leaf's commonest line in most tokens has that
-line's template, the differing tokens being variable too; any other line is a template of
-its own. A line recurs if its exact tokens stand in two documents or its template in
+a token with a digit is a variable field and stands for any value. A leaf keeps several
+templates: its commonest line is a model, lines that agree with it in most tokens have
+its template, the differing tokens being variable too; the commonest line left is the next
+model, and so on. A line recurs if its exact tokens stand in two documents or its template in
 several; it is then dropped everywhere but in the first of them. A document is a row: copies
 of a text count one by one, and only one of them can be the first.
 
@@ -14,7 +14,7 @@ holds several different lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytospark.llm.tables import col, kept, small_join
@@ -24,6 +24,9 @@ from cytospark.llm.texts import fresh
 FIELD = "<*>"
 
 
+#: Models tried in one turn over the leaves: the first turn, and later ones at most.
+FIRST_MODELS, MOST_MODELS = 16, 256
+
 
 def words_of(line: Column) -> Column:
     """Tokens of a line as they are."""
@@ -62,7 +65,61 @@ def _alike(a: Column, b: Column, similarity: float) -> Column:
     return F.size(same) >= similarity * F.size(a)
 
 
-def _template_of(docs: DataFrame, shapes: DataFrame, similarity: float, min_docs: int) -> DataFrame:
+def _with_partners(rest: DataFrame, similarity: float, depth: int) -> DataFrame:
+    """The shapes that some other shape of their leaf can be like.
+
+    Tokens after the path are cut into one block more than may differ, so alike shapes agree in a block.
+    """
+    size, after = F.size("tokens"), F.greatest(F.size("tokens") - depth, F.lit(0))
+    n = F.least(size - F.ceil(similarity * size).cast("int") + 1, F.greatest(after, F.lit(1)))
+    n = F.when(size - F.ceil(similarity * size).cast("int") >= after, 1).otherwise(n)
+    start = lambda i: F.lit(depth + 1) + F.floor(i * after / n).cast("int")
+    part = lambda i: F.when(n > 1, F.slice("tokens", start(i), start(i + 1) - start(i)))
+    blocks = rest.select("leaf", "shape", F.explode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(
+        "leaf", i, part(i)))).alias("block"))
+    shared = blocks.groupBy("block").count().where(F.col("count") > 1)
+    return rest.join(blocks.join(shared, "block", "left_semi").select("shape").distinct(), "shape", "left_semi")
+
+
+def _models(rest: DataFrame, most: int, similarity: float) -> DataFrame:
+    """(leaf, models): of the commonest ``most`` shapes of each leaf those that are like none before them."""
+    place = F.row_number().over(Window.partitionBy("leaf").orderBy(F.desc("docs"), F.desc("shape")))
+    top = rest.select("leaf", "shape", "tokens", place.alias("n")).where(F.col("n") <= most)
+    lists = top.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("n", "shape", "tokens"))).alias("top"))
+    start = F.slice("top", 1, 0)
+    step = lambda acc, x: F.when(F.exists(acc, lambda m: _alike(x["tokens"], m["tokens"], similarity)), acc).otherwise(
+        F.concat(acc, F.array(x)))
+    return lists.select("leaf", F.aggregate("top", start, step).alias("models"))
+
+
+def _generalised(found: DataFrame, similarity: float, min_docs: int, depth: int) -> DataFrame:
+    """Of (leaf, shape, docs, tokens): (shape, template), a template being the model that the shape has.
+
+    Each shape has the first model it is like, models in the order of their documents; the turns go on
+    until no leaf has shapes of ``min_docs`` documents left. They give what one model a turn would give.
+    """
+    rest, out, most = found, None, FIRST_MODELS
+    while True:
+        models = _models(rest, most, similarity)
+        hit = F.get(F.filter("models", lambda m: _alike(F.col("tokens"), m["tokens"], similarity)), F.lit(0))["shape"]
+        turn = kept(rest.join(models, "leaf").select("leaf", "shape", "docs", "tokens", hit.alias("template")), "templates_turn")
+        named = turn.where(F.col("template").isNotNull()).select("shape", "template")
+        out = named if out is None else out.unionByName(named)
+        left = turn.where(F.col("template").isNull()).drop("template")
+        leaves = left.groupBy("leaf").agg(F.sum("docs").alias("all")).where(F.col("all") >= min_docs)
+        left = kept(left.join(leaves, "leaf", "left_semi"), "shapes_left")
+        if left.isEmpty():
+            return out
+        # A shape that nothing is like is a template of its own, and is no one's model.
+        rest = kept(_with_partners(left, similarity, depth), "shapes_with_partners")
+        alone = left.where(F.col("docs") >= min_docs).join(rest.select("shape"), "shape", "left_anti")
+        out = out.unionByName(alone.select("shape", F.col("shape").alias("template")))
+        if rest.isEmpty():
+            return out
+        most = min(4 * most, MOST_MODELS)
+
+
+def _template_of(docs: DataFrame, shapes: DataFrame, similarity: float, min_docs: int, depth: int) -> DataFrame:
     """(shape, template) of the shapes in leaves that ``min_docs`` documents or more reach."""
     leaves = shapes.groupBy("leaf").agg(F.sum("docs").alias("all"), F.count(F.lit(1)).alias("kinds"))
     busy = kept(shapes.join(leaves.where(F.col("all") >= min_docs), "leaf")
@@ -75,9 +132,7 @@ def _template_of(docs: DataFrame, shapes: DataFrame, similarity: float, min_docs
     found = texts.select(F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w")).select(
         "w.leaf", "w.shape", "w.docs", tokens_of(F.element_at("lines", F.col("w.at_line") + 1)).alias("tokens"))
     found = kept(found.groupBy("leaf", "shape", "docs").agg(F.first("tokens").alias("tokens")), "shape_tokens")
-    seeds = found.groupBy("leaf").agg(F.max_by(F.struct("shape", "tokens"), F.struct("docs", "shape")).alias("m"))
-    alike = found.join(seeds, "leaf").select("shape", F.when(_alike(F.col("tokens"), F.col("m.tokens"), similarity), F.col("m.shape"))
-                                             .otherwise(F.col("shape")).alias("template"))
+    alike = _generalised(found, similarity, min_docs, depth)
     return busy.where(F.col("kinds") == 1).select("shape", F.col("shape").alias("template")).unionByName(alike)
 
 
@@ -116,7 +171,7 @@ def recurring_lines(docs: DataFrame, copies: DataFrame, doc_id: str = "doc_id",
         F.max("plain").alias("plain"))
     shapes = kept(shapes.select("leaf", "shape", "docs", "plain", F.col("at.doc").alias("at_doc"), F.col("at.line").alias("at_line")),
                   "shapes")
-    template = kept(_template_of(source, shapes, similarity, min_docs), "templates")
+    template = kept(_template_of(source, shapes, similarity, min_docs, depth), "templates")
     of = small_join(by_text, template, "shape", width=48).where(F.col("template").isNotNull())
     found = of.groupBy("template", "doc").agg(F.min("rank").alias("rank"), F.first("rows").alias("rows")).groupBy("template").agg(
         F.sum("rows").alias("docs"), first)
