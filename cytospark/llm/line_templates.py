@@ -24,6 +24,10 @@ from cytospark.llm.texts import fresh
 FIELD = "<*>"
 
 
+#: A token that can hold a template together; the others are fields, numbers, marks.
+LETTER = r"\p{L}"
+#: Lines without any of these have no token but such.
+ODD = r"[0-9]|(?<!\S)[^\s\p{L}]+(?!\S)"
 #: Models tried in one turn over the leaves: the first turn, and later ones at most.
 FIRST_MODELS, MOST_MODELS = 16, 256
 
@@ -43,26 +47,31 @@ def tokens_of(line: Column) -> Column:
     return _fields(line, words_of(line))
 
 
+def _constants(tokens: Column) -> Column:
+    return F.size(F.filter(tokens, lambda t: (t != FIELD) & t.rlike(LETTER)))
+
+
 def parse(docs: DataFrame, depth: int = 3, min_tokens: int = 3) -> DataFrame:
     """Of (doc, rank, text): (doc, rank, line, leaf, shape, exact) for each line of ``min_tokens`` tokens or more.
 
     ``leaf`` hashes the path through the tree, ``shape`` the tokens with fields, ``exact`` the tokens as
-    they are.
+    they are. A line of which less than half the tokens are constant words has no template but its exact tokens.
     """
     rows = docs.select("doc", "rank", F.posexplode(F.split("text", "\n", -1)).alias("line", "t"))
     rows = rows.select("doc", "rank", "line", "t", words_of(F.col("t")).alias("words")).where(F.size("words") >= min_tokens)
     rows = rows.withColumn("tokens", _fields(F.col("t"), F.col("words")))
+    enough = F.when(F.col("t").rlike(ODD), 2 * _constants(F.col("tokens")) >= F.size("tokens")).otherwise(True)
     exact = F.xxhash64("words")
     return rows.select(
         "doc", "rank", "line",
-        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("tokens").alias("shape"),
-        exact.alias("exact"))
+        F.when(enough, F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))).otherwise(exact).alias("leaf"),
+        F.when(enough, F.xxhash64("tokens")).otherwise(exact).alias("shape"), exact.alias("exact"))
 
 
 def _alike(a: Column, b: Column, similarity: float) -> Column:
-    """Most tokens agree."""
+    """Most tokens agree, and half of them are constant words that agree."""
     same = F.filter(F.zip_with(a, b, lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
-    return F.size(same) >= similarity * F.size(a)
+    return (F.size(same) >= similarity * F.size(a)) & (2 * _constants(same) >= F.size(a))
 
 
 def _with_partners(rest: DataFrame, similarity: float, depth: int) -> DataFrame:

@@ -1,11 +1,14 @@
 """Line dedup against the plain version, and the cases a template tree gets wrong."""
 
+import hashlib
 import random
 
 import brute
 import pytest
 
 from cytospark.llm import line_templates
+from cytospark.llm.queries import QUERIES
+from cytospark.llm.tables import table
 
 
 def dedup(spark, rows, **options):
@@ -46,3 +49,16 @@ def test_many_families_against_plain_version(spark, monkeypatch, models):
     few = [x for x in rows if x[0] >= 100]
     assert dedup(spark, few) == sorted((d, *v) for d, v in brute.line_dedup(few).items())
     assert dedup(spark, rows) == dedup(spark, rows)
+
+
+def test_rows_of_numbers_are_not_a_template(spark):
+    rows = [(i, f"{i}1 {i}2 {i}3\n| {i}4 | {i}5 | x{i}6 |\n10:0{i} 10.0.0.{i} {i}7 Berlin\nprice of {i} euro\n7 7 7") for i in range(8)]
+    got = dedup(spark, rows)
+    assert got == [(0, rows[0][1], 0), *[(i, "\n".join(rows[i][1].split("\n")[:3]), 2) for i in range(1, 8)]]
+
+
+def test_query_against_plain_version(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    want = {d: (n, hashlib.sha256((t or "").encode()).hexdigest()) for d, (t, n) in brute.line_dedup([tuple(r) for r in docs]).items()}
+    got = {r["doc_id"]: (r["n_dropped"], r["kept_sha256"]) for r in QUERIES["op8_line_dedup"](spark, sf_dir).collect()}
+    assert got == want
