@@ -21,8 +21,12 @@ PATTERNS = {
     "date": r"(?<![0-9-])[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
+#: A run of numbers, a space or a dash apart, of 13 digits or more, up to a value of another format. Cards are found inside it.
+PATTERNS["card"] = (r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ -](?!"
+                    + "|".join(PATTERNS[k] for k in ("ip", "date", "ssn", "phone")) + r")[0-9]++(?![A-Za-z])){0,63}+")
+#: Groups of digits in which cards are written, longest first, and their digits.
+GROUPINGS = {"4,4,4,4,3,": 19, "4,4,4,4,": 16, "4,6,5,": 15, "4,6,4,": 14}
 ROUNDS = 8
 #: Dates from here on, so many days: 250 x 292.
 FIRST_DAY, DAY_LEFT, DAY_RIGHT = "1900-01-01", 250, 292
@@ -85,13 +89,64 @@ def _once(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
+def _places(m: Column) -> Column:
+    """Where cards can stand in a run of numbers: structs (s, n) of the first digit and the number of digits, best first.
+
+    Unbroken numbers and the usual groupings come first, then the whole run, then what else of groups of
+    three digits or more makes up to 19. Only the shape of the run is used.
+    """
+    def places(g: Column) -> Column:
+        total = lambda x: F.aggregate(x, F.lit(0), lambda u, v: u + v)
+        index = F.sequence(F.lit(1), F.size(g))
+        spans = lambda i, sizes: F.transform(F.filter(sizes, lambda n: n.isNotNull()), lambda n: F.struct(
+            (total(F.slice(g, F.lit(1), i - 1)) + 1).alias("s"), n.alias("n")))
+        usual = lambda i: _once(F.concat(F.array_join(F.slice(g, i, F.lit(5)).cast("array<string>"), ","), F.lit(",")), lambda head: F.array(
+            F.when(F.get(g, i - 1).between(13, 19), F.get(g, i - 1)), *[F.when(head.startswith(k), n) for k, n in GROUPINGS.items()]))
+        sums = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(6), F.size(g) - i + 1)), lambda k: F.when(
+            F.forall(F.slice(g, i, k), lambda x: x >= 3), total(F.slice(g, i, k))))
+        other = lambda i: F.slice(F.reverse(F.filter(sums(i), lambda n: n.between(13, 19))), 1, 1)
+        whole = F.filter(F.array(F.struct(F.lit(1).alias("s"), total(g).alias("n"))), lambda c: c["n"].between(13, 19))
+        return F.concat(F.flatten(F.transform(index, lambda i: spans(i, usual(i)))), whole,
+                        F.flatten(F.transform(index, lambda i: spans(i, other(i)))))
+    return _once(F.transform(F.split(m, "[ -]"), lambda x: F.length(x)), places)
+
+
+def _chosen(digits: Column, places: Column) -> Column:
+    """The places with a valid number that do not overlap a better one."""
+    step = lambda acc, c: F.when(
+        (luhn_sum(F.substring(digits, c["s"], c["n"]), 1) % 10 == 0)
+        & ~F.exists(acc, lambda o: (o["s"] < c["s"] + c["n"]) & (c["s"] < o["s"] + o["n"])), F.concat(acc, F.array(c))).otherwise(acc)
+    return F.aggregate(places, F.slice(places, 1, 0), step)
+
+
 def _card(m: Column, key: str, inverse: bool) -> Column:
-    def new(digits: Column) -> Column:
+    """Each card in a run of numbers. It is permuted again while other places would be chosen after it, so the way back is exact."""
+    def card(digits: Column) -> Column:
         body = F.substring(digits, F.lit(1), F.length(digits) - 1)
         made = lambda b: F.concat(b, ((F.lit(10) - luhn_sum(b, 0) % 10) % 10).cast("string"))
-        moved = _refilled(m, _once(_permuted_digits(body, key, "card", inverse), made))
-        return F.when(luhn_sum(digits, 1) % 10 == 0, moved).otherwise(m)
-    return _once(_digits(m), new)
+        return _once(_permuted_digits(body, key, "card", inverse), made)
+
+    def changed(d: Column, c: Column) -> Column:
+        return F.concat(F.substring(d, F.lit(1), c["s"] - 1), _once(F.substring(d, c["s"], c["n"]), card),
+                        F.substring(d, c["s"] + c["n"], F.length(d)))
+
+    def moved(digits: Column, places: Column, spans: Column) -> Column:
+        def walk(d: Column, c: Column) -> Column:
+            step = lambda w, _: F.when(w["done"], w).otherwise(_once(changed(w["d"], c), lambda x: F.struct(
+                x.alias("d"), (_chosen(x, places) == spans).alias("done"))))
+            return F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.struct(d.alias("d"), F.lit(False).alias("done")), step)["d"]
+        return F.aggregate(F.reverse(spans) if inverse else spans, digits, walk)
+
+    def new(places: Column) -> Column:
+        return _once(_digits(m), lambda d: _once(_chosen(d, places), lambda spans: F.when(
+            F.size(spans) > 0, _refilled(m, moved(d, places, spans))).otherwise(m)))
+    return _once(_places(m), new)
+
+
+def _values(m: Column) -> Column:
+    """How many values a match holds: a run of numbers can hold several cards."""
+    cards = _once(_places(m), lambda places: F.size(_chosen(_digits(m), places)))
+    return F.when(m.rlike("^[0-9][0-9 -]+$"), F.greatest(F.lit(1), cards)).otherwise(1)
 
 
 def _phone(m: Column, key: str, inverse: bool) -> Column:
@@ -158,7 +213,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", into: str = "n_r
     marked = docs.withColumn(work, new)
     pairs = F.concat(F.transform(work, lambda p: p["new"]), F.array(F.lit("")))
     whole = F.array_join(F.zip_with(F.split(t, pattern, -1), pairs, lambda a, b: F.concat(a, b)), "")
-    changed = F.size(F.filter(work, lambda p: p["old"] != p["new"]))
+    changed = F.aggregate(F.filter(work, lambda p: p["old"] != p["new"]), F.lit(0), lambda n, p: n + _values(p["old"]))
     out = [F.when(F.col(work).isNull(), col(c)).otherwise(whole).alias(c) if c == text else col(c) for c in docs.columns]
     return marked.select(*out, F.when(F.col(work).isNull(), 0).otherwise(changed).alias(into)), into
 
