@@ -20,7 +20,11 @@ PATTERNS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9-])[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])",
+    "phone": (r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])"
+              r"|(?<![0-9A-Za-z+])\+(?=(?:[ .-]?[0-9]){8})[0-9]{1,3}[ .-][0-9]{1,4}(?:[ .-][0-9]{2,4}){1,4}(?![0-9])"
+              r"|(?<![0-9A-Za-z+])\+[0-9]{10,15}(?![0-9])"
+              r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+              r"|(?<![0-9A-Za-z.+-])(?:1[ .-])?(?:[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4})(?![0-9A-Za-z]|[.-][0-9])"),
 }
 #: A run of numbers, a space or a dash apart, of 13 digits or more, up to a value of another format. Cards are found inside it.
 PATTERNS["card"] = (r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ -](?!"
@@ -150,11 +154,13 @@ def _values(m: Column) -> Column:
 
 
 def _phone(m: Column, key: str, inverse: bool) -> Column:
-    """The country code stays."""
+    """The country code stays: what a plus sign has before a separator, or what is left of the last ten digits."""
+    code = F.regexp_extract(m, r"^\+([0-9]{1,3})[ .-]", 1)
+
     def new(digits: Column) -> Column:
-        n = F.length(digits)
-        return _refilled(m, F.concat(F.substring(digits, F.lit(1), n - 10),
-                                     _permuted_digits(F.substring(digits, n - 9, F.lit(10)), key, "phone", inverse)))
+        kept = F.when(F.length(code) > 0, F.length(code)).otherwise(F.greatest(F.length(digits) - 10, F.lit(0)))
+        return _refilled(m, F.concat(F.substring(digits, F.lit(1), kept), _once(F.substring(digits, kept + 1, F.length(digits)), lambda d: (
+            _permuted_digits(d, key, "phone", inverse)))))
     return _once(_digits(m), new)
 
 
