@@ -239,6 +239,24 @@ def _knapsack(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return float(best[capacity]), pattern
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By elimination with pivots, a row at a time.
+
+    A threaded LAPACK call was seen to hang on the driver once the JVM runs; this needs none.
+    """
+    n = len(matrix)
+    work = np.hstack((matrix.astype(float), np.eye(n)))
+    for k in range(n):
+        pivot = k + int(np.abs(work[k:, k]).argmax())
+        if pivot != k:
+            work[[k, pivot]] = work[[pivot, k]]
+        work[k] /= work[k, k]
+        factor = work[:, k].copy()
+        factor[k] = 0
+        work -= np.outer(factor, work[k])
+    return work[:, n:]
+
+
 def plan_patterns(demand: np.ndarray, gap: float = 2e-3, most_columns: int = 6000, stall: int = 150) -> list[tuple[int, np.ndarray]]:
     """Patterns with their counts that use up ``demand`` (pieces of size 1..capacity) exactly.
 
@@ -252,7 +270,7 @@ def plan_patterns(demand: np.ndarray, gap: float = 2e-3, most_columns: int = 600
     need = demand[sizes - 1].astype(float)
     columns = np.diag((capacity // sizes).astype(float))
     inverse = np.diag(1 / np.diag(columns))
-    amount = inverse @ need
+    amount = need / np.diag(columns)
     least, since = np.inf, 0
     for turn in range(1, most_columns + 1):
         since = since + 1 if amount.sum() > least * (1 - 1e-5) else 0
@@ -263,10 +281,10 @@ def plan_patterns(demand: np.ndarray, gap: float = 2e-3, most_columns: int = 600
         full = np.zeros(capacity)
         full[sizes - 1] = np.maximum(price, 0)
         value, pattern = _knapsack(full, capacity)
-        if value <= 1 + 1e-7 or amount.sum() - price @ need / value <= gap * amount.sum():
+        if value <= 1 + 1e-7 or amount.sum() - (price * need).sum() / value <= gap * amount.sum():
             break
         entering = pattern[sizes - 1].astype(float)
-        change = inverse @ entering
+        change = (inverse * entering).sum(axis=1)
         ratio = np.where(change > 1e-9, amount / np.where(change > 1e-9, change, 1), np.inf)
         leave = int(ratio.argmin())
         amount = amount - ratio[leave] * change
@@ -277,8 +295,8 @@ def plan_patterns(demand: np.ndarray, gap: float = 2e-3, most_columns: int = 600
         inverse -= np.outer(change, row)
         inverse[leave] = row
         if turn % 200 == 0:  # rounding errors add up
-            inverse = np.linalg.inv(columns)
-            amount = np.maximum(inverse @ need, 0)
+            inverse = _inverse(columns)
+            amount = np.maximum((inverse * need).sum(axis=1), 0)
     left = demand.astype(np.int64).copy()
     plan = []
     for k in np.argsort(-amount, kind="stable"):

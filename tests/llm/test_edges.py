@@ -287,3 +287,20 @@ def test_patterns_use_up_the_demand():
     assert (sum(n * p for n, p in plan) == demand).all() and all((p * np.arange(1, 65)).sum() <= 64 for _, p in plan)
     least = (demand * np.arange(1, 65)).sum() / 64
     assert sum(n for n, _ in plan) <= 1.06 * least
+
+
+def test_patterns_of_a_long_program_in_a_session(spark):
+    """Enough turns for several refactorings on a driver that runs a session; it hung there once."""
+    import time
+
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    matrix = r.integers(0, 4, (120, 120)) + np.diag(r.integers(1, 9, 120))
+    assert np.abs(matrix @ packing._inverse(matrix) - np.eye(120)).max() < 1e-8
+    demand = r.integers(1, 300, 160)
+    begin = time.monotonic()
+    plan = packing.plan_patterns(demand, gap=1e-6)
+    assert time.monotonic() - begin < 120
+    assert (sum(count * pattern for count, pattern in plan) == demand).all()
+    assert all((pattern * np.arange(1, 161)).sum() <= 160 for _, pattern in plan)
