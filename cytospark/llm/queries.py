@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 
-from cytospark.llm import decontaminate, jaccard, language, line_templates, neighbours, packing, pseudonyms, quality, secret_scan, substrings
+from cytospark.llm import (
+    decontaminate, hard_negatives, jaccard, language, line_templates, manifest, neighbours, packing, pseudonyms, quality, secret_scan,
+    substrings,
+)
 from cytospark.llm.tables import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -145,3 +148,94 @@ def op3(spark, sf_dir):
 @query("op5_jaccard_join")
 def op5(spark, sf_dir):
     return jaccard.report(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+with rows as (
+    select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+    select a.id as anchor_id, b.id, a.label = b.label as alike, cast(list_inner_product(a.v, b.v) as bigint) as score
+    from rows a, rows b where a.id % 100 = 0 and a.id <> b.id),
+positives as (
+    select anchor_id, id as positive_id, score as positive_score
+    from pairs where alike
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id,
+       cast(row_number() over (partition by anchor_id, positive_id order by score desc, id) as int) as rank,
+       id as negative_id, positive_score, score as negative_score
+from pairs join positives using (anchor_id)
+where not alike and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, id) <= 10
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark, sf_dir):
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = r"""
+with recursive docs as (
+    select row_number() over () as k, doc_id, source, text, crc32_even, n_chars, lang from (
+        select *, list_reduce(
+            [cast(4294967295 as bigint)] || list_transform(regexp_extract_all(cast(doc_id as varchar), '.'), lambda c: cast(ord(c) as bigint)),
+            lambda crc, c: {step}) as state, xor(state, 4294967295) % 2 = 0 as crc32_even from documents)),
+forms as (
+    select k, doc_id, source,
+           coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as head,
+           text, case when crc32_even then replace(text, chr(10), '') else text end as other
+    from docs),
+leaves as (
+    select k, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+           sha256(head || coalesce(strlen(other) || ':' || other, '-')) as tampered,
+           row_number() over (partition by source order by doc_id) - 1 as place, count(*) over (partition by source) as n
+    from forms),
+tree as (
+    select source, 0 as level, place, leaf as node, n from leaves
+    union all
+    select source, level + 1, place // 3, sha256(string_agg(node, '' order by place)), (n + 2) // 3
+    from tree where n > 1 group by source, level, place // 3, n),
+subroots as (
+    select source, node, row_number() over (order by source nulls first) - 1 as place, count(*) over () as n from tree where n = 1),
+top as (
+    select 0 as level, place, node, n from subroots
+    union all
+    select level + 1, place // 3, sha256(string_agg(node, '' order by place)), (n + 2) // 3 from top where n > 1 group by level, place // 3, n),
+walk as (
+    select k, source, 0 as part, 0 as level, place, n, tampered as folded, '' as proof from leaves
+    union all
+    select w.k, w.source, w.part, w.level + 1, w.place // 3, (w.n + 2) // 3,
+           sha256(coalesce(string_agg(t.node, '' order by t.place) filter (where t.place < w.place), '') || w.folded
+                  || coalesce(string_agg(t.node, '' order by t.place) filter (where t.place > w.place), '')),
+           w.proof || coalesce(string_agg(t.node, '' order by t.place) filter (where t.place <> w.place), '')
+    from walk w join tree t on t.source is not distinct from w.source and t.level = w.level and t.place // 3 = w.place // 3
+    where w.n > 1 group by w.k, w.source, w.part, w.level, w.place, w.n, w.folded, w.proof),
+climb as (
+    select k, 0 as level, s.place, s.n, w.folded, w.proof
+    from walk w join subroots s on s.source is not distinct from w.source where w.n = 1
+    union all
+    select w.k, w.level + 1, w.place // 3, (w.n + 2) // 3,
+           sha256(coalesce(string_agg(t.node, '' order by t.place) filter (where t.place < w.place), '') || w.folded
+                  || coalesce(string_agg(t.node, '' order by t.place) filter (where t.place > w.place), '')),
+           w.proof || coalesce(string_agg(t.node, '' order by t.place) filter (where t.place <> w.place), '')
+    from climb w join top t on t.level = w.level and t.place // 3 = w.place // 3
+    where w.n > 1 group by w.k, w.level, w.place, w.n, w.folded, w.proof)
+select l.doc_id, l.leaf, s.node as subroot, r.node as root, sha256(c.proof) as proof_sha256, c.folded as folded_root,
+       c.folded = r.node as verified
+from leaves l join subroots s on s.source is not distinct from l.source
+     join climb c on c.k = l.k and c.n = 1, (select node from top where n = 1) r
+"""
+# One byte of the checksum, eight bits of the reflected polynomial.
+_CRC_STEP = "xor(crc, c)"
+for _ in range(8):
+    _CRC_STEP = f"list_transform([{_CRC_STEP}], lambda z: xor(z >> 1, (z & 1) * 3988292384))[1]"
+
+
+@query("op12_merkle_manifest", OP12_SQL.replace("{step}", _CRC_STEP))
+def op12(spark, sf_dir):
+    return manifest.report(table(spark, sf_dir, "documents"))
