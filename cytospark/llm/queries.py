@@ -6,7 +6,7 @@ import re
 
 from cytospark.llm import (
     decontaminate, hard_negatives, jaccard, language, line_templates, manifest, neighbours, packing, pseudonyms, quality, secret_scan,
-    substrings,
+    substrings, toxicity,
 )
 from cytospark.llm.tables import QUERIES, SQL, query, table
 
@@ -239,3 +239,8 @@ for _ in range(8):
 @query("op12_merkle_manifest", OP12_SQL.replace("{step}", _CRC_STEP))
 def op12(spark, sf_dir):
     return manifest.report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_toxicity")
+def op11(spark, sf_dir):
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
