@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cytospark.functions.names import melt
+from cytospark.functions.names import col, melt
 from cytospark.operators import boosting, embed, evaluate, quantiles
 from cytospark.operators.abundance import PREDICTION
 from cytospark.operators.split import holdout_split
@@ -10,9 +10,6 @@ from cytospark.plans.catalog import query
 from cytospark.plans.tables import CELLS, LONG, MEANS, cells, embedded, round_columns, rounded, table
 from cytospark.session import scratch_path
 
-# Few rounds: the queries show the steps, not the best model.
-ROUNDS = 2
-
 GRID = """g AS (SELECT CAST(l_suppkey % 5 AS INTEGER) AS cv, l_linenumber AS max_depth, CASE WHEN l_linestatus = 'F' THEN 0.1 ELSE 1.0 END AS eta,
   round(avg(l_discount) * 10, 9) AS tr, round(avg(l_tax) * 10, 9) AS te FROM lineitem GROUP BY ALL)"""
 
@@ -59,26 +56,70 @@ def accuracy_boxes(spark, sf_dir):
     return round_columns(quantiles.box_statistics(grid_rows(spark, sf_dir), "testf", ["max_depth"]))
 
 
+def vector_split(spark, sf_dir):
+    """The vectors as cells, a holdout set aside, and their measures."""
+    wide, names = embedded(spark, sf_dir)
+    return holdout_split(wide, "Classification", "Batch", ["vec_id"], 0.1, 5), names
+
+
+def full_grid(spark, tagged, names):
+    """All repeats, depths and rates on the training rows."""
+    return boosting.grid_search(tagged.filter("split = 'training'"), "Classification", names, ["vec_id"], boosting.parameter_grid(spark))
+
+
 @query("boosted_grid")
 def boosted_grid(spark, sf_dir):
-    wide, names = embedded(spark, sf_dir)
-    grid = boosting.parameter_grid(spark, 1, [2], [0.1, 1.0])
-    return round_columns(boosting.grid_search(
-        wide, "Classification", names[:8], ["vec_id"], grid, ROUNDS, threshold=10))
+    return round_columns(full_grid(spark, *vector_split(spark, sf_dir)))
+
+
+@query("winner_performance")
+def winner_performance(spark, sf_dir):
+    """The two best settings of the whole grid, fitted on all training rows and compared on the holdout."""
+    tagged, names = vector_split(spark, sf_dir)
+    best = boosting.top_two(boosting.grid_summary(full_grid(spark, tagged, names)))
+    models = boosting.train_winners(tagged.filter("split = 'training'"), "Classification", names, best)
+    return round_columns(boosting.evaluate_models(models, tagged.filter("split = 'holdout'"), "Classification"))
 
 
 @query("boosted_predictions")
 def boosted_predictions(spark, sf_dir):
     """Train, store, load, predict every vector, compare classes."""
-    wide, names = embedded(spark, sf_dir)
-    tagged = holdout_split(wide, "Classification", "Batch", ["vec_id"], 0.1, 5)
-    model = boosting.fit_model(tagged.filter("split = 'training'"), "Classification", names[:8], 2, 0.5, ROUNDS)
+    wide, _ = embedded(spark, sf_dir)
+    tagged, names = vector_split(spark, sf_dir)
+    model = boosting.fit_model(tagged.filter("split = 'training'"), "Classification", names, 2, 0.1)
     path = scratch_path(spark, "boosted")
     model.save(path)
     scored = boosting.CellModel.load(path).score(wide)
     return round_columns(evaluate.class_scores(evaluate.confusion(scored, "Classification", PREDICTION)))
 
 
+@query("boosted_first_round", """WITH v AS (SELECT vec_id, label, round(16 * CAST(unnest(embedding) AS DOUBLE)) AS x, unnest(range(64)) AS f FROM embeddings),
+c AS (SELECT DISTINCT label AS k FROM embeddings), n AS (SELECT count(*) AS n, count(DISTINCT label) AS nk FROM embeddings),
+own AS (SELECT label AS k, count(*) AS nk FROM embeddings GROUP BY label),
+tot AS (SELECT f, x, count(*) AS m FROM v GROUP BY f, x), tot_class AS (SELECT f, x, label AS k, count(*) AS m FROM v GROUP BY ALL),
+upto AS (SELECT f, x, k, sum(tot.m) OVER w AS ml, coalesce(sum(tot_class.m) OVER w, 0) AS kl FROM tot CROSS JOIN c LEFT JOIN tot_class USING (f, x, k) WINDOW w AS (PARTITION BY f, k ORDER BY x)),
+sums AS (SELECT k, f, x, ml, kl, n.n, own.nk, ml / n.nk - kl AS gl, n.n / n.nk - own.nk AS g, 2 / n.nk * (1 - 1 / n.nk) * ml AS hl, 2 / n.nk * (1 - 1 / n.nk) * n.n AS h FROM upto JOIN own USING (k), n WHERE ml < n.n),
+gains AS (SELECT *, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain, -gl / (hl + 1) AS wl, -(g - gl) / (h - hl + 1) AS wr FROM sums WHERE hl >= 1 AND h - hl >= 1)
+SELECT 'type_' || k AS "class", round(max(gain), 6) AS gain, round(max_by(least(wl, wr), gain), 6) AS low, round(max_by(greatest(wl, wr), gain), 6) AS high FROM gains GROUP BY k""")
+def boosted_first_round(spark, sf_dir):
+    """The first cut of every class on rounded vectors: gain, from the rows on both sides of it, and the two weights."""
+    wide, names = embedded(spark, sf_dir)
+    coarse = wide.select("Classification", *[F.round(col(n) * 16).alias(n) for n in names])
+    model = boosting.fit_model(coarse, "Classification", names, 1, 1.0, 1)
+    nodes = spark.createDataFrame(model.trees.table())
+    cuts = nodes.filter("node = 0").select(F.element_at(F.array(*map(F.lit, names)), F.col("feature") + 1).alias("column"), "threshold", "class")
+    weights = nodes.filter("node > 0").groupBy("class").agg(F.min("weight").alias("low"), F.max("weight").alias("high"))
+    of_class = F.element_at(F.array(*map(F.lit, model.labels)), F.col("class") + 1)
+    long = melt(coarse, names, ["Classification"]).join(F.broadcast(cuts), "column")  # a row a class
+    n, k = F.count(F.lit(1)), F.count_if(F.col("Classification") == of_class)
+    left, share = F.col("value") <= F.col("threshold"), 1 / len(model.labels)
+    counts = long.groupBy("class").agg(n.alias("n"), k.alias("k"), F.count_if(left).alias("ml"), F.count_if(left & (F.col("Classification") == of_class)).alias("kl"))
+    g, gl = share * F.col("n") - F.col("k"), share * F.col("ml") - F.col("kl")
+    h, hl = 2 * share * (1 - share) * F.col("n"), 2 * share * (1 - share) * F.col("ml")
+    gain = gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)
+    return round_columns(counts.join(weights, "class").select(of_class.alias("class"), gain.alias("gain"), "low", "high"))
+
+
 @query("forest_predictions")
 def forest_predictions(spark, sf_dir):
     wide, names = embedded(spark, sf_dir)

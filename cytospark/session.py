@@ -68,8 +68,7 @@ def clear_scratch(spark: SparkSession) -> None:
     For the end of a run, once its results are written: frames that operators
     returned may still read them.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    discard(spark, session_folder(spark))
 
 
 def durable(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -77,9 +76,20 @@ def durable(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
 
     Cuts the lineage and survives the loss of executors, unlike a cache.
     """
+    return stored(df, name, partition_by)[0]
+
+
+def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> tuple[DataFrame, str]:
+    """``durable`` and the folder, for loops that ``discard`` the table of the turn before."""
     path = scratch_path(df.sparkSession, name)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
