@@ -27,7 +27,7 @@ def _row_bytes(df: DataFrame) -> int | None:
     return total
 
 
-def _held(summary: DataFrame, max_rows: int, max_bytes: int) -> tuple[DataFrame | None, DataFrame]:
+def held(summary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame | None, DataFrame]:
     """(local table if the summary is within the bounds, what to read it from otherwise).
 
     Flat rows have a bounded width, so a row limit bounds the bytes before anything
@@ -53,7 +53,7 @@ def small_or_none(
     summary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame | None:
     """The summary as a local table if it is within the bounds, else None."""
-    return _held(summary, max_rows, max_bytes)[0]
+    return held(summary, max_rows, max_bytes)[0]
 
 
 def null_safe_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
@@ -78,7 +78,7 @@ def join_summary(
     A summary within the bounds is broadcast, so the rows are not shuffled. A
     larger one is joined by shuffle, where adaptive execution splits hot keys.
     """
-    small, rest = _held(summary, max_rows, MAX_BROADCAST_BYTES)
+    small, rest = held(summary, max_rows, MAX_BROADCAST_BYTES)
     if small is None:
         return null_safe_join(df, rest, on, how)
     return null_safe_join(df, small, on, how, small=True)
@@ -109,7 +109,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 def settle(summary: DataFrame, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Compute a summary once: a local table where it is small, else a stored one."""
-    small, rest = _held(summary, max_rows, MAX_BROADCAST_BYTES)
+    small, rest = held(summary, max_rows, MAX_BROADCAST_BYTES)
     if small is not None:
         return small
     return durable(rest, name) if rest is summary else rest

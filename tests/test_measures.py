@@ -32,7 +32,7 @@ def test_quantile_paths_agree_on_skewed_values_with_ties(spark):
     df = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, 1).alias("g"), hot.alias("v"), F.lit(4.0).alias("flat"))
     probs = [0.0, 0.05, 0.25, 0.333, 0.5, 0.9, 0.999, 1.0]
     a = quantiles.quantiles(df, ["v", "flat"], probs, ["g"])
-    b = quantiles.quantiles(df, ["v", "flat"], probs, ["g"], exact_rows=0, bits=5)
+    b = quantiles.quantiles(df, ["v", "flat"], probs, ["g"], exact_rows=0, few_rows=50)
     left = {(r["g"], r["column"]): (r["n"], r["quantiles"]) for r in a.collect()}
     right = {(r["g"], r["column"]): (r["n"], r["quantiles"]) for r in b.collect()}
     assert left.keys() == right.keys()
@@ -41,6 +41,36 @@ def test_quantile_paths_agree_on_skewed_values_with_ties(spark):
         assert np.allclose(left[k][1], right[k][1], rtol=1e-12)
 
 
+def test_descent_on_hard_values(spark):
+    """Both signs, tiny and huge, infinite, neighbouring doubles, one value in a group, a null group."""
+    r = np.random.default_rng(2)
+    near = np.nextafter(1.0, 2.0) - np.arange(40) * 2.0 ** -52
+    values = np.concatenate([r.normal(size=500) * 10.0 ** r.integers(-300, 300, 500), near, near, [0.0, -0.0, 5e-324, -5e-324, np.inf, -np.inf, 1.7e308, -1.7e308]])
+    rows = [(None if i % 3 else "a", float(v)) for i, v in enumerate(values)] + [("one", 3.0)] * 5 + [("two", 1.0), ("two", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    probs = np.linspace(0, 1, 41).tolist()
+    for few in (0, 1_000_000):
+        got = quantiles.quantiles(df, ["v"], probs, ["g"], exact_rows=0, few_rows=few).collect()
+        assert {r["g"] for r in got} == {None, "a", "one", "two"}
+        for r in got:
+            mine = np.sort([v for g, v in rows if g == r["g"]])
+            h = (len(mine) - 1) * np.array(probs)
+            low, high = mine[np.floor(h).astype(int)], mine[np.ceil(h).astype(int)]
+            with np.errstate(all="ignore"):
+                want = np.where(low == high, low, low + (h - np.floor(h)) * (high - low))
+            assert r["n"] == len(mine) and np.array_equal(r["quantiles"], want, equal_nan=True)
+    assert quantiles.quantiles(df.limit(0), ["v"], probs, ["g"], exact_rows=0).count() == 0
+
+
+def test_descent_over_ten_million_equal_values(spark):
+    """The bucket of one value is an answer whatever its size: no task orders its rows."""
+    df = spark.range(10_000_000, numPartitions=8).select(F.when(F.col("id") < 9_999_000, 7.25).otherwise(F.col("id").cast("double")).alias("v"))
+    got = quantiles.quantiles(df, ["v"], [0.0, 0.5, 0.9999, 1.0], exact_rows=0).first()
+    assert got["n"] == 10_000_000
+    share = 9_999_999 * 0.9999 % 1  # between the last of the equal values and the next
+    assert got["quantiles"] == [7.25, 7.25, pytest.approx(7.25 + share * (9_999_000 - 7.25)), 9_999_999.0]
+
+
 def test_quantiles_match_numpy(odd):
     got = quantiles.quantiles(odd, ["CD3: Mean"], [0.05, 0.5, 0.95]).first()
     assert got["n"] == 4
