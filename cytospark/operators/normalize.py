@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,7 @@ from cytospark.functions.names import (
 from cytospark.functions.scalars import log_plus_one, power_transform
 from cytospark.operators import dispersion
 from cytospark.operators.quantiles import EXACT_ROWS, quantiles
-from cytospark.operators.sizing import MAX_BROADCAST_BYTES, held, join_summary, null_safe_join, settle
+from cytospark.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, held, join_summary, null_safe_join
 
 # Output range of the min-max scaling, number of quantile references.
 MINMAX_RANGE = (-2.0, 2.0)
@@ -115,24 +116,50 @@ def quantile_fit(df: DataFrame, columns: Sequence[str], groups: Sequence[str] =
     return quantiles(df, columns, probs, groups, exact_rows, exact=exact).drop("n")
 
 
-def _search_table(refs: str, count: int) -> str:
-    """Distinct references, the place of the first of each, and the steps of a binary search among them."""
-    steps = ", ".join(str(1 << b) for b in reversed(range(count.bit_length())))
-    return f"""named_struct('x', array_distinct({refs}),
-        'first', transform(array_distinct({refs}), r -> cast(array_position({refs}, r) as int) - 1),
-        'steps', filter(array({steps}), s -> s <= size(array_distinct({refs}))))"""
+def _uniform_scores(x: np.ndarray, refs: np.ndarray, probs: np.ndarray) -> np.ndarray:
+    """Rank share of x among the references, ties averaged from both sides."""
+    out = np.zeros(len(x))
+    ok = np.isfinite(x)
+    v = x[ok]
+    up = np.interp(v, refs, probs)
+    down = np.interp(-v, -refs[::-1], -probs[::-1])
+    score = 0.5 * (up - down)
+    score[v == refs[-1]] = 1.0
+    score[v == refs[0]] = 0.0
+    out[ok] = score
+    return out
+
 
+def _search_columns(rows: DataFrame, groups: Sequence[str], count: int, count_columns: int) -> DataFrame:
+    """Of each ``_refs<i>``: its distinct values, the place of the first of each, and the steps of a binary search.
 
-def _uniform_score(table: str, value: str, count: int) -> str:
-    """Rank share of a value among the references, ties averaged from both sides; null gives 0."""
-    x, first, top = f"{table}.x", f"{table}.first", max(count - 1, 1)
-    found = f"aggregate({table}.steps, -1, (at, s) -> if(coalesce(get({x}, at + s) <= {value}, false), at + s, at))"
-    after = f"coalesce(get({first}, at + 1), {count})"
-    score = f"""if(get({x}, at) = {value}, (get({first}, at) + {after} - 1) / 2.0D / {top},
-        ({after} - 1 + ({value} - get({x}, at)) / (get({x}, at + 1) - get({x}, at))) / {top})"""
+    Values are padded with infinity to a power of two less one, so that no step falls outside.
+    """
+    powers = ", ".join(str(1 << b) for b in reversed(range(count.bit_length())))
+    each = range(count_columns)
+    out = rows.selectExpr(*_names(groups), *[f"array_distinct(_refs{i}) as _d{i}" for i in each], *[f"_refs{i}" for i in each])
+    out = out.selectExpr(*_names(groups), *[f"_d{i}" for i in each], *[f"_refs{i}" for i in each],
+                         *[f"filter(array({powers}), s -> s <= size(_d{i})) as _steps{i}" for i in each])
+    return out.selectExpr(
+        *_names(groups), *[f"_steps{i}" for i in each],
+        *[f"concat(_d{i}, array_repeat(double('infinity'), 2 * get(_steps{i}, 0) - 1 - size(_d{i}))) as _x{i}" for i in each],
+        *[f"concat(transform(_d{i}, r -> cast(array_position(_refs{i}, r) as int) - 1), array({count})) as _first{i}" for i in each],
+        *[f"array_max(_d{i}) as _top{i}" for i in each], *[f"array_min(_d{i}) as _least{i}" for i in each])
+
+
+def _names(columns: Sequence[str]) -> list[str]:
+    return ["`" + c.replace("`", "``") + "`" for c in columns]
+
+
+def _uniform_score(i: int, count: int) -> str:
+    """Rank share of ``_value<i>`` among the references, ties averaged from both sides; null gives 0."""
+    x, first, value, top = f"_x{i}", f"_first{i}", f"_value{i}", max(count - 1, 1)
+    found = f"aggregate(_steps{i}, -1, (at, s) -> if({x}[at + s] <= {value}, at + s, at))"
+    score = f"""if({x}[at] = {value}, ({first}[at] + {first}[at + 1] - 1) / 2.0D / {top},
+        ({first}[at + 1] - 1 + ({value} - {x}[at]) / ({x}[at + 1] - {x}[at])) / {top})"""
     # A lambda names the place found, so that the search is done once.
-    return f"""case when {value} is null or {table} is null then 0.0D when {value} <= get({x}, 0) then 0.0D
-        when {value} >= get({x}, size({x}) - 1) then 1.0D else get(transform(array({found}), at -> {score}), 0) end"""
+    return f"""case when {value} is null or {x} is null or {value} <= _least{i} then 0.0D
+        when {value} >= _top{i} then 1.0D else transform(array({found}), at -> {score})[0] end"""
 
 
 def quantile(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = (),
@@ -140,29 +167,66 @@ def quantile(df: DataFrame, columns: Sequence[str] | None = None, groups: Sequen
              exact: bool = True, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Map every column to uniform [0, 1] by its own quantiles; null gives 0.
 
-    The references of a group are one row of arrays. Rows meet theirs in one join, a broadcast if the
-    references are few, else a hash join of the rows shuffled by group; the table is scanned
-    once whatever the number of groups, and the search is an expression.
+    The table is scanned once whatever the number of groups. References of up to ``max_bytes`` travel with a vectorised
+    search on Arrow batches of the measures. Beyond, those of a group are one row of arrays, rows meet theirs in
+    a hash join by group, and the search is an expression; that copies the arrays for every row, so it is slower.
     """
     columns = matching(df, SCALER_PATTERN) if columns is None else list(columns)
     if not columns:
         return df
     groups = list(groups)
-    fitted = quantile_fit(df, columns, groups, n_quantiles, exact_rows, exact)
+    small, fitted = held(quantile_fit(df, columns, groups, n_quantiles, exact_rows, exact), max_bytes=max_bytes)
+    if small is not None:
+        return _interpolated(df, columns, groups, small, n_quantiles)
     place = {c: i for i, c in enumerate(columns)}
     rows = fitted.groupBy(*cols(groups)).agg(*[
         F.max(F.when(F.col("column") == c, F.col("quantiles"))).alias(f"_refs{i}") for c, i in place.items()])
-    rows = rows.select(*cols(groups), *[
-        F.expr(f"if(_refs{i} is null, null, {_search_table(f'_refs{i}', n_quantiles)})").alias(f"_refs{i}") for i in place.values()])
-    small, rest = held(rows, max_bytes=max_bytes)
-    if small is not None:
-        joined = null_safe_join(df, small, groups, "left", small=True) if groups else df.crossJoin(F.broadcast(small))  # one row
-    else:
-        joined = null_safe_join(df, rest.hint("shuffle_hash"), groups, "left")
-    taken = joined.select(*cols(df.columns), *[f"_refs{i}" for i in place.values()],
-                          *[nan_to_null(col(c).cast("double")).alias(f"_value{i}") for c, i in place.items()])
+    rows = _search_columns(rows, groups, n_quantiles, len(columns))
+    joined = null_safe_join(df, rows.hint("shuffle_hash"), groups, "left") if groups else df.crossJoin(F.broadcast(rows))  # one row
+    taken = joined.select("*", *[nan_to_null(col(c).cast("double")).alias(f"_value{i}") for c, i in place.items()])
     return taken.select(*[
-        F.expr(_uniform_score(f"_refs{place[c]}", f"_value{place[c]}", n_quantiles)).alias(c) if c in place else col(c) for c in df.columns
+        F.expr(_uniform_score(place[c], n_quantiles)).alias(c) if c in place else col(c) for c in df.columns
+    ])
+
+
+def _interpolated(df: DataFrame, columns: Sequence[str], groups: Sequence[str], fitted: DataFrame,
+                  n_quantiles: int) -> DataFrame:
+    """Scores by a vectorised search of references of checked size; only keys and measures leave the JVM."""
+    refs = {}
+    for r in fitted.toLocalIterator():
+        refs[(tuple(r[g] for g in groups), r["column"])] = np.maximum.accumulate(np.asarray(r["quantiles"]))
+    probs = np.linspace(0.0, 1.0, n_quantiles)
+    shared = df.sparkSession.sparkContext.broadcast(refs)
+    out_type = T.StructType([T.StructField(f"c{i}", T.DoubleType()) for i in range(len(columns))])
+    n_groups = len(groups)
+
+    @F.pandas_udf(out_type)
+    def scores(batch: pd.DataFrame) -> pd.DataFrame:
+        table = shared.value
+        values = batch.iloc[:, n_groups:].to_numpy(dtype=float)
+        result = np.zeros_like(values)
+        if n_groups:
+            # pandas writes a missing key in several ways; the references have None.
+            keys = batch.iloc[:, :n_groups]
+            parts = keys.groupby(list(keys.columns), sort=False, dropna=False).indices.items()
+        else:
+            parts = [((), np.arange(len(batch)))]
+        for key, rows in parts:
+            key = key if isinstance(key, tuple) else (key,)
+            key = tuple(None if pd.isna(k) else k for k in key)
+            for i, c in enumerate(columns):
+                ref = table.get((key, c))
+                if ref is not None:
+                    result[rows, i] = _uniform_scores(values[rows, i], ref, probs)
+        return pd.DataFrame(result, columns=[f"c{i}" for i in range(len(columns))])
+
+    packed = F.struct(
+        *[col(g).alias(f"g{i}") for i, g in enumerate(groups)],
+        *[nan_to_null(col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)],
+    )
+    position = {c: i for i, c in enumerate(columns)}
+    return df.withColumn("_scores", scores(packed)).select(*[
+        F.col(f"_scores.c{position[c]}").alias(c) if c in position else col(c) for c in df.columns
     ])
 
 
