@@ -2,13 +2,14 @@
 
 Rows are ordered by a hash of their keys. A draw of k rows from a group is
 then "hash <= cutoff", where the cutoff is the k-th smallest hash of the group.
-The cutoffs come from two passes over the keys only:
+The cutoffs are found in a trie of hash prefixes that grows only where a cutoff lies:
 
-1. count rows by (group, hash prefix), which pre-aggregates on the map side;
-2. order the rows of the one prefix in which the k-th hash lies.
+1. rows are counted by (group, short prefix), which pre-aggregates on the map side;
+2. the hashes under the prefixes in which a k-th hash lies are stored, a small share of them all;
+3. a prefix with many rows is counted again by longer prefixes, until it holds few, and those are ordered.
 
-No task ever holds a whole group, and applying a cutoff is a map-only filter.
-Keys should identify a row; rows with equal keys fall on the same side.
+No task ever orders more than ``LEAF_ROWS`` rows of a group, however large that is; the table is read twice, and
+applying a cutoff is a map-only filter. Keys should identify a row; rows with equal keys fall on the same side.
 """
 
 from __future__ import annotations
@@ -21,8 +22,12 @@ from pyspark.sql import functions as F
 
 from cytospark.functions.names import col, cols
 from cytospark.operators.sizing import join_summary, null_safe_join, settle
+from cytospark.session import durable
 
-PREFIX_DIGITS = 3  # 16**3 buckets per group
+PREFIX_DIGITS = 3  # digits that a prefix grows by: 16**3 children
+#: A prefix with more rows is refined before they are ordered.
+LEAF_ROWS = 16_384
+HASH_DIGITS = 32
 
 Quota = Callable[[Column], Column]
 
@@ -40,6 +45,7 @@ def cutoffs(
     quotas: Sequence[Quota],
     seed: int | str = 42,
     prefix_digits: int = PREFIX_DIGITS,
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """Hash cutoffs per group: groups, n, cutoffs (array aligned to quotas).
 
@@ -47,39 +53,34 @@ def cutoffs(
     empty-text cutoff, which no hash reaches.
     """
     g = list(groups) or ["_all"]
-    base = df.select(*(cols(groups) if groups else [F.lit(1).alias("_all")]),
+    rows = df.select(*(cols(groups) if groups else [F.lit(1).alias("_all")]),
                      order_hash(keys, seed).alias("_hash"))
-    base = base.withColumn("_prefix", F.substring("_hash", 1, prefix_digits))
-
-    counts = base.groupBy(*g, "_prefix").agg(F.count(F.lit(1)).alias("_c"))
-    counts = settle(counts, "prefix_counts")
-    in_group = W.partitionBy(*g)
-    running = in_group.orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.select(
-        *cols(g), "_prefix", "_c",
-        F.sum("_c").over(in_group).alias("n"),
-        F.sum("_c").over(running).alias("_upto"),
-    )
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("q"), quota(F.col("n")).cast("long").alias("k"))
-        for i, quota in enumerate(quotas)
-    ])
-    ranked = ranked.withColumn("_w", F.explode(wanted)).select("*", "_w.q", "_w.k").drop("_w")
-
-    targets = ranked.filter(
-        (F.col("k") > F.col("_upto") - F.col("_c")) & (F.col("k") <= F.col("_upto"))
-    ).select(*cols(g), "_prefix", "n", "q", (F.col("k") - F.col("_upto") + F.col("_c")).alias("_r"))
-    targets = settle(targets, "cutoff_targets")
-
-    # Settled already: a local table is broadcast by its known size, a stored one is not.
-    edges = null_safe_join(base, targets.select(*cols(g), "_prefix").distinct(), [*g, "_prefix"])
-    edges = edges.withColumn(
-        "_r", F.row_number().over(W.partitionBy(*g, "_prefix").orderBy("_hash")).cast("long")
-    )
-    hits = null_safe_join(edges, targets.drop("n"), [*g, "_prefix", "_r"]).select(*cols(g), "q", "_hash")
-
-    sizes = counts.groupBy(*g).agg(F.sum("_c").alias("n"))
-    found = hits.groupBy(*g).agg(
+    length = prefix_digits
+    counts = rows.groupBy(*cols(g), F.substring("_hash", 1, length).alias("_prefix")).agg(F.count(F.lit(1)).alias("_c"))
+    counts = settle(counts, "prefix_counts").withColumn("_parent", F.lit(""))
+    sizes = counts.groupBy(*cols(g)).agg(F.sum("_c").alias("n"))
+    each = F.array(*[F.struct(F.lit(i).alias("q"), quota(F.col("n")).cast("long").alias("k")) for i, quota in enumerate(quotas)])
+    wanted = sizes.select(*cols(g), F.lit("").alias("_parent"), F.inline(each))
+    hits = None
+    while True:
+        spots = settle(_spots(counts, wanted, g), "cutoff_spots")
+        # Equal hashes need no order: the whole hash is the cutoff.
+        leaf = F.lit(length >= HASH_DIGITS) | (F.col("_c") <= leaf_rows)
+        rows = null_safe_join(rows.withColumn("_prefix", F.substring("_hash", 1, length)), spots.select(*cols(g), "_prefix").distinct(), [*g, "_prefix"])
+        rows = durable(rows, "prefix_rows")
+        found = _ordered(rows, spots.filter(leaf), g) if length < HASH_DIGITS else spots.select(*cols(g), "q", F.col("_prefix").alias("_hash"))
+        hits = found if hits is None else hits.unionByName(found)
+        deep = spots.filter(~leaf)
+        if deep.isEmpty():
+            break
+        wanted = deep.select(*cols(g), F.col("_prefix").alias("_parent"), "q", F.col("_r").alias("k"))
+        rows = rows.drop("_prefix")
+        parent = F.substring("_hash", 1, length).alias("_parent")
+        length = min(length + prefix_digits, HASH_DIGITS)
+        below = null_safe_join(rows.withColumn("_parent", parent), wanted.select(*cols(g), "_parent").distinct(), [*g, "_parent"])
+        counts = settle(below.groupBy(*cols(g), "_parent", F.substring("_hash", 1, length).alias("_prefix")).agg(
+            F.count(F.lit(1)).alias("_c")), "prefix_counts")
+    found = hits.groupBy(*cols(g)).agg(
         F.map_from_entries(F.collect_list(F.struct("q", "_hash"))).alias("_m")
     )
     # A quota of 0 has no cutoff row.
@@ -93,6 +94,22 @@ def cutoffs(
     return out if groups else out.drop("_all")
 
 
+def _spots(counts: DataFrame, wanted: DataFrame, g: Sequence[str]) -> DataFrame:
+    """The prefix that holds each wanted row, its count, and which of its rows that is."""
+    running = W.partitionBy(*cols(g), "_parent").orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
+    upto = counts.withColumn("_upto", F.sum("_c").over(running))
+    inside = (F.col("k") > F.col("_upto") - F.col("_c")) & (F.col("k") <= F.col("_upto"))
+    return null_safe_join(upto, wanted, [*g, "_parent"]).filter(inside).select(
+        *cols(g), "q", "_prefix", "_c", (F.col("k") - F.col("_upto") + F.col("_c")).alias("_r"))
+
+
+def _ordered(rows: DataFrame, spots: DataFrame, g: Sequence[str]) -> DataFrame:
+    """The hash of each wanted row of a small prefix."""
+    place = F.row_number().over(W.partitionBy(*cols(g), "_prefix").orderBy("_hash")).cast("long")
+    few = null_safe_join(rows, spots.select(*cols(g), "_prefix").distinct(), [*g, "_prefix"])
+    return null_safe_join(few.withColumn("_r", place), spots.drop("_c"), [*g, "_prefix", "_r"]).select(*cols(g), "q", "_hash")
+
+
 def with_cutoffs(df: DataFrame, groups: Sequence[str], keys: Sequence[str],
                  quotas: Sequence[Quota], seed: int | str = 42) -> DataFrame:
     """Rows with their hash, group size and the group's cutoffs."""

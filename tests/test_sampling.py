@@ -151,3 +151,35 @@ def test_a_null_group_is_a_group(spark):
     assert ranking.fold_ids(df, ["g"], ["id"], 4).groupBy("g", "fold").count().filter("count <> 25").count() == 0
     got = ranking.stratified_sample(df, ["g"], ["id"], 0.1).groupBy("g").count().collect()
     assert sorted(r["count"] for r in got) == [10, 10]
+
+
+@pytest.mark.parametrize("digits, leaf", [(3, 16_384), (1, 40), (5, 1)])
+def test_cutoffs_follow_the_trie(spark, digits, leaf):
+    """Groups of any size, a null one, and many rows of one hash: the k-th smallest hash whatever the shape of the trie."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 8, "same").when(F.col("id") < 50, "few").alias("g"),
+        F.when(F.col("id") % 10 == 8, 1).otherwise(F.col("id")).alias("k"))
+    quotas = [lambda n: F.lit(0), lambda n: F.lit(1), lambda n: F.floor(n / 3), lambda n: n]
+    got = {r["g"]: r for r in ranking.cutoffs(rows, ["g"], ["k"], quotas, 42, digits, leaf).collect()}
+    hashes = {}
+    for g, h in rows.select("g", ranking.order_hash(["k"], 42)).collect():
+        hashes.setdefault(g, []).append(h)
+    assert set(got) == set(hashes)
+    for g, mine in hashes.items():
+        mine.sort()
+        n = len(mine)
+        assert got[g]["n"] == n
+        assert got[g]["cutoffs"] == ["", mine[0], mine[n // 3 - 1] if n >= 3 else "", mine[-1]]
+
+
+def test_one_group_of_ten_million_rows(spark):
+    """No ordered prefix is large: the most that a task orders is a leaf."""
+    rows = spark.range(10_000_000, numPartitions=8)
+    quotas = [lambda n: F.floor(n / 10), lambda n: F.lit(5_000_000)]
+    cut = ranking.cutoffs(rows, [], ["id"], quotas).first()
+    assert cut["n"] == 10_000_000
+    hashed = rows.select(ranking.order_hash(["id"]).alias("h"))
+    got = hashed.agg(*[F.count_if(F.col("h") <= c) for c in cut["cutoffs"]],
+                     *[F.count_if(F.substring("h", 1, ranking.PREFIX_DIGITS) == c[:ranking.PREFIX_DIGITS]) for c in cut["cutoffs"]]).first()
+    assert tuple(got)[:2] == (1_000_000, 5_000_000)
+    assert max(tuple(got)[2:]) <= ranking.LEAF_ROWS
