@@ -18,6 +18,8 @@ class RunConfig:
     exclude_markers: str = ""
     slide_by_prefix: bool = False
     folder_is_slide: bool = True
+    # Output folder; a run without one leaves only what it returns.
+    output: str | None = None
     # Names of columns.
     label: str = "Classification"
     batch: str = "Batch"

@@ -380,6 +380,10 @@ def importances_full(df: DataFrame, label: str, features: Sequence[str], keys: S
     return best.select("celltype", "best_alpha").groupBy("celltype").applyInPandas(solve, IMPORTANCE_SCHEMA)
 
 
+#: Tables of a selection, in the order in which they are made.
+SELECTION_PARTS = ["alpha_scores", "best_alphas", "rfe_scores", "rfe_summary", "optimal", "importances", "top_features", "features"]
+
+
 def select_features(
     df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str], limit: int = 3000,
     min_labels: int = 20, counts: Sequence[int] = (2, 3), alphas: Sequence[float] | None = None,
