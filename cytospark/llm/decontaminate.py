@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cytospark.llm.tables import col, quoted
-from cytospark.llm.texts import SLICE_BYTES, fresh, utf8
+from cytospark.llm.texts import SLICE_BYTES, fresh, released, utf8
 
 #: Lower case for A-Z; digits, letters and all bytes of other scripts stay, the rest separates words.
 _WORD_BYTES = bytes(
@@ -240,7 +240,7 @@ def _pass(docs: DataFrame, text: str, into: str, items: list[tuple[str, list[byt
             else:
                 yield pa.RecordBatch.from_arrays([*columns, new], names=[*names, into])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",

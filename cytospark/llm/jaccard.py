@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from cytospark.llm import components
 from cytospark.llm.tables import col, kept, shuffle_partitions, small_batches, small_join
-from cytospark.llm.texts import WordHasher, fresh, gram_hashes, mix, planes, ragged, sliced, unplanes, word_powers
+from cytospark.llm.texts import WordHasher, fresh, gram_hashes, mix, planes, ragged, released, sliced, unplanes, word_powers
 
 #: Shingles in more documents than this count as frequent and come late in the order.
 FREQUENT = 32
@@ -138,8 +138,8 @@ def _measure(docs: DataFrame, size: int, buckets: int) -> tuple[DataFrame, DataF
                 [pa.array(np.full(n, bucket, np.int32)), none, none, none, none, pa.array(codes[starts][often].astype(np.int64)),
                  pa.array(df[often])], schema=out)
 
-    both = docs.mapInArrow(measure, schema).repartition(buckets, "bucket").mapInArrow(
-        total, "bucket int, doc_id bigint, tie bigint, n bigint, key bigint, code bigint, df bigint")
+    both = docs.mapInArrow(released(measure), schema).repartition(buckets, "bucket").mapInArrow(
+        released(total), "bucket int, doc_id bigint, tie bigint, n bigint, key bigint, code bigint, df bigint")
     with small_batches(docs.sparkSession, 2000):
         both = kept(both, "shingle_counts")
     return both.where("df is null").select("doc_id", "tie", "n", "key"), both.where("df is not null").select("bucket", "code", "df")
@@ -182,7 +182,7 @@ def _prefixes(docs: DataFrame, size: int, share: tuple[int, int], frequent: tupl
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), [pa.int32(), *[pa.binary()] * 4])],
                                                  names=["bucket", "codes", "keys", "sizes", "left"])
 
-    return docs.select("text").mapInArrow(run, "bucket int, codes binary, keys binary, sizes binary, left binary")
+    return docs.select("text").mapInArrow(released(run), "bucket int, codes binary, keys binary, sizes binary, left binary")
 
 
 def _balls(share: tuple[int, int]):
@@ -271,7 +271,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
     # A pivot meets many documents: the join splits such keys while it runs.
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("codes").alias("x")), "a")
     both = left.join(sets.select(F.col("key").alias("b"), F.col("codes").alias("y")), "b")
-    measured = both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, distance double, linked boolean")
+    measured = both.select("a", "b", "x", "y").mapInArrow(released(run), "a bigint, b bigint, distance double, linked boolean")
     with small_batches(pairs.sparkSession):
         return kept(measured, "measured_pairs")
 
@@ -291,7 +291,7 @@ def _sets(docs: DataFrame, rows: DataFrame, keys: DataFrame, size: int) -> DataF
 
     # Equal rows give a set twice; distances and links of a pair stay the same.
     with small_batches(docs.sparkSession, 2000):
-        return kept(texts.mapInArrow(run, "key bigint, codes binary"), "sets")
+        return kept(texts.mapInArrow(released(run), "key bigint, codes binary"), "sets")
 
 
 def _row(doc_id: str, tie: str) -> Column:
@@ -362,7 +362,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     packed = _prefixes(source, size, similarity, frequent, buckets, buckets)
     with small_batches(spark, 2000):
         balls = kept(packed.repartition(buckets, "bucket").mapInArrow(
-            _balls(similarity), "ball bigint, a bigint, b bigint, n bigint, left bigint"), "balls")
+            released(_balls(similarity)), "ball bigint, a bigint, b bigint, n bigint, left bigint"), "balls")
     pairs = kept(balls.where("b is not null").select("a", "b").distinct(), "pairs")
     members = balls.where("b is null").select("ball", "a", "n", "left")
     keys = balls.select(F.col("a").alias("key")).unionByName(balls.where("b is not null").select(F.col("b").alias("key"))).distinct()

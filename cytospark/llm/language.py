@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cytospark.llm.tables import col, quoted
-from cytospark.llm.texts import fresh, utf8
+from cytospark.llm.texts import fresh, released, utf8
 
 #: n-grams of one to three letters; a word's edge counts as a letter of its own.
 ORDERS = (1, 2, 3)
@@ -142,7 +142,7 @@ def gram_text(packed: int) -> str:
 def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE_SIZE) -> DataFrame:
     """Profiles (lang, gram, rank) from all documents with a text and a language."""
     rows = docs.where(col(lang).isNotNull() & col(text).isNotNull()).select(col(lang).cast("string"), col(text))
-    counts = rows.mapInArrow(_count_languages, "lang string, gram bigint, n bigint")
+    counts = rows.mapInArrow(released(_count_languages), "lang string, gram bigint, n bigint")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size).select(
@@ -230,7 +230,7 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", into: str
                                              names=["lang_pred", "score"])
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, into])
 
-    return docs.mapInArrow(run, schema), into
+    return docs.mapInArrow(released(run), schema), into
 
 
 def held_out(doc_id: str = "doc_id", fold: int = 3, remainder: int = 1) -> F.Column:

@@ -6,7 +6,9 @@ once for a whole slice, so no Python object is made per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,6 +75,25 @@ def sliced(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20) ->
             low = high
 
 
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def released(work: Work) -> Work:
+    """``work`` that gives freed memory back to the system at the end of a task.
+
+    Worker processes outlive their stage, and what their allocators hold on to counts against the executor in the next one.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 @dataclass
 class Block:
     """Word hashes of some consecutive rows of a batch."""
