@@ -24,13 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytospark.llm.tables import col, kept, small_join
+from cytospark.llm.tables import col, kept, small_batches, small_join
 from cytospark.llm.texts import LOWER, SLICE_BYTES, WHITE, utf8
 
 LENGTH = 4096
 #: Tokens that a length is rounded up to in the program.
 STEP = 8
 END = 2
+#: Words whose ids a worker keeps in each of two generations.
+KNOWN_WORDS = 400_000
 
 _PIECES = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, size int, part int, place bigint"
 
@@ -52,7 +54,7 @@ class WordTokens:
     #: Small letters that normalisation leaves alone.
     _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = KNOWN_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -109,13 +111,13 @@ _FORGET_AFTER = 3.0
 
 
 @lru_cache(2)
-def _loaded(path: str) -> WordTokens:
-    return WordTokens(path)
+def _loaded(path: str, most: int) -> WordTokens:
+    return WordTokens(path, most)
 
 
-def _tokens(path: str) -> WordTokens:
+def _tokens(path: str, most: int) -> WordTokens:
     """One for each worker process, so the tasks of a stage share the known words."""
-    tokens = _loaded(path)
+    tokens = _loaded(path, most)
     with tokens.lock:
         if tokens.timer is not None:
             tokens.timer.cancel()
@@ -172,9 +174,11 @@ def _texts(column: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[list[li
 
 
 def cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, length: int = LENGTH,
-        step: int = STEP) -> DataFrame:
+        step: int = STEP, known_words: int = KNOWN_WORDS) -> DataFrame:
     """Pieces of all documents with the checksum of their ids; map-only.
 
+    A worker keeps the ids of up to twice ``known_words`` words, about 150 bytes each: fewer need less memory and more time.
+
     ``size`` is the length in steps, ``place`` the piece's number among those of its size in
     task ``part``. Store the result before use, so that a repeated task changes neither.
     """
@@ -183,7 +187,7 @@ def cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
     end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokens(path)
+        tokens = _tokens(path, known_words)
         part = TaskContext.get().partitionId()
         seen = [0] * (length // step + 2)
         for batch in batches:
@@ -352,7 +356,7 @@ class Deal:
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, length: int = LENGTH,
-         step: int = STEP) -> DataFrame:
+         step: int = STEP, known_words: int = KNOWN_WORDS) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every id of every document lies in one piece; a document ends with id 2, so null and empty
@@ -360,7 +364,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     histogram (length / step rows) and the patterns made from it reach the driver. Other columns
     are not read. An empty table gives no pieces.
     """
-    pieces = kept(cut(docs, doc_id, text, path, length, step), "pieces")
+    with small_batches(docs.sparkSession, 1000):  # whole texts in both processes: few at a time
+        pieces = kept(cut(docs, doc_id, text, path, length, step, known_words), "pieces")
     counts = kept(pieces.groupBy("size", "part").count(), "piece_counts")
     demand = np.zeros(length // step, np.int64)
     for row in counts.groupBy("size").agg(F.sum("count").alias("n")).collect():
