@@ -1,10 +1,9 @@
 """Multi-class boosted trees on feature histograms.
 
 Features are cut into bins once. A round grows one tree for each class, all of them level by
-level: the gradients of all classes are summed by (node, feature, bin), the best cut of each node is
-chosen from running sums over the bins, and of two siblings only the lighter is summed, the other is what its parent
-has more. ``SparkRows`` does this over a table of any size, one aggregation a level; what reaches the driver is
-the best cut of each node. ``LocalRows`` does the same sums in memory, for tables whose binned rows are known to
+level: the gradients of all classes are summed by (node, feature, bin), and the best cut of each node is
+chosen from running sums over the bins. ``SparkRows`` does this over a table of any size, one job a level; what reaches
+the driver is the best cut of each node. ``LocalRows`` does the same sums in memory, for tables whose binned rows are known to
 fit; a grid of models then takes one task a model.
 """
 
@@ -15,8 +14,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytospark.operators.quantiles import quantiles
@@ -28,7 +27,9 @@ LEAST_HESSIAN = 1.0
 LEAST_GAIN = 1e-6
 BINS = 256
 #: Histogram cells that are held at once.
-_CELLS = 1 << 15
+_CELLS = 1 << 17
+#: Nodes whose histograms a task holds at once.
+_NODES = 64
 #: Rounds whose trees are applied anew by each task before the margins are stored again.
 _STORE_EVERY = 10
 
@@ -166,85 +167,133 @@ class Growing:
         return out
 
 
-def histograms(bins: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, wanted: Sequence[Node],
-               width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Sums of g and h by (node, feature, bin) of the ``wanted`` nodes, some at a time, with the place of the first.
+class Memory:
+    """Arrays that are used again and again: new ones of such sizes cost more than the sums in them."""
 
-    ``node`` is the node of each row in the tree of each class. Few cells at a time stay in the processor's cache.
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def array(self, name: str, shape: tuple[int, ...], kind=float) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.empty(size, kind)
+        return self.held[name][:size].reshape(shape)
+
+
+class Histograms:
+    """Sums of the gradients by (bin, feature, node) of some rows.
+
+    g and h are the parts of one complex number, so that a cell is met once for both; a cell adds up its rows in the
+    order of the table. ``columns`` has the bins of each feature.
     """
-    features = bins.shape[1]
-    slot = np.full((node.shape[1], int(node.max(initial=0)) + 1), -1)
-    for s, (k, i) in enumerate(wanted):
-        if i < slot.shape[1]:
-            slot[k, i] = s
-    at = slot[np.arange(node.shape[1]), node]
-    row, k = np.nonzero(at >= 0)
-    at = at[row, k]
-    order = np.argsort(at, kind="stable")
-    row, at = row[order], at[order]
-    gs, hs = g[row, k[order]], h[row, k[order]]
-    cell = bins + np.arange(features) * width
-    step = max(1, _CELLS // (features * width))
-    for low in range(0, len(wanted), step):
-        count = min(step, len(wanted) - low)
-        a, b = np.searchsorted(at, (low, low + count))
-        key = (cell[row[a:b]] + ((at[a:b] - low) * (features * width))[:, None]).ravel()
-        cells = count * features * width
-        yield low, *(np.bincount(key, np.repeat(v[a:b], features), cells).reshape(count, features, width) for v in (gs, hs))
-
-
-def best_cuts(g_sums: np.ndarray, h_sums: np.ndarray, totals: np.ndarray) -> list[Cut | None]:
-    """The best cut of each node from its histograms; ties go to the first feature and bin."""
-    gl, hl = g_sums.cumsum(axis=2)[..., :-1], h_sums.cumsum(axis=2)[..., :-1]
-    if not gl.shape[2]:
-        return [None] * len(gl)
-    g, h = totals[:, :, None, None]
-    hr = h - hl
-    gain = gl * gl / (hl + LAMBDA)
-    gr = g - gl
-    gr *= gr
-    gr /= hr + LAMBDA
-    gain += gr
-    gain -= g ** 2 / (h + LAMBDA)
-    gain[np.minimum(hl, hr) < LEAST_HESSIAN] = -np.inf
-    flat = gain.reshape(len(gain), -1)
-    place = flat.argmax(axis=1)
-    out: list[Cut | None] = []
-    for s, at in enumerate(place.tolist()):
-        f, b = divmod(at, gain.shape[2])
-        fits = flat[s, at] > LEAST_GAIN
-        out.append(Cut(float(flat[s, at]), f, b, float(gl[s, f, b]), float(hl[s, f, b])) if fits else None)
-    return out
+
+    def __init__(self, columns: np.ndarray, width: int):
+        self.columns, self.width, self.memory = columns.astype(np.intp), width, Memory()
+
+    def blocks(self, node: np.ndarray, slopes: np.ndarray, wanted: Sequence[Node]) -> Iterator[tuple[slice, int, np.ndarray]]:
+        """Sums of some of the ``wanted`` nodes and features at a time: nodes, first feature, sums.
+
+        By class come ``node``, the node of each row in its tree, and ``slopes``.
+        """
+        most = max(1, _CELLS // self.width)
+        for low in range(0, len(wanted), most):
+            some = wanted[low:low + most]
+            count, parts = len(some), []
+            for k in sorted({k for k, _ in some}):
+                slot = np.full(int(node[k].max(initial=0)) + 1, -1, np.intp)
+                for s, (c, i) in enumerate(some):
+                    if c == k and i < len(slot):
+                        slot[i] = s
+                at = slot[node[k]]
+                rows = np.flatnonzero(at >= 0)
+                parts.append((None, at, slopes[k]) if len(rows) == len(at) else (rows, at[rows], slopes[k][rows]))
+            size = max(1, _CELLS // (count * self.width))
+            for first in range(0, len(self.columns), size):
+                columns = self.columns[first:first + size]
+                each = len(columns) * count
+                step = each | 1  # sums of one bin; an odd step keeps bins apart in the processor's cache
+                cells = self.memory.array("sums", (self.width * step,), complex)
+                cells[:] = 0
+                for f, column in enumerate(columns):
+                    base = column * step + count * f
+                    for rows, at, values in parts:
+                        np.add.at(cells, at + (base if rows is None else base[rows]), values)
+                yield slice(low, low + count), first, cells.reshape(-1, step)[:, :each].reshape(-1, len(columns), count)
+
+
+class BestCuts:
+    """The best cut of each node so far, over blocks of features in their order; ties go to the first feature and bin."""
+
+    def __init__(self, totals: np.ndarray, memory: Memory):
+        self.totals, self.memory, nodes = totals, memory, totals.shape[1]
+        self.gain, self.feature, self.cut = np.full(nodes, -np.inf), np.zeros(nodes, int), np.zeros(nodes, int)
+        self.left = np.zeros(nodes, complex)
+
+    def add(self, nodes: slice, first: int, sums: np.ndarray) -> None:
+        """``sums`` by (bin, feature, node); they are made running sums over the bins."""
+        if len(sums) < 2:
+            return
+        for low, high in zip(sums[:-1], sums[1:]):
+            low, high = low.reshape(-1).view(float), high.reshape(-1).view(float)
+            np.add(high, low, out=high)
+        left = sums[:-1]
+        gl, hl, hr, gain = (self.memory.array(name, left.shape) for name in ("gl", "hl", "hr", "gain"))
+        few = self.memory.array("few", left.shape, bool)
+        gl[:], hl[:] = left.real, left.imag
+        g, h = self.totals[:, nodes]
+        np.subtract(h, hl, out=hr)
+        np.less(np.minimum(hl, hr, out=gain), LEAST_HESSIAN, out=few)
+        np.multiply(gl, gl, out=gain)
+        hl += LAMBDA
+        gain /= hl
+        gr = np.subtract(g, gl, out=gl)
+        gr *= gr
+        hr += LAMBDA
+        gr /= hr
+        gain += gr
+        gain -= g ** 2 / (h + LAMBDA)
+        np.putmask(gain, few, -np.inf)
+        top = gain.max(axis=0)
+        feature, top = top.argmax(axis=0), top.max(axis=0)
+        better = np.flatnonzero(top > self.gain[nodes])
+        feature, at = feature[better], better + nodes.start
+        cut = gain[:, feature, better].argmax(axis=0)
+        self.gain[at], self.feature[at], self.cut[at] = top[better], feature + first, cut
+        self.left[at] = left[cut, feature, better]
+
+    def cuts(self) -> list[Cut | None]:
+        parts = self.gain, self.feature, self.cut, self.left.real, self.left.imag
+        return [Cut(*c) if c[0] > LEAST_GAIN else None for c in zip(*(p.tolist() for p in parts))]
 
 
 class LocalRows:
     """Binned rows in memory."""
 
     def __init__(self, bins: np.ndarray, y: np.ndarray, classes: int):
-        self.bins, self.y, self.width = bins, y, int(bins.max(initial=0)) + 1
+        self.y, self.columns = y, np.ascontiguousarray(bins.T)
+        self.sums = Histograms(self.columns, int(bins.max(initial=0)) + 1)
         self.margins = np.zeros((len(y), classes))
 
     def begin(self) -> list[tuple[float, float]]:
-        self.g, self.h = slopes(self.margins, self.y)
-        self.node = np.zeros(self.margins.shape, np.int32)
-        return list(zip(self.g.sum(axis=0).tolist(), self.h.sum(axis=0).tolist()))
+        g, h = slopes(self.margins, self.y)
+        self.slopes = np.ascontiguousarray((g + 1j * h).T)
+        self.node = np.zeros(self.slopes.shape, np.int32)
+        return list(zip(g.sum(axis=0).tolist(), h.sum(axis=0).tolist()))
 
     def best(self, growing: Growing) -> dict[Node, Cut]:
-        out = {}
-        for low, *sums in histograms(self.bins, self.node, self.g, self.h, growing.open, self.width):
-            wanted = growing.open[low:low + len(sums[0])]
-            found = best_cuts(*sums, np.array([growing.sums[n] for n in wanted]).T)
-            out.update({n: c for n, c in zip(wanted, found) if c})
-        return out
+        found = BestCuts(np.array([growing.sums[n] for n in growing.open]).T, self.sums.memory)
+        for block in self.sums.blocks(self.node, self.slopes, growing.open):
+            found.add(*block)
+        return {n: c for n, c in zip(growing.open, found.cuts()) if c}
 
     def advance(self, growing: Growing, best: dict[Node, Cut]) -> None:
         for (k, i), cut in best.items():
-            rows = np.flatnonzero(self.node[:, k] == i)
-            self.node[rows, k] = growing.cuts[k, i][1] + (self.bins[rows, cut.feature] > cut.cut)
+            rows = np.flatnonzero(self.node[k] == i)
+            self.node[k, rows] = growing.cuts[k, i][1] + (self.columns[cut.feature][rows] > cut.cut)
 
     def end(self, trees: Round) -> None:
         for k, tree in enumerate(trees):
-            self.margins[:, k] += tree.weight[self.node[:, k]]
+            self.margins[:, k] += tree.weight[self.node[k]]
 
 
 def boost(rows: LocalRows | SparkRows, model: SoftmaxTrees, depth: int, rate: float, rounds: int) -> SoftmaxTrees:
@@ -298,12 +347,16 @@ def values_of(column: pa.Array, features: int) -> np.ndarray:
 
 
 _BLOCK = "bins binary, y binary, margins binary"
+_SUMS = "k int, node int, part long, cells binary, slopes binary"
+_CUTS = "k int, node int, g double, h double, gain double, feature int, cut int, gl double, hl double"
 
 
 class SparkRows:
-    """Binned rows as stored blocks of a table; sums are one aggregation a level.
+    """Binned rows as stored blocks of a table; a level is one job with one shuffle.
 
-    ``coded`` has columns ``y`` (class code) and ``x`` (array of values).
+    Each task adds up the histograms of its blocks and sends the cells that have rows; a node's cells meet in one
+    group, as many as features x bins from each task, which gives the node's best cut. ``coded`` has columns ``y``
+    (class code) and ``x`` (array of values).
     """
 
     def __init__(self, coded: DataFrame, edges: list[np.ndarray], classes: int):
@@ -321,132 +374,117 @@ class SparkRows:
                         [pa.array([x], pa.binary()) for x in (bins.tobytes(), batch.column(0).to_numpy().astype(np.int32).tobytes(),
                                                               np.zeros((n, classes)).tobytes())], names=["bins", "y", "margins"])
 
-        packed = coded.select(F.col("y").cast("int"), "x").mapInArrow(pack, _BLOCK)
+        rows = coded.select(F.col("y").cast("int"), "x").repartition(self.spark.sparkContext.defaultParallelism)  # however few files they come from
+        packed = rows.mapInArrow(pack, _BLOCK)
         self.blocks, self.blocks_path = stored(packed, "binned_blocks")
-        self.level: DataFrame | None = None  # histograms of the level before
-        self.level_path: str | None = None
+        self.roots: dict[Node, Cut] | None = None
 
-    def _blocks(self, work, schema: str, broadcast) -> DataFrame:
-        """``work(bins, y, margins, model state)`` of every block gives one record batch."""
-        classes, features, stored = self.classes, self.features, self.stored
+    def _blocks(self, work, schema: str, state) -> DataFrame:
+        """``work(blocks, state)`` of each task, which gives record batches; blocks are (bins, y, margins)."""
+        classes, features = self.classes, self.features
+        recent = SoftmaxTrees([], self.model.rounds[self.stored:])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model, state = broadcast.value
-            for batch in batches:
-                for b, y, m in zip(*(batch.column(i) for i in range(3))):
-                    bins = np.frombuffer(b.as_py(), np.uint8).reshape(-1, features)
-                    margins = np.frombuffer(m.as_py()).reshape(-1, classes) + model.margins(bins, classes, stored)
-                    yield work(bins, np.frombuffer(y.as_py(), np.int32), margins, state)
+            def blocks():
+                for batch in batches:
+                    for b, y, m in zip(*(batch.column(i) for i in range(3))):
+                        bins = np.frombuffer(b.as_py(), np.uint8).reshape(-1, features)
+                        margins = np.frombuffer(m.as_py()).reshape(-1, classes) + recent.margins(bins, classes)
+                        yield bins, np.frombuffer(y.as_py(), np.int32), margins
+
+            yield from work(blocks(), state)
 
         return self.blocks.mapInArrow(run, schema)
 
     def begin(self) -> list[tuple[float, float]]:
-        def totals(bins, y, margins, state):
-            g, h = slopes(margins, y)
-            return pa.RecordBatch.from_arrays([pa.array(range(len(g[0])), pa.int32()), pa.array(g.sum(axis=0)), pa.array(h.sum(axis=0))],
-                                              names=["k", "g", "h"])
-
-        shared = self.spark.sparkContext.broadcast((self.model, None))
-        sums = self._blocks(totals, "k int, g double, h double", shared).groupBy("k").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-        found = {r["k"]: (r["g"], r["h"]) for r in sums.collect()}
-        shared.unpersist()
-        self._keep(None)
-        return [found.get(k, (0.0, 0.0)) for k in range(self.classes)]
+        """The sums of the roots; their best cuts come with them."""
+        roots = [(k, 0) for k in range(self.classes)]
+        found = self._level([Tree(np.array([-1]), np.zeros(1, int), np.zeros(1, int), np.zeros(1))] * self.classes, roots, {})
+        self.roots = {n: cut for n, (_, cut) in found.items() if cut}
+        return [found[n][0] if n in found else (0.0, 0.0) for n in roots]
 
     def best(self, growing: Growing) -> dict[Node, Cut]:
-        wanted = growing.open
-        if self.level is not None:
-            wanted = [n for n in growing.open if self._lighter(growing, n)]
-        partial = growing.trees(0.0)
-
-        def sums(bins, y, margins, state):
-            trees, nodes = state
-            g, h = slopes(margins, y)
-            node = np.stack([t.place(bins) for t in trees], axis=1)
-            width = int(bins.max(initial=0)) + 1
-            parts, names = [], np.array(nodes, np.int32).reshape(-1, 2)
-            for low, gs, hs in histograms(bins, node, g, h, nodes, width):
-                s, f, b = np.nonzero(hs)
-                kn = names[low + s]
-                parts.append((kn[:, 0], kn[:, 1], f, b, gs[s, f, b], hs[s, f, b]))
-            kinds = [pa.int32()] * 4 + [pa.float64()] * 2
-            cells = zip(*parts) if parts else [[np.zeros(0)]] * 6
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(cells, kinds)],
-                                              names=["k", "node", "feature", "bin", "g", "h"])
-
-        shared = self.spark.sparkContext.broadcast((self.model, (partial, wanted)))
-        keys = ["k", "node", "feature", "bin"]
-        built = self._blocks(sums, "k int, node int, feature int, bin int, g double, h double", shared).groupBy(*keys).agg(
-            F.sum("g").alias("g"), F.sum("h").alias("h"))
-        if self.level is None:
-            self._keep(built)
-        else:
-            lighter, path = stored(built, "built_sums")
-            self._keep(lighter.unionByName(self._siblings(growing, lighter, set(wanted))))
-            discard(self.spark, path)
-        shared.unpersist()
-        return self._cuts(growing)
-
-    def _keep(self, level: DataFrame | None) -> None:
-        """Store the histograms of a level; those of the level before go."""
-        before = self.level_path
-        self.level, self.level_path = stored(level, "level_sums") if level is not None else (None, None)
-        if before:
-            discard(self.spark, before)
-
-    def _lighter(self, growing: Growing, node: Node) -> bool:
-        k, i = node
-        sibling = (k, i + 1 if i % 2 else i - 1)
-        if sibling not in set(growing.open):
-            return True
-        return (growing.sums[node][1], i) < (growing.sums[sibling][1], sibling[1])
-
-    def _siblings(self, growing: Growing, built: DataFrame, done: set[Node]) -> DataFrame:
-        """Sums of the heavier children: their parent's less their sibling's."""
-        parent = {(k, left + side): i for (k, i), (_, left) in growing.cuts.items() for side in (0, 1)}
-        rows = [(k, parent[k, i], i + 1 if i % 2 else i - 1, i) for k, i in growing.open if (k, i) not in done]
-        pairs = F.broadcast(self.spark.createDataFrame(rows, "k int, parent int, other int, heavier int"))  # the nodes of a level
-        above = self.level.withColumnRenamed("node", "parent").join(pairs, ["k", "parent"])
-        less = built.select("k", F.col("node").alias("other"), "feature", "bin", F.col("g").alias("_g"), F.col("h").alias("_h"))
-        both = above.join(less, ["k", "other", "feature", "bin"], "left")
-        return both.select("k", F.col("heavier").alias("node"), "feature", "bin", (F.col("g") - F.coalesce("_g", F.lit(0.0))).alias("g"),
-                           (F.col("h") - F.coalesce("_h", F.lit(0.0))).alias("h"))
-
-    def _cuts(self, growing: Growing) -> dict[Node, Cut]:
-        """Best cut of each open node; running sums over at most 256 bins."""
-        running = W.partitionBy("k", "node", "feature").orderBy("bin")
-        total = self.spark.createDataFrame([(*n, *map(float, growing.sums[n])) for n in growing.open], "k int, node int, tg double, th double")
-        at = self.level.select("k", "node", "feature", "bin", F.sum("g").over(running).alias("gl"), F.sum("h").over(running).alias("hl"))
-        at = at.join(F.broadcast(total), ["k", "node"])
-        score = lambda g, h: g * g / (h + LAMBDA)
-        rest = F.col("tg") - F.col("gl"), F.col("th") - F.col("hl")
-        gain = score(F.col("gl"), F.col("hl")) + score(*rest) - score(F.col("tg"), F.col("th"))
-        fits = at.where((F.col("hl") >= LEAST_HESSIAN) & (rest[1] >= LEAST_HESSIAN)).withColumn("gain", gain).where(F.col("gain") > LEAST_GAIN)
-        best = fits.groupBy("k", "node").agg(F.max(F.struct("gain", -F.col("feature"), -F.col("bin"), "gl", "hl")).alias("b"))
-        return {(r["k"], r["node"]): Cut(r["b"][0], -r["b"][1], -r["b"][2], r["b"][3], r["b"][4]) for r in best.collect()}
+        if self.roots is not None:
+            roots, self.roots = self.roots, None
+            return {n: c for n, c in roots.items() if n in growing.open}
+        found = self._level(growing.trees(0.0), growing.open, {n: growing.sums[n] for n in growing.open})
+        return {n: cut for n, (_, cut) in found.items() if cut}
+
+    def _level(self, trees: Round, wanted: list[Node], totals: dict[Node, tuple[float, float]]) -> dict[Node, tuple[tuple[float, float], Cut | None]]:
+        """Sums and best cut of each wanted node that has rows. A root's totals are the sums of its bins."""
+        features = self.features
+
+        def sums(blocks, state):
+            for i, held in enumerate(_task_sums(blocks, *state, features)):
+                part = TaskContext.get().partitionId() << 32 | i
+                rows = [(*n, part, at.tobytes(), cells[at].tobytes()) for n, cells in held if len(at := np.flatnonzero(cells.imag).astype(np.int32))]
+                if rows:
+                    kinds = pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["k", "node", "part", "cells", "slopes"])
+
+        def cut(key: tuple, table: pa.Table) -> pa.Table:
+            cells = np.zeros(BINS * features, complex)
+            for at, values in zip(*(table.sort_by("part")[c] for c in ("cells", "slopes"))):
+                cells[np.frombuffer(at.as_py(), np.int32)] += np.frombuffer(values.as_py(), complex)
+            cells, node = cells.reshape(BINS, features, 1), tuple(k.as_py() for k in key)
+            whole = cells[:, 0, 0].sum()
+            g, h = totals.get(node, (whole.real, whole.imag))
+            found = BestCuts(np.array([[g], [h]]), Memory())
+            found.add(slice(0, 1), 0, cells)
+            best = found.cuts()[0]
+            row = (*node, g, h, *((best.gain, best.feature, best.cut, best.g, best.h) if best else [None] * 5))
+            kinds = [pa.int32()] * 2 + [pa.float64()] * 3 + [pa.int32()] * 2 + [pa.float64()] * 2
+            return pa.table([pa.array([v], t) for v, t in zip(row, kinds)], names=[c.split()[0] for c in _CUTS.split(", ")])
+
+        # As many tasks as there is work for; the number of nodes of a level is known here.
+        tasks = min(len(wanted), self.spark.sparkContext.defaultParallelism)
+        cells = self._blocks(sums, _SUMS, (trees, wanted)).repartition(tasks, "k", "node")
+        rows = cells.groupBy("k", "node").applyInArrow(cut, _CUTS).collect()  # a row a node
+        return {(r["k"], r["node"]): ((r["g"], r["h"]), Cut(r["gain"], r["feature"], r["cut"], r["gl"], r["hl"]) if r["gain"] is not None else None)
+                for r in rows}
 
     def advance(self, growing: Growing, best: dict[Node, Cut]) -> None:
         """Rows find their nodes from the trees, which the next level's tasks get."""
 
     def end(self, trees: Round) -> None:
         self.model.rounds.append(trees)
+        self.roots = None
         if len(self.model.rounds) - self.stored >= _STORE_EVERY:
-            def store(bins, y, margins, state):
-                return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (bins, y, margins)], names=["bins", "y", "margins"])
+            def store(blocks, state):
+                for block in blocks:
+                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in block], names=["bins", "y", "margins"])
 
-            shared, before = self.spark.sparkContext.broadcast((self.model, None)), self.blocks_path
-            self.blocks, self.blocks_path = stored(self._blocks(store, _BLOCK, shared), "binned_blocks")
+            before = self.blocks_path
+            self.blocks, self.blocks_path = stored(self._blocks(store, _BLOCK, None), "binned_blocks")
             self.stored = len(self.model.rounds)
-            shared.unpersist()
             discard(self.spark, before)
 
     def close(self) -> SoftmaxTrees:
-        """The model; the stored blocks and sums go."""
-        self._keep(None)
+        """The model; the stored blocks go."""
         discard(self.spark, self.blocks_path)
         return self.model
 
 
+def _task_sums(blocks, trees: Round, wanted: list[Node], features: int) -> Iterator[Iterator[tuple[Node, np.ndarray]]]:
+    """Histograms (node, sums by bin and feature) of a task's blocks: of few nodes added up, of many a block and some nodes at a time."""
+    together: np.ndarray | None = None
+    few = len(wanted) <= _NODES
+    for bins, y, margins in blocks:
+        g, h = slopes(margins, y)
+        node = np.stack([t.place(bins) for t in trees])
+        sums, derivatives = Histograms(bins.T, BINS), np.ascontiguousarray((g + 1j * h).T)
+        for low in range(0, len(wanted), _NODES):
+            some = wanted[low:low + _NODES]
+            if together is None or not few:
+                together = np.zeros((len(some), BINS, features), complex)
+            for nodes, first, found in sums.blocks(node, derivatives, some):
+                together[nodes, :, first:first + found.shape[1]] += found.transpose(2, 0, 1)
+            if not few:
+                yield zip(some, together.reshape(len(some), -1))
+    if few and together is not None:
+        yield zip(wanted, together.reshape(len(wanted), -1))
+
+
 def save(model: SoftmaxTrees, spark: SparkSession, path: str) -> None:
     spark.createDataFrame(model.table()).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
     edges = [(i, [float(x) for x in e]) for i, e in enumerate(model.edges)]

@@ -106,3 +106,51 @@ def test_unseen_values_follow_the_edges():
     model = softmax.train_local(x, (x[:, 0] >= 500).astype(int), 2, 2, 1.0, 5)
     assert len(model.edges[0]) == 255
     assert model.predict(np.array([[-1e9], [1e9], [10.5], [900.5]])).tolist() == [0, 1, 0, 1]
+
+
+def test_cells_add_up_in_the_order_of_the_table():
+    """Each cell once for both gradients, over blocks of features and nodes of any size."""
+    rng = np.random.default_rng(6)
+    bins, node = rng.integers(0, 9, (70, 5)), rng.integers(0, 3, (2, 70)).astype(np.int32)
+    slopes = rng.normal(size=(2, 70)) + 1j * rng.uniform(0.1, 1, (2, 70))
+    wanted = [(1, 2), (0, 0), (1, 0)]
+    for cells in (1, 40, 1 << 17):
+        softmax._CELLS, before = cells, softmax._CELLS
+        try:
+            got = np.zeros((3, 5, 9), complex)
+            for nodes, first, sums in softmax.Histograms(bins.T.astype(np.uint8), 9).blocks(node, slopes, wanted):
+                got[nodes, first:first + sums.shape[1]] = sums.transpose(2, 1, 0)
+        finally:
+            softmax._CELLS = before
+        for s, (k, i) in enumerate(wanted):
+            for f in range(5):
+                cell = [0j] * 9
+                for r in np.flatnonzero(node[k] == i):
+                    cell[bins[r, f]] += slopes[k, r]
+                assert got[s, f].tolist() == cell
+
+
+def test_a_level_is_one_job(spark, coarse):
+    """Two levels a round: two jobs, besides those that make the blocks."""
+    x, y = coarse
+    coded = spark.createDataFrame(pd.DataFrame({"y": y, "x": list(x)}))
+    edges = softmax.local_edges(x)
+    rows, model = softmax.SparkRows(coded, edges, 3), softmax.SoftmaxTrees(edges)
+    spark.sparkContext.setJobGroup("levels", "levels of two rounds")
+    try:
+        softmax.boost(rows, model, 2, 0.5, 2)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("levels")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert 0 < len(jobs) <= 2 * 2 * 2  # adaptive execution runs the two stages of a level as a job each
+    near = softmax.train_local(x, y, 3, 2, 0.5, 2)
+    assert rows.close().margins(near.bins(x), 3) == pytest.approx(near.margins(near.bins(x), 3), abs=1e-8)
+
+
+def test_many_nodes_go_by_parts(spark, coarse, monkeypatch):
+    monkeypatch.setattr(softmax, "_NODES", 2)
+    x, y = coarse
+    coded = spark.createDataFrame(pd.DataFrame({"y": y, "x": list(x)})).repartition(3)
+    near = softmax.train_local(x, y, 3, 3, 0.5, 2)
+    far = softmax.train_spark(coded, near.edges, 3, 3, 0.5, 2)
+    assert far.margins(near.bins(x), 3) == pytest.approx(near.margins(near.bins(x), 3), abs=1e-8)
