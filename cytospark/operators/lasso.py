@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from cytospark.functions.scalars import alpha_grid
 from cytospark.operators.lasso_math import Moments, alpha_path, eliminate, lasso, rfe_score
 from cytospark.operators.ranking import bounded_folds, bounded_repeats, bounded_train_test, class_caps, fold_ids
 from cytospark.operators.sizing import join_summary, spread
+from cytospark.session import durable
 
 # Folds of the penalty search, folds and repeats of the
 # elimination, selector penalty, variance threshold, share of a deviation that
@@ -246,28 +248,46 @@ def binary_counts(sets: DataFrame, batch: str = "Batch") -> DataFrame:
 
 # -- all rows -----------------------------------------------------------------
 
-PART_SCHEMA = "fold int, label string, row int, sums array<double>"
-
-
-def _partition_moments(width: int, shift: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Per task: for every fold the rows of xx' with the sum of x in front, and
-    per (fold, class) the count and sum of x."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gram: dict[int, np.ndarray] = {}
-        by_class: dict[tuple[int, str], np.ndarray] = {}
-        for pdf in batches:
-            x = np.stack(pdf["features"].to_numpy()) - shift
-            x = np.hstack([np.ones((len(x), 1)), x])
-            for fold, rows in pdf.groupby("fold").indices.items():
-                part = x[rows].T @ x[rows]
-                gram[fold] = gram[fold] + part if fold in gram else part
-            for (fold, label), rows in pdf.groupby(["fold", "label"]).indices.items():
-                part = x[rows].sum(axis=0)
-                by_class[fold, label] = by_class[fold, label] + part if (fold, label) in by_class else part
-        for fold, m in gram.items():
-            yield pd.DataFrame({"fold": fold, "label": None, "row": np.arange(width + 1), "sums": list(m)})
-        for (fold, label), s in by_class.items():
-            yield pd.DataFrame({"fold": [fold], "label": [label], "row": [-1], "sums": [s]})
+PART_SCHEMA = "repeat int, fold int, label string, row int, sums array<double>"
+
+
+def _partition_moments(width: int, shift: np.ndarray, folds: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per task: for every repeat and fold the rows of xx' with the sum of x in front, and
+    per (repeat, fold, class) the count and sum of x. Columns: features, label, a fold for each repeat."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram: dict[tuple[int, int], np.ndarray] = {}
+        by_class: dict[tuple[int, int, str], np.ndarray] = {}
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x = np.empty((n, width + 1))
+            x[:, 0] = 1
+            x[:, 1:] = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(n, width) - shift
+            coded = batch.column(1).dictionary_encode()
+            label, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+            for r in range(len(folds)):
+                fold = batch.column(2 + r).to_numpy().astype(np.int64)
+                # Rows by fold and class: each is one run then.
+                key = fold * len(names) + label
+                order = np.argsort(key, kind="stable")
+                key, sorted_x = key[order], x[order]
+                starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+                for at, part in zip(key[starts].tolist(), np.add.reduceat(sorted_x, starts, axis=0)):
+                    of = r, at // len(names), names[at % len(names)]
+                    by_class[of] = by_class[of] + part if of in by_class else part
+                fold = fold[order]
+                starts = np.flatnonzero(np.concatenate(([True], fold[1:] != fold[:-1])))
+                for low, high in zip(starts, np.append(starts[1:], n)):
+                    part, of = sorted_x[low:high].T @ sorted_x[low:high], (r, int(fold[low]))
+                    gram[of] = gram[of] + part if of in gram else part
+        rows = [(r, fold, None, i, m[i]) for (r, fold), m in gram.items() for i in range(width + 1)]
+        rows += [(r, fold, name, -1, s) for (r, fold, name), s in by_class.items()]
+        step = max(1, 1_000_000 // (width + 1))
+        for low in range(0, len(rows), step):
+            kinds = pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[low:low + step]), kinds)],
+                                             names=["repeat", "fold", "label", "row", "sums"])
     return run
 
 
@@ -294,34 +314,43 @@ class ClassMoments(Mapping):
 
 def all_moments(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str],
                 folds: int = ALPHA_FOLDS, seed: int | str = 7) -> ClassMoments:
-    """Moments of every class and fold over all rows.
+    """Moments of every class and fold over all rows."""
+    return repeated_moments(df, label, features, keys, folds, [seed])[0]
 
-    A task sends one matrix per fold, less than the rows it has read as soon as those
+
+def repeated_moments(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str],
+                     folds: int, seeds: Sequence[int | str]) -> list[ClassMoments]:
+    """``all_moments`` for each seed; the folds of all are dealt on rows that are stored once, and one pass adds them up.
+
+    A task sends one matrix per repeat and fold, less than the rows it has read as soon as those
     outnumber the features, and each matrix row is added up in its own group. The
-    driver gets folds x features^2 numbers, and folds x features for each class.
+    driver gets folds x features^2 numbers, and folds x features for each class, of each repeat.
     """
     width = len(features)
     named = df.filter(col(label).isNotNull())
-    folded = fold_ids(named, [label], keys, folds, seed)
-    packed = feature_array(folded.withColumn("label", col(label)), features, ["fold", "label"])
+    packed = durable(feature_array(named.withColumn("label", col(label)), features, ["label", *[k for k in keys if k != "label"]]), "labelled_rows")
+    names = [f"_fold{r}" for r in range(len(seeds))]
+    folded = packed
+    for name, seed in zip(names, seeds):
+        folded = fold_ids(folded, ["label"], keys, folds, seed, name)
     means = per_column(named, features, [], F.avg("value").alias("m")).collect()
     shift = np.array([{r["column"]: r["m"] for r in means}.get(c, 0.0) for c in features])
-    parts = packed.mapInPandas(_partition_moments(width, shift), PART_SCHEMA)
+    parts = folded.select("features", "label", *names).mapInArrow(_partition_moments(width, shift, names), PART_SCHEMA)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
-        return pd.DataFrame({"fold": [first["fold"]], "label": [first["label"]], "row": [first["row"]],
+        return pd.DataFrame({"repeat": [first["repeat"]], "fold": [first["fold"]], "label": [first["label"]], "row": [first["row"]],
                              "sums": [np.sum(np.stack(pdf["sums"].to_numpy()), axis=0)]})
 
-    sums = parts.groupBy("fold", "label", "row").applyInPandas(add, PART_SCHEMA)
-    gram: dict[int, np.ndarray] = {}
-    classes: dict[str, dict[int, np.ndarray]] = {}
+    sums = parts.groupBy("repeat", "fold", "label", "row").applyInPandas(add, PART_SCHEMA)
+    gram: list[dict[int, np.ndarray]] = [{} for _ in seeds]
+    classes: list[dict[str, dict[int, np.ndarray]]] = [{} for _ in seeds]
     for r in sums.toLocalIterator():
         if r["row"] >= 0:
-            gram.setdefault(r["fold"], np.zeros((width + 1, width + 1)))[r["row"]] = r["sums"]
+            gram[r["repeat"]].setdefault(r["fold"], np.zeros((width + 1, width + 1)))[r["row"]] = r["sums"]
         else:
-            classes.setdefault(r["label"], {})[r["fold"]] = np.asarray(r["sums"])
-    return ClassMoments(gram, classes)
+            classes[r["repeat"]].setdefault(r["label"], {})[r["fold"]] = np.asarray(r["sums"])
+    return [ClassMoments(g, c) for g, c in zip(gram, classes)]
 
 
 def _by_class(df: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -348,11 +377,11 @@ def rfe_scores_full(df: DataFrame, label: str, features: Sequence[str], keys: Se
                     best: DataFrame, counts: Sequence[int] = (2, 3), splits: int = RFE_SPLITS,
                     repeats: int = RFE_REPEATS, selector_alpha: float = SELECTOR_ALPHA,
                     max_iter: int = 1000) -> DataFrame:
-    """Recursive elimination on all rows; one pass over them per repeat.
+    """Recursive elimination on all rows, which are read and stored once for all repeats.
 
     Folds are stratified by class, which stratifies every one-vs-rest target.
     """
-    per_repeat = [all_moments(df, label, features, keys, splits, f"1.{r}") for r in range(repeats)]
+    per_repeat = repeated_moments(df, label, features, keys, splits, [f"1.{r}" for r in range(repeats)])
     shared = df.sparkSession.sparkContext.broadcast(per_repeat)
     counts = sorted(counts)
 
@@ -390,8 +419,6 @@ def select_features(
     rfe_pattern_drop: str = "Cytoplasm",
 ) -> dict[str, DataFrame]:
     """The whole selection: scores, best penalties, elimination, chosen features."""
-    from cytospark.session import durable
-
     sets = durable(one_vs_rest(df, label, features, keys, limit, min_labels), "one_vs_rest")
     scores = durable(search_alphas(sets, keys, alphas), "alpha_scores")
     best = best_alphas(scores)

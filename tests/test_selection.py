@@ -108,6 +108,20 @@ def test_one_pass_moments_equal_moments_of_the_rows(cells):
             assert np.allclose(m.sxx, want.sxx) and np.allclose(m.sxy, want.sxy) and np.allclose(m.sx, want.sx, atol=1e-6)
 
 
+def test_repeats_in_one_pass_equal_each_alone(cells):
+    seeds = ["1.0", "1.1", 7]
+    together = lasso.repeated_moments(cells, "cls", NAMES, ["id"], 2, seeds)
+    for seed, got in zip(seeds, together):
+        alone = lasso.all_moments(cells, "cls", NAMES, ["id"], 2, seed)
+        assert set(got) == set(alone) == {"x", "y", "z"}
+        for c in got:
+            for f, m in got[c].items():
+                want = alone[c][f]
+                assert (m.n, m.sy) == (want.n, want.sy)
+                assert np.allclose(m.sxx, want.sxx) and np.allclose(m.sxy, want.sxy) and np.allclose(m.sx, want.sx, atol=1e-6)
+    assert not np.allclose(together[0]["x"][0].sxx, together[1]["x"][0].sxx)  # other folds
+
+
 def test_full_search_and_importances(cells):
     scores = lasso.search_alphas_full(cells, "cls", NAMES, ["id"], [0.01, 0.1, 5.0])
     best = {r["celltype"]: r["best_alpha"] for r in lasso.best_alphas(scores).collect()}
