@@ -10,8 +10,8 @@ A small ball is joined exactly. In a dense one, pivots are drawn and the distanc
 of every document to them is worked out; each document falls into the
 Voronoi region of its nearest pivot, links to pivots join up components, and
 a document is compared further only with documents of other components whose region the
-triangle inequality leaves open. Pivots grow sixteenfold with each turn of this recursion
-until no pair in doubt is left, so the result is exact.
+triangle inequality leaves open. The first turn has one pivot a ball, the next sixteen; from there
+pivots grow sixteenfold with each turn of this recursion until no pair in doubt is left, so the result is exact.
 """
 
 from __future__ import annotations
@@ -306,8 +306,11 @@ def _dense(members: DataFrame, found: DataFrame, sets: DataFrame, share: tuple[i
     spot = (F.shiftrightunsigned(F.xxhash64("a"), 11).cast("double") / float(1 << 53))  # of a key, in every ball the same
     members = members.withColumn("spot", spot)
     sizes = kept(members.groupBy("ball").agg(F.count(F.lit(1)).alias("size")), "balls")
-    pivots, most = 16, sizes.agg(F.max("size")).first()[0] or 0
-    done = 0
+    # First one pivot a ball, with the fewest shingles that come before the ball's: what near copies were made from has
+    # few rare ones of its own. Most copies link to it, so that the many pivots later meet few documents of other components.
+    first = members.groupBy("ball").agg(F.max(F.struct("left", "spot")).alias("first"))
+    members = members.join(kept(first, "first_pivots"), "ball").withColumn("first", F.col("first") == F.struct("left", "spot"))
+    done, pivots, most = 0, 0, sizes.agg(F.max("size")).first()[0] or 0
     labels = kept(components.label(found.where("linked")), "labels")
     while done < most:
         state = members.join(labels.select(F.col("key").alias("a"), "label"), "a", "left").withColumn("label", F.coalesce("label", "a"))
@@ -316,7 +319,10 @@ def _dense(members: DataFrame, found: DataFrame, sets: DataFrame, share: tuple[i
         if state.isEmpty():
             break
         members = state.drop("label", "size")  # a closed ball stays closed
-        chosen = state.where((F.col("spot") < F.lit(float(pivots)) / F.col("size")) & (F.col("spot") >= F.lit(float(done)) / F.col("size")))
+        if pivots:
+            chosen = state.where((F.col("spot") < F.lit(float(pivots)) / F.col("size")) & (F.col("spot") >= F.lit(float(done)) / F.col("size")))
+        else:
+            chosen = state.where("first")
         chosen = chosen.select("ball", F.col("a").alias("p"), F.col("n").alias("pn"), F.col("left").alias("pleft"), F.col("label").alias("plabel"))
         pair = state.join(chosen, "ball").where(
             (F.col("label") != F.col("plabel")) & (F.least("n", "pn") * high >= F.greatest("n", "pn") * low)
@@ -334,7 +340,7 @@ def _dense(members: DataFrame, found: DataFrame, sets: DataFrame, share: tuple[i
         more = _verify(pair, sets, share)
         labels = kept(components.relabel(labels, more.where("linked")), "labels")
         found = found.unionByName(more)
-        done, pivots = pivots, pivots * 16
+        done, pivots = pivots, pivots * 16 or 16
     return labels
 
 

@@ -180,6 +180,30 @@ def test_jaccard_dense_groups(spark):
     assert got == {d: c for (d, _), c in zip(rows, brute.components(rows))}
 
 
+def test_jaccard_near_copies_meet_what_they_were_made_from(spark, monkeypatch):
+    """Copies are close to one text and far from each other: pairs that are measured grow like the copies, not their square."""
+    r = random.Random(5)
+    base = prose(150, 9).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 400):
+        w = list(base)
+        for k in r.sample(range(10, 140), 3):
+            w[k] = f"w{r.randint(0, 10 ** 9)}"
+        rows.append((i, " ".join(w)))
+    measured, verify = [], jaccard._verify
+
+    def counted(pairs, sets, share):
+        measured.append(pairs.count())
+        return verify(pairs, sets, share)
+
+    monkeypatch.setattr(jaccard, "_verify", counted)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard.report(frame).collect()}
+    assert got == {d: c for (d, _), c in zip(rows, brute.components(rows))}
+    assert {c for _, c in got.values()} == {0}
+    assert sum(measured[1:]) < 2 * len(rows)  # the first are pairs of small balls
+
+
 def test_substrings(docs, nothing, rows, spark):
     got = substrings.remove_repeats(docs, digest=True)
     assert ids(got) == ids(docs)
