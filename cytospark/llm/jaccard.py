@@ -31,6 +31,8 @@ from cytospark.llm.texts import WordHasher, fresh, gram_hashes, mix, planes, rag
 FREQUENT = 32
 #: Frequent shingles that are told to all tasks (16 MB); the order of the rest is by hash.
 MOST_FREQUENT = 1_000_000
+#: Bytes of text hashed at once; each takes some 50 bytes of a worker while it lasts.
+HASHED_BYTES = 1 << 18
 #: Pairs for each member up to which a ball is joined at once.
 PAIRS_EACH = 24
 
@@ -90,7 +92,7 @@ def _measure(docs: DataFrame, size: int, buckets: int) -> tuple[DataFrame, DataF
     schema = "bucket int, doc_id bigint, tie bigint, n bigint, key bigint, codes binary, counts binary"
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, powers = WordHasher(lower=True), word_powers()
+        hasher, powers = WordHasher(lower=True, slice_bytes=HASHED_BYTES), word_powers()
         for batch in sliced(batches, 2):
             sets = Shingles(batch.column(2), size, hasher, powers)
             n = batch.num_rows
@@ -152,7 +154,7 @@ def _prefixes(docs: DataFrame, size: int, share: tuple[int, int], frequent: tupl
     low, high = share  # similarity low / high
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, powers = WordHasher(lower=True), word_powers()
+        hasher, powers = WordHasher(lower=True, slice_bytes=HASHED_BYTES), word_powers()
         known, level = shared.value
         for batch in sliced(batches, 0):
             sets = Shingles(batch.column(0), size, hasher, powers)
@@ -283,7 +285,7 @@ def _sets(docs: DataFrame, rows: DataFrame, keys: DataFrame, size: int) -> DataF
     texts = small_join(docs.withColumn("row", _row("doc_id", "tie")), one, "row", width=48).where("wanted").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, powers = WordHasher(lower=True), word_powers()
+        hasher, powers = WordHasher(lower=True, slice_bytes=HASHED_BYTES), word_powers()
         for batch in sliced(batches, 0):
             sets = Shingles(batch.column(0), size, hasher, powers)
             codes = [sets.values[a:b].tobytes() for a, b in zip(sets.offsets[:-1].tolist(), sets.offsets[1:].tolist())]

@@ -10,7 +10,6 @@ longest first, and pieces are dealt to patterns by their rank in their length.
 
 from __future__ import annotations
 
-import gc
 import re
 import struct
 import threading
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytospark.llm.tables import col, kept, small_batches, small_join
-from cytospark.llm.texts import LOWER, SLICE_BYTES, WHITE, utf8
+from cytospark.llm.texts import LOWER, SLICE_BYTES, WHITE, give_back, utf8
 
 LENGTH = 4096
 #: Tokens that a length is rounded up to in the program.
@@ -55,16 +54,24 @@ class WordTokens:
     _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
     def __init__(self, path: str, most: int = KNOWN_WORDS):
+        self.path, self.most = path, most
+        self.timer: threading.Timer | None = None
+        self.lock = threading.Lock()
+        self.letters = _byte_letters()
+        self.load()
+
+    def load(self) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer = Tokenizer.from_file(self.path)
         self.model = self.tokenizer.model
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.timer: threading.Timer | None = None
-        self.lock = threading.Lock()
-        self.letters = _byte_letters()
-        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
+
+    def forget(self) -> None:
+        self.tokenizer = self.model = None
+        self.packed, self.young, self.old = [], {}, {}
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         found: list = list(map(self.young.get, words))
@@ -122,16 +129,18 @@ def _tokens(path: str, most: int) -> WordTokens:
         if tokens.timer is not None:
             tokens.timer.cancel()
         tokens.timer = None
+        if tokens.tokenizer is None:
+            tokens.load()
     return tokens
 
 
 def _rest(tokens: WordTokens) -> None:
-    """At the end of a task: unless another one comes soon, the words go, as other stages need the memory."""
+    """At the end of a task: unless another one comes soon, words and tokenizer go, as other stages need the memory."""
     def forget() -> None:
         with tokens.lock:
             if tokens.timer is timer:  # no task has begun since
-                tokens.young, tokens.old = {}, {}
-        gc.collect()
+                tokens.forget()
+        give_back()
 
     timer = threading.Timer(_FORGET_AFTER, forget)
     timer.daemon = True

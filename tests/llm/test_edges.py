@@ -1,14 +1,17 @@
 """Null, empty, very long, repeated and badly named input for every operator."""
 
 import random
+import tracemalloc
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
 from cytospark.llm import (
     decontaminate, grams, jaccard, language, line_templates, neighbours, packing, pseudonyms, quality, secret_scan, substrings,
 )
+from cytospark.llm.texts import SLICE_BYTES, WordHasher, word_powers
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 CLASHING = ["word", "line", "spans", "key", "kinds", "gone", "place", "dropped", "language", "decontamination", "n_replaced",
@@ -180,6 +183,32 @@ def test_jaccard_dense_groups(spark):
     assert got == {d: c for (d, _), c in zip(rows, brute.components(rows))}
 
 
+def test_shingles_need_little_memory_at_once():
+    """Hashing holds some 50 bytes for each byte of text; the same sets come from slices of any size."""
+    texts = pa.array([prose(30, i) for i in range(5_000)] + [None, "", prose(9_000, 3)])
+    powers, sets, peaks = word_powers(), [], []
+    for size in (SLICE_BYTES, jaccard.HASHED_BYTES):
+        hasher = WordHasher(lower=True, slice_bytes=size)
+        tracemalloc.start()
+        sets.append(jaccard.Shingles(texts, 5, hasher, powers))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert (sets[0].values == sets[1].values).all() and (sets[0].counts == sets[1].counts).all()
+    assert peaks[1] < 0.6 * peaks[0]
+
+
+def test_tokenizer_goes_after_a_stage_and_comes_back(monkeypatch):
+    monkeypatch.setattr(packing, "_FORGET_AFTER", 0.0)
+    path = packing.tokenizer_path()
+    tokens = packing._tokens(path, 77)
+    ids = tokens.encode([b"hello", b"World", "\u00e9t\u00e9".encode()])
+    packing._rest(tokens)
+    tokens.timer.join()
+    assert tokens.tokenizer is None and not tokens.packed and not tokens.young
+    again = packing._tokens(path, 77)
+    assert again is tokens and again.encode([b"hello", b"World", "\u00e9t\u00e9".encode()]) == ids
+
+
 def test_jaccard_near_copies_meet_what_they_were_made_from(spark, monkeypatch):
     """Copies are close to one text and far from each other: pairs that are measured grow like the copies, not their square."""
     r = random.Random(5)
