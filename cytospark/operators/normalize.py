@@ -153,10 +153,17 @@ def _names(columns: Sequence[str]) -> list[str]:
 
 def _uniform_score(i: int, count: int) -> str:
     """Rank share of ``_value<i>`` among the references, ties averaged from both sides; null gives 0."""
-    x, first, value, top = f"_x{i}", f"_first{i}", f"_value{i}", max(count - 1, 1)
+    x, first, value = f"_x{i}", f"_first{i}", f"_value{i}"
+
+    def share(place: str) -> str:  # as linspace gives it
+        return f"if({place} = {count - 1}, 1.0D, ({place}) * {1 / max(count - 1, 1)!r}D)"
+
     found = f"aggregate(_steps{i}, -1, (at, s) -> if({x}[at + s] <= {value}, at + s, at))"
-    score = f"""if({x}[at] = {value}, ({first}[at] + {first}[at + 1] - 1) / 2.0D / {top},
-        ({first}[at + 1] - 1 + ({value} - {x}[at]) / ({x}[at + 1] - {x}[at])) / {top})"""
+    # In the order of _uniform_scores, so that both give the same last digit.
+    low, high = share(f"{first}[at + 1] - 1"), share(f"{first}[at + 1]")
+    slope = f"(({high} - {low}) / ({x}[at + 1] - {x}[at]))"
+    score = f"""if({x}[at] = {value}, 0.5D * ({low} + {share(f"{first}[at]")}),
+        0.5D * (({slope} * ({value} - {x}[at]) + {low}) - ({slope} * ({x}[at + 1] - {value}) - {high})))"""
     # A lambda names the place found, so that the search is done once.
     return f"""case when {value} is null or {x} is null or {value} <= _least{i} then 0.0D
         when {value} >= _top{i} then 1.0D else transform(array({found}), at -> {score})[0] end"""
