@@ -230,9 +230,9 @@ def _grid_in_tasks(used: DataFrame, label: str, features: Sequence[str], keys: S
             out = []
             for cv, depth, eta in zip(*(c.to_pylist() for c in batch.columns)):
                 test = tests[repeats.index(cv)]
-                model = softmax.train_local(x[~test], y[~test], classes, depth, eta, rounds)
-                hits = model.predict(x) == y
-                out.append((cv, depth, eta, *(float(hits[part].mean()) if part.any() else None for part in (~test, test))))
+                model, margins = softmax.train_local_margins(x[~test], y[~test], classes, depth, eta, rounds)
+                hits = margins.argmax(axis=1) == y[~test], model.predict(x[test]) == y[test]
+                out.append((cv, depth, eta, *(float(part.mean()) if len(part) else None for part in hits)))
             kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
                                              names=["cv", "max_depth", "eta", "train_accuracy", "testf"])

@@ -9,6 +9,7 @@ fit; a grid of models then takes one task a model.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,8 @@ LEAST_GAIN = 1e-6
 BINS = 256
 #: Histogram cells that are held at once.
 _CELLS = 1 << 17
+#: Bytes of running sums that are kept for the next level of local rows.
+_KEPT = 1 << 27
 #: Nodes whose histograms a task holds at once.
 _NODES = 64
 #: Rounds whose trees are applied anew by each task before the margins are stored again.
@@ -174,7 +177,7 @@ class Memory:
         self.held: dict[str, np.ndarray] = {}
 
     def array(self, name: str, shape: tuple[int, ...], kind=float) -> np.ndarray:
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         if name not in self.held or len(self.held[name]) < size:
             self.held[name] = np.empty(size, kind)
         return self.held[name][:size].reshape(shape)
@@ -267,43 +270,189 @@ class BestCuts:
 
 
 class LocalRows:
-    """Binned rows in memory."""
+    """Binned rows in memory.
+
+    A cut is found in two steps. Sums of rounded gradients bound the gain of each feature: whole numbers, g in the upper and h in the
+    lower half of 64 bits, so that only the smaller of two children is summed and the other has what is left of the
+    parent's sums. Then the features that can have the best cut are summed in double precision, rows in the order of the
+    table and bins in theirs: the first step decides what is summed there, and no bit of a tree.
+    """
 
     def __init__(self, bins: np.ndarray, y: np.ndarray, classes: int):
-        self.y, self.columns = y, np.ascontiguousarray(bins.T)
-        self.sums = Histograms(self.columns, int(bins.max(initial=0)) + 1)
-        self.margins = np.zeros((len(y), classes))
+        self.y, self.columns, features = y, np.ascontiguousarray(bins.T), bins.shape[1]
+        self.width = int(bins.max(initial=0)) + 1
+        self.together = max(1, _CELLS // max(1, self.width * features))  # nodes summed side by side
+        self.step = self.together * features | 1  # sums of one bin; an odd step keeps bins apart in the processor's cache
+        self.cells = bins.astype(np.intp) * self.step + np.arange(features)
+        self.margins, self.memory, self.exact = np.zeros((len(y), classes)), Memory(), Memory()
+        self.spare: list[np.ndarray] = []
+        #: For some features at a time the rows by bin, where a bin begins among them, and its cell.
+        self.sorted: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = max(1, _CELLS // max(1, len(y)))
+        for low in range(0, features if len(y) else 0, size):
+            columns = self.columns[low:low + size]
+            order = np.argsort(columns, axis=1, kind="stable")
+            ordered = np.take_along_axis(columns, order, axis=1)
+            feature, at = np.nonzero(np.diff(ordered.astype(np.int16), axis=1, prepend=-1))
+            self.sorted.append((order.reshape(-1), feature * len(y) + at, ordered[feature, at] * np.intp(self.step) + low + feature))
 
     def begin(self) -> list[tuple[float, float]]:
         g, h = slopes(self.margins, self.y)
         self.slopes = np.ascontiguousarray((g + 1j * h).T)
-        self.node = np.zeros(self.slopes.shape, np.int32)
+        reach = np.array([np.abs(g).sum(axis=0), h.sum(axis=0)])  # no sum of a class is larger
+        scale = np.exp2(np.floor(np.log2((1 << 30) / (reach + 1))))
+        wholes = [np.rint(part * by) for part, by in zip((g, h), scale)]
+        missed = [whole / by - part for part, whole, by in zip((g, h), wholes, scale)]
+        off = np.array([np.maximum(m.clip(0).sum(axis=0), -m.clip(None, 0).sum(axis=0)) for m in missed])
+        self.known = np.concatenate([scale, off, reach]).T.tolist()  # by class
+        self.wholes = np.ascontiguousarray(((wholes[0].astype("<i8") << 32) + wholes[1].astype("<i8")).T)
+        every = np.arange(len(self.y))
+        self.rows = {(k, 0): every for k in range(len(self.slopes))}  # of each leaf so far, in the order of the table
+        #: By inner node its children and its running sums, if kept.
+        self.families = [([(k, 0)], None) for k in range(len(self.slopes))]
+        self.kept: dict[Node, np.ndarray] = {}
         return list(zip(g.sum(axis=0).tolist(), h.sum(axis=0).tolist()))
 
-    def best(self, growing: Growing) -> dict[Node, Cut]:
-        found = BestCuts(np.array([growing.sums[n] for n in growing.open]).T, self.sums.memory)
-        for block in self.sums.blocks(self.node, self.slopes, growing.open):
-            found.add(*block)
-        return {n: c for n, c in zip(growing.open, found.cuts()) if c}
+    def best(self, growing: Growing, last: bool = False) -> dict[Node, Cut]:
+        """``last`` tells that no level follows, so that no sums are kept."""
+        self.spare += self.kept.values()
+        self.kept = {}
+        if self.width < 2:
+            return {}
+        most, found = {}, {}
+        for n, sums in self._running(set(growing.open), last):
+            bounds = self._bounds(n, growing.sums[n], sums)
+            if bounds.max() > LEAST_GAIN:
+                most[n] = bounds
+
+        def sum_exactly(wanted: list[tuple[Node, int]]) -> None:
+            for (n, _), cut in zip(wanted, self._exact(wanted, growing)):
+                if cut and (n not in found or (cut.gain, -cut.feature) > (found[n].gain, -found[n].feature)):
+                    found[n] = cut
+
+        first = {n: int(bounds.argmax()) for n, bounds in most.items()}
+        sum_exactly(list(first.items()))
+        least = {n: found[n].gain if n in found else LEAST_GAIN for n in most}
+        sum_exactly([(n, f) for n, bounds in most.items() for f in np.flatnonzero(bounds >= least[n]).tolist() if f != first[n]])
+        return {n: found[n] for n in growing.open if n in found}
+
+    def _running(self, nodes: set[Node], last: bool) -> Iterator[tuple[Node, np.ndarray]]:
+        """Running sums of each node by (bin, feature)."""
+        features, todo = len(self.columns), []  # node to sum up, the other child, the parent's sums
+        for children, whole in self.families:
+            small, *large = sorted(children, key=lambda n: len(self.rows[n]))
+            if whole is not None and large[0] in nodes:
+                todo.append((small, large[0], whole))
+            else:
+                todo += [(n, None, None) for n in children if n in nodes]
+                self.spare += [] if whole is None else [whole]
+        room = 0 if last else _KEPT // (8 * self.width * features)
+        for low in range(0, len(todo), self.together):
+            some = todo[low:low + self.together]
+            cells = self.memory.array("cells", (self.width, self.step), "<i8")
+            cells[:] = 0
+            for i, (node, *_) in enumerate(some):
+                self._add_up(node, cells.reshape(-1)[i * features:])
+            for before, after in zip(cells[:-1], cells[1:]):
+                np.add(after, before, out=after)
+            for i, (node, other, whole) in enumerate(some):
+                sums = cells[:, i * features:(i + 1) * features]
+                if node in nodes:
+                    yield node, sums
+                    if len(self.kept) < room:
+                        self.kept[node] = self.spare.pop() if self.spare else np.empty(sums.shape, "<i8")
+                        self.kept[node][:] = sums
+                if other:
+                    whole -= sums
+                    yield other, whole
+                    if len(self.kept) < room:
+                        self.kept[other] = whole
+                    else:
+                        self.spare.append(whole)
+        self.families = []
+
+    def _add_up(self, node: Node, cells: np.ndarray) -> None:
+        rows, values, features = self.rows[node], self.wholes[node[0]], len(self.columns)
+        if len(rows) == len(self.y):
+            for order, starts, places in self.sorted:
+                cells[places] = np.add.reduceat(values.take(order), starts)
+            return
+        step = max(1, _CELLS // features)
+        for low in range(0, len(rows), step):
+            some = rows[low:low + step]
+            np.add.at(cells, self.cells[some].reshape(-1), np.repeat(values[some], features))
+
+    def _bounds(self, node: Node, total: tuple[float, float], sums: np.ndarray) -> np.ndarray:
+        """What gain a cut of each feature can have at most.
+
+        With c = h + 2 the gain is (gl - g / c * (hl + 1))^2 * c / ((hl + 1) * (hr + 1)) less a part that all cuts share; a cut with
+        enough on both sides has (hl + 1) * (hr + 1) >= 2 * h. The factors are those of the whole numbers, in single precision.
+        """
+        (g, h), (by_g, by_h, off_g, off_h, reach_g, reach_h), count = total, self.known[node[0]], len(self.rows[node])
+        c, ratio = h + 2, g / (h + 2)
+        off_g = min(off_g, count / by_g) + 2.0 ** -22 * (reach_g + c)
+        off_h = min(off_h, count / by_h) + 2.0 ** -22 * (reach_h + c)
+        shape = len(sums) - 1, sums.shape[1]
+        a, b, gain = (self.memory.array(name, shape, np.float32) for name in ("a", "b", "gain"))
+        half, enough = self.memory.array("half", shape, np.int32), self.memory.array("enough", shape, bool)
+        halves = sums[:-1].view("<i4")
+        half[:] = halves[:, ::2]
+        np.add(half, by_h, out=a, dtype=np.float32, casting="same_kind")
+        half[:] = halves[:, 1::2]
+        gain[:] = half
+        np.multiply(a, ratio * by_g / by_h, out=b)
+        gain -= b
+        gain *= gain
+        np.subtract(c * by_h, a, out=b)
+        b *= a
+        np.greater_equal(b, (2 * h - 4 * c * off_h) * by_h * by_h, out=enough)
+        gain /= b
+        gain *= enough
+        top = gain.max(axis=0).astype(float) * (c * (by_h / by_g) ** 2)
+        score, off = float(top.max()), 2 * (off_g + abs(ratio) * off_h)
+        off = 2 * score ** 0.5 * off + off * off + score * 2 * off_h + 1e-12 * (1 + g * g)
+        return top + (off + g * g / c - g * g / (h + LAMBDA))
+
+    def _exact(self, wanted: list[tuple[Node, int]], growing: Growing) -> Iterator[Cut | None]:
+        """The best cut of each node by one feature."""
+        most, count = max(1, _CELLS // self.width), len(self.y)
+        for low in range(0, len(wanted), most):
+            some = wanted[low:low + most]
+            rows = [self.rows[n] for n, _ in some]
+            sizes = [len(r) for r in rows]
+            rows = np.concatenate(rows)
+            bins = self.columns.reshape(-1)[np.repeat([f * count for _, f in some], sizes) + rows]
+            at = bins * np.intp(len(some)) + np.repeat(np.arange(len(some)), sizes)
+            values = self.slopes.reshape(-1)[np.repeat([n[0] * count for n, _ in some], sizes) + rows]
+            cells = np.zeros(self.width * len(some), complex)
+            np.add.at(cells, at, values)
+            found = BestCuts(np.array([growing.sums[n] for n, _ in some]).T, self.exact)
+            found.add(slice(0, len(some)), 0, cells.reshape(self.width, 1, len(some)))
+            for (_, f), cut in zip(some, found.cuts()):
+                if cut:
+                    cut.feature = f
+                yield cut
 
     def advance(self, growing: Growing, best: dict[Node, Cut]) -> None:
         for (k, i), cut in best.items():
-            rows = np.flatnonzero(self.node[k] == i)
-            self.node[k, rows] = growing.cuts[k, i][1] + (self.columns[cut.feature][rows] > cut.cut)
+            left, rows = growing.cuts[k, i][1], self.rows.pop((k, i))
+            right = self.columns[cut.feature][rows] > cut.cut
+            self.rows[k, left], self.rows[k, left + 1] = rows[~right], rows[right]
+            self.families.append(([(k, left), (k, left + 1)], self.kept.pop((k, i), None)))
 
     def end(self, trees: Round) -> None:
-        for k, tree in enumerate(trees):
-            self.margins[:, k] += tree.weight[self.node[k]]
+        for (k, i), rows in self.rows.items():
+            self.margins[rows, k] += trees[k].weight[i]
 
 
 def boost(rows: LocalRows | SparkRows, model: SoftmaxTrees, depth: int, rate: float, rounds: int) -> SoftmaxTrees:
     """Adds ``rounds`` rounds of trees of at most ``depth`` levels."""
     for _ in range(rounds):
         growing = Growing(rows.begin())
-        for _ in range(depth):
+        for level in range(depth):
             if not growing.open:
                 break
-            best = rows.best(growing)
+            best = rows.best(growing, level + 1 == depth)
             if not best:
                 break
             growing.split(best)
@@ -323,8 +472,14 @@ def local_edges(x: np.ndarray, bins: int = BINS) -> list[np.ndarray]:
 
 
 def train_local(x: np.ndarray, y: np.ndarray, classes: int, depth: int, rate: float, rounds: int) -> SoftmaxTrees:
+    return train_local_margins(x, y, classes, depth, rate, rounds)[0]
+
+
+def train_local_margins(x: np.ndarray, y: np.ndarray, classes: int, depth: int, rate: float, rounds: int) -> tuple[SoftmaxTrees, np.ndarray]:
+    """The model and the margins it gives the rows it was trained on."""
     model = SoftmaxTrees(local_edges(x))
-    return boost(LocalRows(model.bins(x), y, classes), model, depth, rate, rounds)
+    rows = LocalRows(model.bins(x), y, classes)
+    return boost(rows, model, depth, rate, rounds), rows.margins
 
 
 def train_spark(coded: DataFrame, edges: list[np.ndarray], classes: int, depth: int, rate: float, rounds: int) -> SoftmaxTrees:
@@ -403,7 +558,7 @@ class SparkRows:
         self.roots = {n: cut for n, (_, cut) in found.items() if cut}
         return [found[n][0] if n in found else (0.0, 0.0) for n in roots]
 
-    def best(self, growing: Growing) -> dict[Node, Cut]:
+    def best(self, growing: Growing, last: bool = False) -> dict[Node, Cut]:
         if self.roots is not None:
             roots, self.roots = self.roots, None
             return {n: c for n, c in roots.items() if n in growing.open}

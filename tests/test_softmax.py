@@ -154,3 +154,47 @@ def test_many_nodes_go_by_parts(spark, coarse, monkeypatch):
     near = softmax.train_local(x, y, 3, 3, 0.5, 2)
     far = softmax.train_spark(coded, near.edges, 3, 3, 0.5, 2)
     assert far.margins(near.bins(x), 3) == pytest.approx(near.margins(near.bins(x), 3), abs=1e-8)
+
+
+def all_cuts(rows, growing):
+    """Every feature of every node summed in double precision."""
+    found = softmax.BestCuts(np.array([growing.sums[n] for n in growing.open]).T, softmax.Memory())
+    node = np.zeros(rows.slopes.shape, np.int32)
+    for (k, i), at in rows.rows.items():
+        node[k, at] = i
+    for block in softmax.Histograms(rows.columns, rows.width).blocks(node, rows.slopes, growing.open):
+        found.add(*block)
+    return {n: c for n, c in zip(growing.open, found.cuts()) if c}
+
+
+@pytest.mark.parametrize("cells, kept, twins", [(1 << 17, 1 << 27, False), (1, 1 << 27, True), (1 << 12, 40_000, False), (1 << 17, 0, True)])
+def test_few_features_are_summed_and_no_cut_differs(monkeypatch, cells, kept, twins):
+    """Equal features, any number of nodes at a time, sums of parents kept or not: the cuts are those of all the sums."""
+    monkeypatch.setattr(softmax, "_CELLS", cells)
+    monkeypatch.setattr(softmax, "_KEPT", kept)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 12))
+    x[:, 6:9] = x[:, :3] if twins else np.round(x[:, :3])
+    x = np.concatenate([x, x[:300]]) if twins else x
+    y = rng.integers(0, 4, len(x))
+    model = softmax.SoftmaxTrees(softmax.local_edges(x))
+    rows, compared = softmax.LocalRows(model.bins(x), y, 4), []
+    best, exact = rows.best, rows._exact
+
+    def checked(growing, last=False):
+        want, got = all_cuts(rows, growing), best(growing, last)
+        assert got == want
+        compared.append(len(growing.open) * len(rows.columns))
+        return got
+
+    def counted(wanted, growing):
+        summed.append(len(wanted))
+        return exact(wanted, growing)
+
+    summed = []
+    monkeypatch.setattr(rows, "best", checked)
+    monkeypatch.setattr(rows, "_exact", counted)
+    softmax.boost(rows, model, 6, 0.5, 6)
+    assert len(compared) == 36 and sum(compared) > 1000
+    assert sum(summed) < sum(compared) / (3 if twins else 5)
+    assert (rows.margins == model.margins(model.bins(x), 4)).all()  # of the rows it learned from, as predicted
