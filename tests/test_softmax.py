@@ -198,3 +198,17 @@ def test_few_features_are_summed_and_no_cut_differs(monkeypatch, cells, kept, tw
     assert len(compared) == 36 and sum(compared) > 1000
     assert sum(summed) < sum(compared) / (3 if twins else 5)
     assert (rows.margins == model.margins(model.bins(x), 4)).all()  # of the rows it learned from, as predicted
+
+
+def test_the_grid_is_a_few_tasks(spark):
+    context = spark.sparkContext
+    context.setJobGroup("grid", "rows of the grid")
+    try:
+        rows = [tuple(r) for r in boosting.parameter_grid(spark, 3, [2, 5], [0.1, 1.0]).collect()]
+        tracker = context.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("grid") for s in tracker.getJobInfo(j).stageIds}
+        tasks = [i.numTasks for s in stages if (i := tracker.getStageInfo(s)) is not None]
+    finally:
+        context._jsc.clearJobGroup()
+    assert rows == [(cv, depth, rate) for cv in range(3) for depth in (2, 5) for rate in (0.1, 1.0)]
+    assert tasks and sum(tasks) <= 12
