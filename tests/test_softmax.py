@@ -212,3 +212,42 @@ def test_the_grid_is_a_few_tasks(spark):
         context._jsc.clearJobGroup()
     assert rows == [(cv, depth, rate) for cv in range(3) for depth in (2, 5) for rate in (0.1, 1.0)]
     assert tasks and sum(tasks) <= 12
+
+
+@pytest.mark.parametrize("little", [0.0, softmax._LITTLE])
+def test_few_features_are_summed_in_a_large_table_too(monkeypatch, little):
+    """Rounding moves sums by more there; nodes of any size have the cuts of all the sums."""
+    monkeypatch.setattr(softmax, "_LITTLE", little)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(60_000, 12))
+    x[:, 8:] = np.round(x[:, :4])
+    y = rng.integers(0, 3, len(x))
+    model = softmax.SoftmaxTrees(softmax.local_edges(x))
+    rows, compared, summed = softmax.LocalRows(model.bins(x), y, 3), [], []
+    best, exact = rows.best, rows._exact
+
+    def checked(growing, last=False):
+        want, got = all_cuts(rows, growing), best(growing, last)
+        assert got == want
+        compared.append(sum(len(rows.rows[n]) for n in growing.open) * len(rows.columns))
+        return got
+
+    def counted(wanted, growing):
+        summed.append(sum(len(rows.rows[n]) for n, _ in wanted))
+        return exact(wanted, growing)
+
+    monkeypatch.setattr(rows, "best", checked)
+    monkeypatch.setattr(rows, "_exact", counted)
+    softmax.boost(rows, model, 4, 0.5, 2)
+    assert len(compared) == 8 and sum(summed) < sum(compared) / 5
+    assert min(len(r) for r in rows.rows.values()) < softmax._LARGE
+    assert (rows.margins == model.margins(model.bins(x), 3)).all()
+
+
+def test_a_hundred_thousand_vectors_are_a_task_for_each_model():
+    """Beyond, a level of each of the 60 models is a shuffle. What a task holds grows by 10 bytes a value."""
+    assert boosting.fits_in_memory(102_564, 64)
+    bins = np.random.default_rng(2).integers(0, 256, (20_000, 8)).astype(np.uint8)
+    rows = softmax.LocalRows(bins, np.zeros(len(bins), int), 2)
+    held = [v for v in vars(rows).values() if isinstance(v, np.ndarray) and v.size >= bins.size]
+    assert len(held) == 2 and sum(v.nbytes for v in held) <= 10 * bins.size
