@@ -1,12 +1,14 @@
 """The booster against a plain version, and its two ways of summing against each other."""
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
 import pytest
 
 from cytospark.operators import boosting, softmax
+from cytospark.session import scratch_path, without_shuffles
 
 
 def plain_tree(rows, g, h, x, depth):
@@ -251,3 +253,47 @@ def test_a_hundred_thousand_vectors_are_a_task_for_each_model():
     rows = softmax.LocalRows(bins, np.zeros(len(bins), int), 2)
     held = [v for v in vars(rows).values() if isinstance(v, np.ndarray) and v.size >= bins.size]
     assert len(held) == 2 and sum(v.nbytes for v in held) <= 10 * bins.size
+
+
+def test_levels_leave_no_shuffles(spark, coarse):
+    """Four rounds of three levels; the one shuffle that may stay deals out the rows."""
+    x, y = coarse
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    coded = spark.createDataFrame(pd.DataFrame({"y": y, "x": list(x)})).repartition(3)
+
+    def shuffles():
+        return {m[1] for m in re.finditer(r"shuffle_(\d+)_\d+_\d+\.data", disk.getAllFiles().toString())}
+
+    near, before = softmax.train_local(x, y, 3, 3, 0.5, 4), shuffles()
+    far = softmax.train_spark(coded, near.edges, 3, 3, 0.5, 4)
+    assert len(shuffles() - before) <= 2
+    assert far.margins(near.bins(x), 3) == pytest.approx(near.margins(near.bins(x), 3), abs=1e-8)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_settings_of_the_session_hold_without_shuffles(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        tidy = without_shuffles(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert tidy.conf.get("spark.sql.shuffle.partitions") == "5"
+    assert tidy.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert scratch_path(tidy, "a").rpartition("/")[0] == scratch_path(spark, "a").rpartition("/")[0]
+
+
+def test_equal_features_do_not_sum_all_rows_at_once(monkeypatch):
+    """All features tie, so each is summed in double precision; few rows at a time, and the cuts stay."""
+    monkeypatch.setattr(softmax, "_EXACT_ROWS", 700)
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(500, 1)), 20, axis=1)
+    rows = softmax.LocalRows(softmax.SoftmaxTrees(softmax.local_edges(x)).bins(x), rng.integers(0, 2, 500), 2)
+    growing, most, concatenate = softmax.Growing(rows.begin()), [], np.concatenate
+
+    def joined(parts, *args, **kwargs):
+        most.append(sum(map(len, parts)))
+        return concatenate(parts, *args, **kwargs)
+
+    monkeypatch.setattr(softmax.np, "concatenate", joined)
+    assert rows.best(growing) == all_cuts(rows, growing)
+    assert sum(most) >= 20 * 2 * 500 and max(most) <= 700 + 500
